@@ -6,7 +6,7 @@ no digit is lost, signed zeros differ and every NaN is the same; integer widths
 matter. A row is the JSON array of its pairs.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +93,9 @@ def json_text(value: Column) -> Column:
 
 
 def canonical_value(value: Column, kind: str) -> Column:
+    """The tagged pair of a value; a value of kind `tagged` is one already."""
+    if kind == "tagged":
+        return value
     if kind == "null":
         return F.lit('["null"]')
     if kind == "bool":
@@ -103,12 +106,14 @@ def canonical_value(value: Column, kind: str) -> Column:
         body = F.concat(F.lit('"'), float_hex(value), F.lit('"'))
     else:
         body = json_text(value)
-    tagged = F.concat(F.lit(f'["{kind}",'), body, F.lit("]"))
-    return F.coalesce(tagged, F.lit('["null"]'))
+    return F.coalesce(F.concat(F.lit(f'["{kind}",'), body, F.lit("]")), F.lit('["null"]'))
 
 
-def canonical_record(schema: T.StructType, columns: list[str]) -> Column:
-    """The JSON array of a row's tagged values, in the given column order."""
-    kinds = {field.name: kind_of(field.dataType) for field in schema}
-    values = [canonical_value(F.col(name), kinds[name]) for name in columns]
+def canonical_record(kinds: dict[str, str]) -> Column:
+    """The JSON array of a row's tagged values; `kinds` names the columns in order."""
+    values = [canonical_value(F.col(name), kind) for name, kind in kinds.items()]
     return F.concat(F.lit("["), F.concat_ws(",", *values), F.lit("]"))
+
+
+def kinds_of(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
+    return {name: kind_of(df.schema[name].dataType) for name in columns or df.columns}

@@ -15,19 +15,23 @@ from faremill.sources.trips import read_trips
 from faremill.sources.zones import read_zones
 
 
-def joined_trips(trips: DataFrame, zones: DataFrame, scope: str = "global", unit: str = "second") -> DataFrame:
-    """Cleaned trips with time features and both zones, before the speed."""
+def joined_trips(trips: DataFrame, zones: DataFrame, scope: str = "global", unit: str = "second",
+                 gather: bool = False) -> DataFrame:
+    """Cleaned trips with time features and both zones, before the speed.
+
+    `gather` brings each month together for a write by month. It happens while the rows are
+    narrow: the joins and features that follow stay in the same tasks as the write.
+    """
     cleaned = clean_trips(trips, scope)
-    if scope == MONTH:
-        # Gathered while the rows are narrow; all that follows stays in the same tasks.
+    if gather:
         cleaned = by_month(cleaned)
     return join_zones(add_time_features(cleaned, unit), zones)
 
 
 def build_output(trips: DataFrame, zones: DataFrame, scope: str = "global", unit: str = "second",
-                 how: str = "native", invalid: str = "null") -> DataFrame:
+                 how: str = "native", invalid: str = "null", gather: bool = False) -> DataFrame:
     """The 17-column table, and the month as an 18th column when copies are dropped by month."""
-    table = add_speed(joined_trips(trips, zones, scope, unit), how, invalid)
+    table = add_speed(joined_trips(trips, zones, scope, unit, gather), how, invalid)
     return table.select(*OUTPUT_COLUMNS, *([MONTH] if scope == MONTH else []))
 
 
