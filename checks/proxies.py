@@ -81,3 +81,109 @@ def write_month_files(df: DataFrame, path: str) -> None:
         .hint("rebalance", F.col("file"))
         .write.mode("overwrite").partitionBy("file").parquet(path)
     )
+
+
+def write_zone_file(df: DataFrame, path: str) -> None:
+    """The lookup as CSV, a missing attribute as an empty field."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
+
+
+def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CPU and memory counters of one trace per user and event type, made of events.
+
+    They grow with the event, but not always: some pairs of samples do not advance.
+    """
+    event, value = F.col("event_id"), F.floor("value").cast("long")
+    with utc(spark):
+        return table(spark, sf_dir, "events").select(
+            F.col("user_id").cast("string").alias("trace"),
+            F.col("event_type").alias("phase"),
+            (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("monotonic_seconds"),
+            (event * 2 - value * 40).alias("user"), F.lit(5).cast("long").alias("nice"), event.alias("system"),
+            (event * 3).alias("idle"), value.alias("iowait"), F.lit(0).cast("long").alias("irq"),
+            (event % 7).alias("softirq"), F.lit(0).cast("long").alias("steal"),
+            (F.lit(4_000_000) + event % 1024).alias("mem_total_kib"), (value * 1000).alias("mem_available_kib"),
+            F.lit(2_000_000).cast("long").alias("swap_total_kib"), (event % 9973).alias("swap_free_kib"),
+        )
+
+
+def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested metrics document per event: an event is a run, its type a variant."""
+    value, event = F.col("value"), F.col("event_id")
+    trials = F.when(event % 2 == 0, F.array(value, value * 3, value * 2)).otherwise(
+        F.array(value * 4, value, value * 3, value * 2))
+    checks = F.array(*[
+        F.struct(event.alias("rows"), text.alias("speed_sum"))
+        for text in (F.when(event % 10 == 0, F.lit("nan")).otherwise(event.cast("string")), F.lit(None).cast("string"))
+    ])
+    return table(spark, sf_dir, "events").select(
+        event.cast("string").alias("run_id"), F.col("event_type").alias("variant"),
+        F.lit("completed").alias("status"), event.alias("input_rows"), (value / 4).alias("pipeline_seconds"),
+        F.struct(
+            (value * 5).alias("warmup_seconds_not_in_median"), trials.alias("timed_runs_seconds"),
+            checks.alias("execution_checks"),
+        ).alias("feature_stage"),
+    )
+
+
+def variant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One metrics document per user and event type, with whole hundredths as seconds."""
+    hundredths = F.sum(F.floor(F.col("value") * 100).cast("long"))
+    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(
+        (hundredths / F.lit(100.0)).alias("pipeline_seconds")
+    ).select(F.col("user_id").cast("string").alias("run_id"), F.col("event_type").alias("variant"), "pipeline_seconds")
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hundredths = F.floor("o_totalprice").cast("long")
+    with utc(spark):
+        number = F.year("o_orderdate") * 12 + F.month("o_orderdate")
+        return table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("key"),
+            F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+            F.month("o_orderdate").alias("month_of_year"),
+            number.cast("long").alias("rows"),
+            F.concat((F.floor(hundredths / 100)).cast("string"), F.lit("."),
+                     F.lpad((hundredths % 100).cast("string"), 2, "0")).alias("seconds"),
+        )
+
+
+def _write_lines(runs: DataFrame, lines, path: str) -> None:
+    # Part files follow each other in key order, and so do the lines in each.
+    (
+        runs.repartitionByRange("key").sortWithinPartitions("key")
+        .select(F.explode(lines).alias("value")).write.mode("overwrite").text(path)
+    )
+
+
+def _completed_line():
+    return F.format_string("Completed %s: %s rows, %s seconds", "month", F.format_number("rows", 0), "seconds")
+
+
+def write_completion_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A completion line per order, with other lines between them."""
+    noise = F.concat(F.lit("Processing "), F.col("month"))
+    _write_lines(_runs(spark, sf_dir), F.array(noise, _completed_line()), path)
+
+
+def write_attempt_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Completion lines in the first half of a year; executions, twice each, and writes in the second."""
+    with utc(spark):
+        started = F.timestamp_seconds(F.lit(1_790_000_000) + F.col("key") * 2)
+        at = lambda millis: F.date_format(F.timestamp_add("MILLISECOND", F.lit(millis), started),
+                                          "yyyy-MM-dd HH:mm:ss,SSS")
+        session = F.concat(F.lit("/logs/session_"), (F.col("key") % 5).cast("string"), F.lit("/data/"))
+        executed = F.concat(F.lit(":"), at(0), F.lit(" INFO -- Dataset dataset_"), F.col("key").cast("string"),
+                            F.lit("_0 execution finished in "), F.col("seconds"), F.lit(" seconds"))
+        written = F.concat(session, F.lit("shared.log:"), at(700), F.lit(" INFO -- Data sink Parquet finished. "),
+                           F.col("rows").cast("string"), F.lit(" rows and 7.5MiB data written."))
+        attempt = F.array(
+            F.concat(session, F.lit("dataset_"), F.col("key").cast("string"), F.lit("_0.log"), executed),
+            F.concat(session, F.lit("shared.log"), executed), written)
+        lines = F.when(F.col("month_of_year") <= 6, F.array(_completed_line())).otherwise(attempt)
+        _write_lines(_runs(spark, sf_dir), lines, path)
+
+
+def month_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per month of the runs in the attempt log."""
+    return _runs(spark, sf_dir).select("month", "rows").distinct()

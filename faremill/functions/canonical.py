@@ -89,7 +89,8 @@ def json_text(value: Column) -> Column:
         F.concat(F.lit("\\u"), unit),
     ))
     plain = ~value.rlike(r'[^ -~]|["\\]')
-    return F.concat(F.lit('"'), F.when(plain, value).otherwise(F.concat_ws("", escaped)), F.lit('"'))
+    body = F.when(plain, value).when(value.isNotNull(), F.concat_ws("", escaped))
+    return F.concat(F.lit('"'), body, F.lit('"'))
 
 
 def canonical_value(value: Column, kind: str) -> Column:

@@ -6,12 +6,12 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faremill.operators.months import commit_months, committed_months, delivered_months, pending_months
 from faremill.operators.profile import by_written_month, run_report
 from faremill.plans.export import build_output
-from faremill.schemas import MONTH
+from faremill.schemas import MONTH, OUTPUT
 from faremill.session import size_shuffle
 from faremill.sources.files import profile_files
 from faremill.sources.sinks import write_months, write_report
@@ -44,6 +44,6 @@ def export_months(spark: SparkSession, trips_path: str, zones: DataFrame, output
 
 
 def read_months(spark: SparkSession, output_path: str) -> DataFrame:
-    """An export by month, with the month as text."""
-    table = spark.read.option("basePath", output_path).parquet(output_path)
-    return table.withColumn(MONTH, F.date_format(MONTH, "yyyy-MM") if dict(table.dtypes)[MONTH] == "date" else F.col(MONTH))
+    """An export by month, the month as text."""
+    schema = T.StructType([*OUTPUT.fields, T.StructField(MONTH, T.StringType())])
+    return spark.read.schema(schema).parquet(output_path)
