@@ -56,11 +56,17 @@ def _as_text(df: DataFrame) -> DataFrame:
         return df.withColumns({c: timestamp_text(F.col(c)) for c in df.columns if c.startswith("tpep_")})
 
 
+_DELIVERED: dict[tuple[str, str], str] = {}
+
+
 def _delivered(spark: SparkSession, sf_dir: str) -> str:
-    """Month files in the shared folder."""
-    path = scratch_path(spark, "trips")
-    P.write_month_files(P.trips(spark, sf_dir), path)
-    return path
+    """Month files in the shared folder, written once per application: they are input only."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DELIVERED:
+        path = scratch_path(spark, "trips")
+        P.write_month_files(P.trips(spark, sf_dir), path)
+        _DELIVERED[key] = path
+    return _DELIVERED[key]
 
 
 def _lookup_file(spark: SparkSession, sf_dir: str) -> str:
@@ -409,7 +415,7 @@ def mismatch_examples(spark, sf_dir):
 def months_pending(spark, sf_dir):
     delivered, ledger = delivered_months(spark, _delivered(spark, sf_dir)), scratch_path(spark, "ledger")
     commit_months(delivered.filter(F.col(MONTH) < SECOND_DELIVERY), ledger, "first", 1.0)
-    return pending_months(delivered, committed_months(spark, ledger))
+    return pending_months(delivered, committed_months(spark, ledger)).select(MONTH)
 
 
 @query

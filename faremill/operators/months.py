@@ -10,10 +10,10 @@ from faremill.sources.files import list_files
 
 
 def delivered_months(spark: SparkSession, path: str) -> DataFrame:
-    """Months with a trip file, from the listing alone."""
+    """Months with a trip file and their bytes, from the listing alone."""
     return (
-        list_files(spark, path).select(month_of(F.col("file_path")).alias(MONTH))
-        .filter(F.col(MONTH).isNotNull()).distinct()
+        list_files(spark, path).groupBy(month_of(F.col("file_path")).alias(MONTH)).agg(F.sum("bytes").alias("bytes"))
+        .filter(F.col(MONTH).isNotNull())
     )
 
 

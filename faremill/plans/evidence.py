@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,11 +23,10 @@ def prepare_subset(spark: SparkSession, trips_path: str, zones_path: str, subset
     write_subset(first_rows(spark, trips_path, rows), subset_path)
     first = list_files(spark, trips_path).agg(F.min("file_path")).first()[0]
     roles = {"source": first, "subset": subset_path, "lookup": zones_path}
-    parts = [
+    manifest = _union([
         file_digests(spark, path, "*.parquet" if role == "subset" else "*").withColumn("role", F.lit(role))
         for role, path in roles.items()
-    ]
-    manifest = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("requested_rows", F.lit(rows))
+    ]).withColumn("requested_rows", F.lit(rows))
     write_documents(manifest, manifest_path)
     return read_manifest(spark, manifest_path)
 
@@ -69,10 +70,26 @@ def comparison_examples(spark: SparkSession, exports: dict[str, str], base: str,
         .select(F.lit(base).alias("left"), F.lit(name).alias("right"), "*")
         for name, path in exports.items() if name != base
     ]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
+    return _union(parts)
+
+
+def write_comparison(spark: SparkSession, exports: dict[str, str], base: str, path: str) -> DataFrame:
+    """Write three JSON tables: datasets, comparisons, mismatch_examples; returns the comparisons."""
+    datasets = _union([
+        validate_export(spark, export).select(F.lit(name).alias("name"), "*") for name, export in exports.items()])
+    write_documents(datasets, f"{path}/datasets")
+    write_documents(comparison_examples(spark, exports, base), f"{path}/mismatch_examples")
+    write_documents(compare_exports(spark, exports, base), f"{path}/comparisons")
+    return spark.read.json(f"{path}/comparisons")
+
+
+def require_completed(metrics: DataFrame, variants: list[str]) -> DataFrame:
+    """The metrics of the variants; raises when one has not completed."""
+    own = metrics.filter(F.col("variant").isin(variants))
+    done = {row["variant"] for row in own.filter("status = 'completed'").select("variant").distinct().collect()}
+    if missing := sorted(set(variants) - done):
+        raise ValueError(f"not completed: {', '.join(missing)}")
+    return own
 
 
 def validate_export(spark: SparkSession, path: str) -> DataFrame:
@@ -81,5 +98,9 @@ def validate_export(spark: SparkSession, path: str) -> DataFrame:
     return dataset_totals(profile_files(spark, path)).withColumn("schemas", F.lit(schemas.first()["schemas"]))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _plain(column: str):
     return F.regexp_replace(column, "^file:/+", "/")

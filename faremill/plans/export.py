@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from faremill.operators.clean import add_speed, add_time_features, clean_trips
 from faremill.operators.zones import join_zones
 from faremill.schemas import MONTH, OUTPUT_COLUMNS
-from faremill.session import size_shuffle
+from faremill.session import sized
+from faremill.sources.files import total_bytes
 from faremill.sources.sinks import by_month, write_table
 from faremill.sources.trips import read_trips
 from faremill.sources.zones import read_zones
@@ -39,7 +40,7 @@ def export_trips(spark: SparkSession, trips_path: str, zones_path: str, output_p
                  how: str = "native") -> float:
     """Read, clean, enrich and export all months in one job; returns the seconds it took."""
     started = time.monotonic()
-    size_shuffle(spark, trips_path)
     table = build_output(read_trips(spark, trips_path), read_zones(spark, zones_path), how=how)
-    write_table(table, output_path)
+    with sized(spark, total_bytes(spark, trips_path)):
+        write_table(table, output_path)
     return time.monotonic() - started

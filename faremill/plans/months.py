@@ -12,7 +12,7 @@ from faremill.operators.months import commit_months, committed_months, delivered
 from faremill.operators.profile import by_written_month, run_report
 from faremill.plans.export import build_output
 from faremill.schemas import MONTH, OUTPUT
-from faremill.session import size_shuffle
+from faremill.session import sized
 from faremill.sources.files import profile_files
 from faremill.sources.sinks import write_months, write_report
 from faremill.sources.trips import read_trip_months
@@ -28,12 +28,13 @@ def export_months(spark: SparkSession, trips_path: str, zones: DataFrame, output
     """
     started, run_id = time.monotonic(), uuid.uuid4().hex
     pending = pending_months(delivered_months(spark, trips_path), committed_months(spark, ledger_path))
-    # At most one name per calendar month; the scan uses them to leave out the other files.
-    months = [row[MONTH] for row in pending.orderBy(MONTH).collect()]
-    if months:
-        size_shuffle(spark, trips_path)
+    # At most one row per calendar month; the scan uses the names to leave out other files.
+    todo = pending.orderBy(MONTH).collect()
+    if todo:
+        months = [row[MONTH] for row in todo]
         trips = read_trip_months(spark, trips_path, months)
-        write_months(build_output(trips, zones, MONTH, unit, how, invalid, gather=True), output_path)
+        with sized(spark, sum(row["bytes"] for row in todo)):
+            write_months(build_output(trips, zones, MONTH, unit, how, invalid, gather=True), output_path)
         done = spark.createDataFrame([(month,) for month in months], f"{MONTH} string")
         commit_months(done, ledger_path, run_id, time.monotonic() - started)
     written = by_written_month(profile_files(spark, output_path))

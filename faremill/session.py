@@ -9,11 +9,17 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ZONE_KEY = "spark.sql.session.timeZone"
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 PARTITIONS_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT_KEY = "spark.sql.files.maxPartitionBytes"
+
+LEAST_SPLIT_BYTES = 128 << 20
+MOST_SPLIT_BYTES = 1 << 30
+MOST_SCAN_TASKS = 100_000
+SHUFFLE_BYTES = 128 << 20
+MOST_PARTITIONS = 32_768
 
 SETTINGS = {
     ZONE_KEY: "UTC",
@@ -21,6 +27,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -75,16 +82,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/faremill/{name}-{uuid.uuid4().hex}"
 
 
-def size_shuffle(spark: SparkSession, path: str, partition_bytes: int = 128 << 20) -> int:
-    """Let shuffles start with enough partitions for the files under a path.
+@contextmanager
+def sized(spark: SparkSession, input_bytes: int):
+    """Size scans and shuffles for an input, for the jobs run inside this block.
 
-    Adaptive execution only merges partitions, so the first number must fit the input:
-    the file sizes come from a listing that opens no file.
+    Adaptive execution merges shuffle partitions but never adds any, so the first number
+    must fit the input. Both numbers are bounded: their product is the number of blocks the
+    shuffle has to serve.
     """
-    total = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        .agg(F.sum("length")).first()[0]
-    ) or 0
-    partitions = max(math.ceil(total / partition_bytes), spark.sparkContext.defaultParallelism)
-    spark.conf.set(PARTITIONS_KEY, str(partitions))
-    return partitions
+    split = min(max(input_bytes // MOST_SCAN_TASKS, LEAST_SPLIT_BYTES), MOST_SPLIT_BYTES)
+    cores = spark.sparkContext.defaultParallelism
+    partitions = min(max(math.ceil(input_bytes / SHUFFLE_BYTES), cores), max(MOST_PARTITIONS, cores))
+    wanted = {SPLIT_KEY: str(split), PARTITIONS_KEY: str(partitions)}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield partitions
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -36,6 +36,10 @@ def sorted_paths(spark: SparkSession, path: str | list[str], pattern: str = PARQ
     return list_files(spark, path, pattern).select("file_path", "file_name").orderBy("file_path")
 
 
+def total_bytes(spark: SparkSession, path: str | list[str], pattern: str = PARQUET) -> int:
+    return list_files(spark, path, pattern).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+
+
 def file_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file_path, rows of every Parquet file that holds a row."""
     return (
