@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 import os
 
 import pyarrow as pa
@@ -46,3 +48,10 @@ def write_trip_file(folder, month, rows, row_group=1000, schema=ARROW_TRIPS, par
     path = os.path.join(str(folder), f"yellow_tripdata_{month}{part}.parquet")
     pq.write_table(table, path, row_group_size=row_group)
     return path
+
+
+def plan_of(df, mode="formatted"):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode)
+    return text.getvalue()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from faremill.operators.clean import add_speed, add_time_features, clean_trips, drop_copies, drop_missing, keep_valid
 from faremill.schemas import MONTH, REQUIRED_COLUMNS, TRIP_COLUMNS
-from helpers import START, month_trips, trip, trips
+from helpers import START, month_trips, plan_of, trip, trips
 
 
 def second(n, micros=0):
@@ -114,5 +114,5 @@ def test_a_trip_repeated_without_end_is_merged_before_the_shuffle(spark):
     hot = trips(spark, trip()).crossJoin(spark.range(0, 40_000, 1, 8)).drop("id")
     df = hot.unionAll(trips(spark, trip(vendor=2)))
     assert drop_copies(df).count() == 2
-    plan = drop_copies(df)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(drop_copies(df), "simple")
     assert plan.count("HashAggregate") == 2 and plan.count("Exchange hashpartitioning") == 1
