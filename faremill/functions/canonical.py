@@ -13,9 +13,8 @@ from pyspark.sql import types as T
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
 
-# IEEE 754 binary64: least exponent of a normal number, and bits after the point.
-_MIN_EXPONENT = -1022
-_MANTISSA_BITS = 52
+# Hexadecimal digits of a double after the point.
+_DIGITS = 13
 
 
 def kind_of(data_type: T.DataType) -> str:
@@ -39,40 +38,24 @@ def is_negative_zero(value: Column) -> Column:
 
 
 def float_hex(value: Column) -> Column:
-    """Hexadecimal text of a double, exact."""
+    """Hexadecimal text of a double, exact: all 13 digits and a signed exponent."""
     value = value.cast("double")
-    size = F.abs(value)
-    # log2 may be off by one next to a power of two; scaling by powers of two is exact.
-    guess = F.greatest(F.floor(F.log2(size)), F.lit(_MIN_EXPONENT)).cast("int")
-    scaled = _scale(size, guess)
-    exponent = (
-        F.when(scaled >= 2, guess + 1)
-        .when((scaled < 1) & (guess > _MIN_EXPONENT), guess - 1)
-        .otherwise(guess)
-    )
-    mantissa = _scale(size, exponent)
-    lead = F.when(mantissa >= 1, F.lit(1)).otherwise(F.lit(0))
-    digits = F.lower(F.lpad(F.hex(((mantissa - lead) * F.lit(2.0**_MANTISSA_BITS)).cast("long")), 13, "0"))
-    finite = F.concat(
-        F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
-        F.lit("0x"), lead.cast("string"), F.lit("."), digits, F.lit("p"),
-        F.when(exponent >= 0, F.lit("+")).otherwise(F.lit("")), exponent.cast("string"),
+    short = F.format_string("%a", value)
+    exponent = F.regexp_extract(short, "p(.+)$", 1)
+    full = F.concat(
+        F.regexp_extract(short, r"^(-?0x[01]\.)", 1),
+        F.rpad(F.regexp_extract(short, r"\.([0-9a-f]+)p", 1), _DIGITS, "0"),
+        F.lit("p"), F.when(exponent.startswith("-"), F.lit("")).otherwise(F.lit("+")), exponent,
     )
     return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(value), F.lit("nan"))
-        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        F.when(F.isnan(value), F.lit("nan"))
+        .when(value == float("inf"), F.lit("inf"))
+        .when(value == float("-inf"), F.lit("-inf"))
         .when(value == 0, F.when(is_negative_zero(value), F.lit("-0x0.0p+0")).otherwise(F.lit("0x0.0p+0")))
-        .otherwise(finite)
+        .when(value.isNotNull(), full)
     )
 
 
-def _scale(size: Column, exponent: Column) -> Column:
-    # 2^-1074 .. 2^1023: halve the power so that it neither overflows nor vanishes.
-    half = F.floor(exponent / F.lit(2)).cast("int")
-    return size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), exponent - half)
-
-
 def json_text(value: Column) -> Column:
     """A JSON string literal in ASCII; other characters become \\uXXXX units."""
     units = F.regexp_extract_all(F.lower(F.hex(F.encode(value, "UTF-16BE"))), F.lit("(....)"), F.lit(1))
