@@ -27,7 +27,7 @@ def join_zone(df: DataFrame, zones: DataFrame, key: str, prefix: str, small: boo
     side = zone_side(zones, key, prefix)
     if fits_broadcast(zones) if small is None else small:
         return df.join(F.broadcast(side), key, "left")
-    return _salted_left_join(df, side, key)
+    return salted_left_join(df, side, key)
 
 
 def join_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
@@ -61,9 +61,13 @@ def unmatched_zones(df: DataFrame, zones: DataFrame, key: str = "PULocationID")
     return counts.join(zones.select(F.col("LocationID").alias(key)), key, "left_anti")
 
 
-def _salted_left_join(df: DataFrame, side: DataFrame, key: str) -> DataFrame:
-    # The lookup is repeated once per salt, and a hot id spreads over all of them. The salt
-    # is a hash of the row, so a task that is run again sends its rows to the same place.
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+def salted_left_join(df: DataFrame, side: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """Left join with a table too large to broadcast, without a hot id going to one task.
+
+    The table is repeated once per salt and the rows of an id spread over all salts; what is
+    still uneven, adaptive execution splits. The salt is a hash of the row, so a task that
+    runs again sends its rows to the same place.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from faremill.operators.compare import diff_examples, diff_multiset
 from faremill.operators.profile import dataset_totals, distinct_schemas, manifest_changes
 from faremill.schemas import OUTPUT_COLUMNS, SchemaError
-from faremill.sources.files import file_digests, file_schemas, list_files, profile_files, read_output
+from faremill.sources.files import file_digests, file_schemas, first_path, profile_files, read_output
 from faremill.sources.sinks import MAX_SUBSET_ROWS, write_documents, write_subset
 from faremill.sources.trips import first_rows
 
@@ -21,8 +21,7 @@ def prepare_subset(spark: SparkSession, trips_path: str, zones_path: str, subset
     if not 1 <= rows <= MAX_SUBSET_ROWS:
         raise ValueError(f"rows must be between 1 and {MAX_SUBSET_ROWS}")
     write_subset(first_rows(spark, trips_path, rows), subset_path)
-    first = list_files(spark, trips_path).agg(F.min("file_path")).first()[0]
-    roles = {"source": first, "subset": subset_path, "lookup": zones_path}
+    roles = {"source": first_path(spark, trips_path), "subset": subset_path, "lookup": zones_path}
     manifest = _union([
         file_digests(spark, path, "*.parquet" if role == "subset" else "*").withColumn("role", F.lit(role))
         for role, path in roles.items()

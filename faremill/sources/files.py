@@ -36,6 +36,11 @@ def sorted_paths(spark: SparkSession, path: str | list[str], pattern: str = PARQ
     return list_files(spark, path, pattern).select("file_path", "file_name").orderBy("file_path")
 
 
+def first_path(spark: SparkSession, path: str | list[str], pattern: str = PARQUET) -> str:
+    """The first file by name."""
+    return list_files(spark, path, pattern).agg(F.min("file_path")).first()[0]
+
+
 def total_bytes(spark: SparkSession, path: str | list[str], pattern: str = PARQUET) -> int:
     return list_files(spark, path, pattern).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faremill.functions.text import month_of
 from faremill.schemas import MONTH, TRIP_COLUMNS, TRIPS, require_schema
+from faremill.sources.files import first_path
 
 
 def read_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -35,8 +36,7 @@ def first_rows(spark: SparkSession, path: str, rows: int, columns: list[str] | N
     """
     if rows < 1:
         raise ValueError("rows must be positive")
-    raw = _scan(spark, path)
-    first = raw.agg(F.min("_metadata.file_path")).first()[0]
+    raw, first = _scan(spark, path), first_path(spark, path)
     kept = raw.filter((F.col("_metadata.file_path") == first) & (F.col("_metadata.row_index") < rows))
     return kept.select(*columns) if columns else _declared(kept)
 
