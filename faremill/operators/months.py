@@ -1,19 +1,24 @@
 """Which months are there, which are done, which are left."""
 
+from __future__ import annotations
+
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.functions.text import month_of
+from faremill.functions.text import MONTH_FORM, month_of
 from faremill.schemas import LEDGER, MONTH
 from faremill.sources.files import list_files
 
 
 def delivered_months(spark: SparkSession, path: str) -> DataFrame:
-    """Months with a trip file and their bytes, from the listing alone."""
+    """Months with trip files: the number of files and their bytes, from the listing alone."""
     return (
-        list_files(spark, path).groupBy(month_of(F.col("file_path")).alias(MONTH)).agg(F.sum("bytes").alias("bytes"))
-        .filter(F.col(MONTH).isNotNull())
+        list_files(spark, path).groupBy(month_of(F.col("file_name"), F.col("file_path")).alias(MONTH))
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+        .filter(F.col(MONTH).rlike(MONTH_FORM))
     )
 
 
@@ -28,13 +33,23 @@ def committed_months(spark: SparkSession, ledger_path: str) -> DataFrame:
 
 
 def pending_months(months: DataFrame, committed: DataFrame) -> DataFrame:
-    """Months without a ledger row. A half-written month has none and is done again."""
-    return months.join(committed.select(MONTH).distinct(), MONTH, "left_anti")
+    """Months that are not done: without a ledger row, or with other files than at their last commit.
+
+    A half-written month has no row and is done again.
+    """
+    input_files = F.struct("files", "bytes")
+    last = (
+        committed.groupBy(MONTH).agg(F.max_by(input_files, "committed_at").alias("input"))
+        .select(MONTH, "input.files", "input.bytes")
+    )
+    return months.join(last, [MONTH, "files", "bytes"], "left_anti")
 
 
 def commit_months(months: DataFrame, ledger_path: str, run_id: str, seconds: float) -> None:
     """Append months to the ledger. Called after their rows are written, never before."""
     (
-        months.select(MONTH, F.lit(run_id).alias("run_id"), F.lit(seconds).alias("runtime_seconds"))
+        months.select(
+            MONTH, "files", "bytes", F.lit(run_id).alias("run_id"), F.lit(seconds).alias("runtime_seconds"),
+            F.lit(time.time()).alias("committed_at"))
         .coalesce(1).write.mode("append").parquet(ledger_path)
     )

@@ -36,7 +36,7 @@ def dataset_totals(profile: DataFrame) -> DataFrame:
 
 def by_delivered_month(profile: DataFrame) -> DataFrame:
     """Add the month named by a trip file."""
-    return profile.withColumn(MONTH, month_of(F.col("file_path")))
+    return profile.withColumn(MONTH, month_of(F.col("file_name"), F.col("file_path")))
 
 
 def by_written_month(profile: DataFrame) -> DataFrame:

@@ -70,11 +70,14 @@ RUN_REPORT = T.StructType([
     T.StructField("parquet_files", T.LongType()),
 ])
 
-# Committed months: a month counts as done only once it has a row here.
+# Committed months: a month counts as done only once it has a row here that names its input.
 LEDGER = T.StructType([
     T.StructField(MONTH, T.StringType()),
+    T.StructField("files", T.LongType()),
+    T.StructField("bytes", T.LongType()),
     T.StructField("run_id", T.StringType()),
     T.StructField("runtime_seconds", T.DoubleType()),
+    T.StructField("committed_at", T.DoubleType()),
 ])
 
 # One JSON line per resource sample.

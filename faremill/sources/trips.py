@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.functions.text import month_of
@@ -22,7 +22,7 @@ def read_trip_months(spark: SparkSession, path: str | list[str], months: list[st
     the file's metadata.
     """
     raw = _scan(spark, path)
-    month = month_of(F.col("_metadata.file_path"))
+    month = _month()
     if months is not None:
         raw = raw.filter(month.isin(months))
     return _declared(raw, month.alias(MONTH))
@@ -49,7 +49,7 @@ def stream_trip_months(spark: SparkSession, path: str, files_per_batch: int = 64
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(path)
-        .select(*TRIP_COLUMNS, month_of(F.col("_metadata.file_path")).alias(MONTH))
+        .select(*TRIP_COLUMNS, _month().alias(MONTH))
     )
 
 
@@ -63,6 +63,10 @@ def _scan(spark: SparkSession, path) -> DataFrame:
     )
 
 
+def _month() -> Column:
+    return month_of(F.col("_metadata.file_name"), F.col("_metadata.file_path"))
+
+
 def _declared(raw: DataFrame, *more) -> DataFrame:
     require_schema(raw.schema, TRIPS)
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRIPS], *more)

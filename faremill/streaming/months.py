@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from faremill.functions.text import MONTH_FORM
 from faremill.plans.export import build_output
 from faremill.schemas import MONTH
 from faremill.sources.sinks import write_months
@@ -25,7 +27,8 @@ def stream_months(spark: SparkSession, trips_path: str, zones: DataFrame, output
     def replace_months(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
         # No more names than files in a batch; they come from file names, no column is read.
-        months = [row[MONTH] for row in batch.select(MONTH).distinct().collect() if row[MONTH]]
+        touched = batch.select(MONTH).distinct().filter(F.col(MONTH).rlike(MONTH_FORM))
+        months = [row[MONTH] for row in touched.collect()]
         if months:
             trips = read_trip_months(session, trips_path, months)
             write_months(build_output(trips, zones, MONTH, unit, how, invalid, gather=True), output_path)

@@ -103,11 +103,17 @@ def test_a_run_that_dies_is_done_again(job, monkeypatch):
 def test_ledger(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     assert committed_months(spark, ledger).count() == 0
-    months = spark.createDataFrame([("2024-01",), ("2024-02",)], f"{MONTH} string")
+    schema = f"{MONTH} string, files long, bytes long"
+    months = spark.createDataFrame([("2024-01", 1, 10), ("2024-02", 1, 10)], schema)
     commit_months(months.filter(F.col(MONTH) == "2024-01"), ledger, "a", 1.0)
     commit_months(months.filter(F.col(MONTH) == "2024-01"), ledger, "b", 1.0)
     left = pending_months(months, committed_months(spark, ledger))
     assert [r[MONTH] for r in left.collect()] == ["2024-02"]
+    # Another file of a finished month makes it pending again, until that is committed.
+    more = spark.createDataFrame([("2024-01", 2, 15)], schema)
+    assert pending_months(more, committed_months(spark, ledger)).count() == 1
+    commit_months(more, ledger, "c", 1.0)
+    assert pending_months(more, committed_months(spark, ledger)).count() == 0
 
 
 def test_a_month_in_two_files_is_one_month(job):
@@ -117,6 +123,25 @@ def test_a_month_in_two_files_is_one_month(job):
     assert job.run()["2024-01"].rows == 3
 
 
+def test_a_late_file_of_a_finished_month(job):
+    job.deliver("2024-01", [trip(), trip(vendor=2)])
+    job.deliver("2024-02", [trip()])
+    job.run()
+    job.deliver("2024-01", [trip(), trip(vendor=3)], part="_late")
+    report = job.run()
+    assert report["2024-01"].rows == 3 and report["2024-02"].runtime_seconds == 0
+    assert job.rows() == job.expected()
+
+
+def test_other_names_have_no_month(job):
+    job.deliver("2024-01", [trip()])
+    job.deliver("latest1", [trip(vendor=2)])
+    os.rename(write_trip_file(job.trips, "x", [trip(vendor=3)]), f"{job.trips}/other.parquet")
+    assert [r[MONTH] for r in delivered_months(job.spark, job.trips).collect()] == ["2024-01"]
+    months = {r.VendorID: r[MONTH] for r in read_trip_months(job.spark, job.trips).collect()}
+    assert months[1] == "2024-01" and months[3] is None
+
+
 def test_report_file_and_totals(job, tmp_path):
     job.deliver("2024-02", [trip()])
     job.deliver("2024-01", [trip()])
