@@ -29,7 +29,7 @@ def committed_months(spark: SparkSession, ledger_path: str) -> DataFrame:
     except AnalysisException as error:  # the folder is made by the first commit
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEDGER)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in LEDGER])
 
 
 def pending_months(months: DataFrame, committed: DataFrame) -> DataFrame:

@@ -70,18 +70,22 @@ def in_utc(operator):
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that all executors share.
 
-    The cluster names that folder in spark.checkpoint.dir. A local session without one
-    gets a temporary folder; on a cluster that would not be shared, so it is an error.
+    The cluster names that folder in spark.checkpoint.dir. A local session without one gets
+    a temporary folder; on a cluster that would not be shared, so it is an error.
     """
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="faremill-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        base = _local_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/faremill/{name}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_folder(_application: str) -> str:
+    return tempfile.mkdtemp(prefix="faremill-")
+
+
 @contextmanager
 def sized(spark: SparkSession, input_bytes: int):
     """Size scans and shuffles for an input, for the jobs run inside this block.
