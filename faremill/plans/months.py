@@ -35,9 +35,9 @@ def export_months(spark: SparkSession, trips_path: str, zones: DataFrame, output
         trips = read_trip_months(spark, trips_path, months)
         with sized(spark, sum(row["bytes"] for row in todo)):
             write_months(build_output(trips, zones, MONTH, unit, how, invalid, gather=True), output_path)
-        # The listing from before the read: files that came meanwhile leave their month pending.
-        done = spark.createDataFrame(todo, pending.schema)
-        commit_months(done, ledger_path, run_id, time.monotonic() - started)
+        # The listing is the one from before the read: files that came meanwhile leave their
+        # month pending.
+        commit_months(pending, ledger_path, run_id, time.monotonic() - started)
     written = by_written_month(profile_files(spark, output_path))
     report = run_report(written, committed_months(spark, ledger_path), run_id).orderBy("month")
     if report_path:
