@@ -23,3 +23,9 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def zone_with_daylight_saving(spark):
+    # The command line sets the engine's own zone on the shared session.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")

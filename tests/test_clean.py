@@ -2,7 +2,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from faremill.operators.clean import add_speed, add_time_features, clean_trips, drop_copies, drop_missing, keep_valid
 from faremill.schemas import MONTH, REQUIRED_COLUMNS, TRIP_COLUMNS

@@ -1,5 +1,3 @@
-import json
-
 import pytest
 
 from faremill.__main__ import main

@@ -1,10 +1,8 @@
-import datetime as dt
 import hashlib
 import os
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from faremill.operators.profile import (
     by_delivered_month, dataset_totals, distinct_schemas, file_report, manifest_changes, month_report)
