@@ -1,3 +1,13 @@
 """SQL of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_warc": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        groups AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS kept FROM payloads)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = kept THEN NULL ELSE kept END AS refers_to
+        FROM groups""",
+}

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, fair_mix, simhash
+from faremill.llm import bpe, fair_mix, simhash, token_files, warc
 from faremill.llm.common import written
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -21,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = token_files.token_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return tokens.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(table(spark, sf_dir, "pages"))
+
+
 def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = written(fair_mix.sized(table(spark, sf_dir, "documents")), "sizes")
     plan = written(fair_mix.mix_plan(sizes), "plan")
@@ -38,6 +47,8 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_simple8b": op4_simple8b,
+    "op5_warc": op5_warc,
     "op6_fair_mix": op6_fair_mix,
     "op8_bpe_prefixes": op8_bpe_prefixes,
     "op10_simhash_bk": op10_simhash_bk,
