@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import bpe, fair_mix, simhash
+from faremill.llm import bpe, fair_mix, quality, simhash
 from faremill.llm.common import written
 from faremill.llm.queries import table, tokenizer
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is ordinary for their language."""
+    return quality.judged(docs, table(spark, sf_dir, "labels")).filter("NOT rejected").select("row.*")
+
+
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
     return simhash.keep_one(docs, words=3, radius=2)
@@ -25,6 +30,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", good_quality),
     ("simhash near-dedup", one_of_near_copies),
     ("mixing", mixed_sources),
     ("bpe", token_ids),

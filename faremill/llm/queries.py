@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, fair_mix, simhash, token_files, warc
+from faremill.llm import bpe, fair_mix, quality, simhash, token_files, warc
 from faremill.llm.common import written
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -41,6 +41,12 @@ def op8_bpe_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return docs.select("row.doc_id", "row.lang", F.exp("log_perplexity").alias("perplexity"), "low", "threshold",
+                       (~F.col("rejected")).alias("kept"))
+
+
 def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -51,5 +57,6 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_fair_mix": op6_fair_mix,
     "op8_bpe_prefixes": op8_bpe_prefixes,
+    "op9_kneser_ney": op9_kneser_ney,
     "op10_simhash_bk": op10_simhash_bk,
 }
