@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import bpe, fair_mix, quality, simhash
+from faremill.llm import bpe, fair_mix, quality, simhash, surrogates
 from faremill.llm.common import written
-from faremill.llm.queries import table, tokenizer
+from faremill.llm.queries import SURROGATE_KEY, table, tokenizer
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +19,11 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.keep_one(docs, words=3, radius=2)
 
 
+def surrogate_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by surrogates."""
+    return surrogates.with_surrogates(docs, SURROGATE_KEY)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document taken twice comes as two rows."""
     return fair_mix.mixed(docs)
@@ -32,6 +37,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", good_quality),
     ("simhash near-dedup", one_of_near_copies),
+    ("pii", surrogate_texts),
     ("mixing", mixed_sources),
     ("bpe", token_ids),
 ]

@@ -7,9 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, fair_mix, quality, simhash, token_files, warc
+from faremill.llm import bpe, fair_mix, langid, quality, simhash, surrogates, token_files, warc
 from faremill.llm.common import written
 
+SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "a key of the deployment")
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
@@ -21,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.with_surrogates(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = token_files.token_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
     return tokens.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -37,6 +42,10 @@ def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages_of(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -53,9 +62,11 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op4_simple8b": op4_simple8b,
     "op5_warc": op5_warc,
     "op6_fair_mix": op6_fair_mix,
+    "op7_cross_parsing": op7_cross_parsing,
     "op8_bpe_prefixes": op8_bpe_prefixes,
     "op9_kneser_ney": op9_kneser_ney,
     "op10_simhash_bk": op10_simhash_bk,
