@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, fair_mix, langid, quality, simhash, surrogates, token_files, warc
+from faremill.llm import bpe, fair_mix, grid_join, langid, posting_lists, quality, simhash, surrogates, token_files, warc
 from faremill.llm.common import written
 
 SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "a key of the deployment")
@@ -26,6 +26,16 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.with_surrogates(table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
+def op2_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+def op3_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return posting_lists.nearest(vectors, queries, top=5)
+
+
 def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = token_files.token_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
     return tokens.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -63,6 +73,8 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
+    "op2_grid_order_join": op2_grid_order_join,
+    "op3_posting_lists": op3_posting_lists,
     "op4_simple8b": op4_simple8b,
     "op5_warc": op5_warc,
     "op6_fair_mix": op6_fair_mix,

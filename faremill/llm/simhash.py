@@ -97,7 +97,7 @@ class BKTree:
         return np.concatenate(found_query), np.concatenate(found_node)
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Merge the sets of linked elements; `label` points to the smallest position of a set."""
     while True:
         la, lb = label[a], label[b]
@@ -129,7 +129,7 @@ def _shard_links(radius: int):
             for at in range(0, len(query_at), step):
                 part = query_at[at:at + step]
                 query, node = tree.search(values[part], radius)
-                _merge(label, part[query], tree_at[node])
+                merge(label, part[query], tree_at[node])
         moved = np.flatnonzero(label != np.arange(len(label)))
         return pd.DataFrame({"u": reps[moved], "v": reps[label[moved]]})
 
