@@ -28,10 +28,10 @@ SAMPLE = 20_000
 LIST = 256
 MOST_LISTS = 8192
 NEIGHBOURS = 16
-BEAM = 32
+BEAM = 80
 REPLICAS = 6
 BOUNDARY = 1.08
-RATIO = 1.35
+RATIO = 1.5
 LEAST_LISTS = 4
 BLOCK = 2048
 QUERY_BLOCK = 512
