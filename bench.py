@@ -66,8 +66,8 @@ def main() -> None:
     for name in ("export_months", "export_months_again"):
         seconds[name], _ = timed(lambda: export_months(spark, trips_path, zones, months, ledger).collect())
     seconds["stream_months"], _ = timed(lambda: stream_months(
-        spark, trips_path, zones, scratch_path(spark, "bench-streamed"), scratch_path(spark, "bench-stream"), 1000
-    ).awaitTermination())
+        spark, trips_path, zones, scratch_path(spark, "bench-streamed"), scratch_path(spark, "bench-stream-ledger"),
+        scratch_path(spark, "bench-stream"), 1000).collect())
 
     seconds["compare_exports"], pairs = timed(lambda: compare_exports(spark, outputs, "udf").collect())
     if not all(pair["equal_values_with_multiplicity"] for pair in pairs):

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from checks.queries import SECOND_DELIVERY, SUBSET_ROWS, VARIANTS
+from checks.queries import EMPTIED, SECOND_DELIVERY, SUBSET_ROWS, VARIANTS
+from faremill.schemas import TRIP_COLUMNS
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
-TRIP = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
-        "PULocationID", "DOLocationID", "fare_amount", "total_amount"]
+TRIP = TRIP_COLUMNS
 RAW = ", ".join(TRIP)
 TEXT = "'%Y-%m-%d %H:%M:%S'"
 SHOWN = ", ".join(f"strftime({c}, {TEXT}) AS {c}" if c.startswith("tpep_") else c for c in TRIP)
@@ -237,6 +237,10 @@ ORACLES: dict[str, str] = {
     "months_pending": _with(TRIPS) + f"SELECT DISTINCT source_month FROM trips WHERE source_month >= '{SECOND_DELIVERY}'",
     "incremental_months": MONTHLY,
     "streamed_months": MONTHLY,
+    "redelivered_months": MONTHLY,
+    "emptied_month": f"SELECT * FROM ({MONTHLY}) WHERE source_month <> '{EMPTIED}'",
+    "withdrawn_month": f"SELECT * FROM ({MONTHLY}) WHERE source_month <> '{EMPTIED}'",
+    "digests_any_size": "SELECT n_nationkey, CAST(strlen(n_name) + 1 AS BIGINT) AS bytes, sha256(n_name || chr(10)) AS sha256 FROM nation",
     "counter_rate": _with(SAMPLES) + "SELECT * FROM samples",
     "resource_maxima": _with(SAMPLES) + """SELECT trace, phase, count(*) AS samples,
       max(host_cpu_busy_percent) AS max_observed_cpu_busy_percent, max(host_ram_used_mib) AS max_observed_ram_used_mib,
@@ -259,7 +263,8 @@ ORACLES: dict[str, str] = {
     "runlog_totals": _with(RUNS) + """SELECT count(*) AS months, round(sum(seconds), 2) AS total_seconds,
       round(sum(seconds) / 6e1, 3) AS total_minutes FROM latest""",
     "runlog_reconstruct": _with(RUNS) + """SELECT month, seconds AS runtime_seconds, rows,
-      CASE WHEN month_of_year <= 6 THEN 'per-month wall clock from Completed line'
-        ELSE 'dataset execution (write included); recovered log' END AS timing_scope FROM latest""",
+      CASE WHEN month_of_year <= 6 THEN 'month, as logged at its end'
+        ELSE 'run of the dataset that wrote the month' END AS timing_scope FROM latest""",
 }
 ORACLES["join_pickup_shuffled"] = ORACLES["join_pickup"]
+ORACLES["mixed_types_scan"] = ORACLES["trip_files_scan"]

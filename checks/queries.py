@@ -42,6 +42,7 @@ QUERIES: dict[str, Query] = {}
 # The month files come in two deliveries, cut here.
 SECOND_DELIVERY = "1996-01"
 SUBSET_ROWS = 5_000
+EMPTIED = "1990-01"
 VARIANTS = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -124,6 +125,17 @@ def trip_months_scan(spark, sf_dir):
     return _as_text(read_trip_months(spark, _delivered(spark, sf_dir)))
 
 
+@query
+def mixed_types_scan(spark, sf_dir):
+    """Months with narrow and with wide keys, read as one table."""
+    path, trips = scratch_path(spark, "trips"), P.trips(spark, sf_dir)
+    wide = {name: F.col(name).cast("long") for name in ("VendorID", "PULocationID", "DOLocationID")}
+    early = F.col(MONTH) < SECOND_DELIVERY
+    P.write_month_files(trips.filter(early), f"{path}/narrow")
+    P.write_month_files(trips.filter(~early).withColumns(wide), f"{path}/wide")
+    return _as_text(read_trips(spark, path))
+
+
 @query
 def one_month_scan(spark, sf_dir):
     return _as_text(read_trip_months(spark, _delivered(spark, sf_dir), ["1990-01"]))
@@ -356,6 +368,16 @@ def file_manifest(spark, sf_dir):
     return file_digests(spark, sf_dir, "*.parquet").select("file_name", "bytes", "sha256")
 
 
+@query
+def digests_any_size(spark, sf_dir):
+    """Digest and bytes of one text file per nation."""
+    path = scratch_path(spark, "texts")
+    P.table(spark, sf_dir, "nation").select("n_nationkey", "n_name").repartition("n_nationkey").write.partitionBy(
+        "n_nationkey").text(path)
+    digests = file_digests(spark, path, "*.txt")
+    return digests.select(F.regexp_extract("file_path", r"n_nationkey=(\d+)", 1).cast("int").alias("n_nationkey"), "bytes", "sha256")
+
+
 @query
 def file_manifest_changes(spark, sf_dir):
     """A stored manifest with one other digest, one file less and one file more."""
@@ -414,7 +436,8 @@ def mismatch_examples(spark, sf_dir):
 @query
 def months_pending(spark, sf_dir):
     delivered, ledger = delivered_months(spark, _delivered(spark, sf_dir)), scratch_path(spark, "ledger")
-    commit_months(delivered.filter(F.col(MONTH) < SECOND_DELIVERY), ledger, "first", 1.0)
+    nothing = {name: F.lit(0) for name in ("rows", "output_bytes", "parquet_files")}
+    commit_months(delivered.filter(F.col(MONTH) < SECOND_DELIVERY).withColumns(nothing), ledger, "first", 1.0)
     return pending_months(delivered, committed_months(spark, ledger)).select(MONTH)
 
 
@@ -434,14 +457,46 @@ def incremental_months(spark, sf_dir):
 def streamed_months(spark, sf_dir):
     """As above with the stream; lines 1 and 2 of the later months come first, in files of their own."""
     trips, zones = scratch_path(spark, "trips"), P.zones(spark, sf_dir)
-    output, checkpoint = scratch_path(spark, "months"), scratch_path(spark, "stream")
+    output, ledger, checkpoint = (scratch_path(spark, name) for name in ("months", "ledger", "stream"))
     early = (F.col(MONTH) < SECOND_DELIVERY) | (F.col("VendorID") <= 2)
     for number, wanted in enumerate((early, ~early)):
         P.write_month_files(P.trips(spark, sf_dir).filter(wanted), f"{trips}/{number}")
-        stream_months(spark, trips, zones, output, checkpoint).awaitTermination()
+        stream_months(spark, trips, zones, output, ledger, checkpoint)
+    return read_months(spark, output)
+
+
+def _delivered_twice(spark, sf_dir, first, second):
+    """An export after each of two deliveries under the same names."""
+    trips, zones = scratch_path(spark, "trips"), P.zones(spark, sf_dir)
+    output, ledger = scratch_path(spark, "months"), scratch_path(spark, "ledger")
+    for delivery in (first, second):
+        P.write_month_files(delivery, trips)
+        export_months(spark, trips, zones, output, ledger)
     return read_months(spark, output)
 
 
+@query
+def redelivered_months(spark, sf_dir):
+    """Months that come again with other rows are done again."""
+    trips = P.trips(spark, sf_dir)
+    return _delivered_twice(spark, sf_dir, trips.withColumn("VendorID", F.col("VendorID") + 1), trips)
+
+
+@query
+def emptied_month(spark, sf_dir):
+    """A month that comes again without a valid trip has no rows left."""
+    trips = P.trips(spark, sf_dir)
+    invalid = F.when(F.col(MONTH) != EMPTIED, F.col("trip_distance")).otherwise(-1.0)
+    return _delivered_twice(spark, sf_dir, trips, trips.withColumn("trip_distance", invalid))
+
+
+@query
+def withdrawn_month(spark, sf_dir):
+    """A month whose files are gone has no rows left."""
+    trips = P.trips(spark, sf_dir)
+    return _delivered_twice(spark, sf_dir, trips, trips.filter(F.col(MONTH) != EMPTIED))
+
+
 # --- metrics and logs ----------------------------------------------------------------
 
 

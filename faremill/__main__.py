@@ -37,7 +37,7 @@ def months(spark: SparkSession, args) -> None:
 
 def stream(spark: SparkSession, args) -> None:
     zones = read_zones(spark, args.zones)
-    stream_months(spark, args.trips, zones, args.output, args.checkpoint, args.files_per_batch).awaitTermination()
+    _show(stream_months(spark, args.trips, zones, args.output, args.ledger, args.checkpoint, args.files_per_batch))
 
 
 def prepare(spark: SparkSession, args) -> None:
@@ -79,8 +79,10 @@ def runlog(spark: SparkSession, args) -> None:
 
 
 def _show(df: DataFrame) -> None:
-    # Reports of a few rows: per file, per month, per pair.
+    """Print a report, and how many of its rows are left out, if any are."""
     df.show(SHOWN_ROWS, truncate=False)
+    if (rows := df.count()) > SHOWN_ROWS:
+        print(f"{rows - SHOWN_ROWS} of {rows} rows are not shown")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -98,7 +100,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--speed", choices=["native", "try_divide", "udf", "pandas"], default="native")
     sub = command(months, "export the months that are not done yet", "trips", "zones", "output", "ledger")
     sub.add_argument("--report", help="folder for the run report as CSV")
-    sub = command(stream, "export files that came since the last run", "trips", "zones", "output", "checkpoint")
+    sub = command(stream, "export files that came since the last run", "trips", "zones", "output", "ledger", "checkpoint")
     sub.add_argument("--files-per-batch", type=int, default=64)
     sub = command(prepare, "write a fixed subset and its manifest", "trips", "zones", "subset", "manifest")
     sub.add_argument("--rows", type=int, default=200_000)

@@ -17,14 +17,9 @@ def speed_try_divide(distance: Column, hours: Column) -> Column:
     return F.try_divide(distance, hours)
 
 
-def speed_or_nan(distance: Column, hours: Column) -> Column:
-    """Miles per hour; NaN where it has no value."""
-    return F.coalesce(speed_or_null(distance, hours), F.lit(float("nan")))
-
-
-@F.udf(T.DoubleType())
+@F.udf(T.DoubleType(), useArrow=True)
 def speed_row_udf(distance, hours):
-    """One Python call per row. Leaves generated code; only for comparison."""
+    """One Python call per row, the rows in Arrow batches. Leaves generated code; only for comparison."""
     if distance is not None and hours is not None and hours > 0:
         return distance / hours
     return None
@@ -36,10 +31,11 @@ def speed_batch_udf(distance: pd.Series, hours: pd.Series) -> pd.Series:
     return distance / hours.where(hours > 0, np.nan)
 
 
-SPEEDS = {
-    ("native", "null"): speed_or_null,
-    ("native", "nan"): speed_or_nan,
-    ("try_divide", "null"): speed_try_divide,
-    ("udf", "null"): speed_row_udf,
-    ("pandas", "null"): speed_batch_udf,
-}
+def _or_nan(speed):
+    """The same speed, NaN where it has no value."""
+    return lambda distance, hours: F.coalesce(speed(distance, hours), F.lit(float("nan")))
+
+
+_FORMS = {"native": speed_or_null, "try_divide": speed_try_divide, "udf": speed_row_udf, "pandas": speed_batch_udf}
+SPEEDS = {(how, "null"): speed for how, speed in _FORMS.items()}
+SPEEDS |= {(how, "nan"): _or_nan(speed) for how, speed in _FORMS.items()}

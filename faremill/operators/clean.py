@@ -68,7 +68,7 @@ def add_speed(df: DataFrame, how: str = "native", invalid: str = "null") -> Data
     """Add the average speed.
 
     `how` is native, try_divide, udf or pandas; `invalid` is what a trip without a positive
-    duration gets: null, or nan with the native form.
+    duration gets: null or nan.
     """
     try:
         speed = SPEEDS[how, invalid]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faremill.functions.text import month_of
 from faremill.functions.units import gib, mib
+from faremill.operators.months import last_commits
 from faremill.schemas import MONTH, OUTPUT_COLUMNS
 
 TOTAL = "total"
@@ -53,29 +54,28 @@ def month_report(profile: DataFrame) -> DataFrame:
     )
 
 
-def run_report(written: DataFrame, ledger: DataFrame, run_id: str) -> DataFrame:
-    """One row per finished month, those of earlier runs with zero seconds.
+def run_report(ledger: DataFrame, run_id: str) -> DataFrame:
+    """One row per month with files: the run that wrote it, its seconds and sizes.
 
-    All months of a run share one job, so its seconds are split by rows: they add up to the
-    time of the run.
+    All months of a run share one job, so only the seconds of the run are measured. The
+    estimate splits those of run `run_id` by rows; months of earlier runs have zero.
     """
+    done = last_commits(ledger).filter("files > 0")
     in_run = F.col("run_id") == run_id
-    done = ledger.groupBy(F.col(MONTH).alias("month")).agg(
-        F.max(F.when(in_run, F.col("runtime_seconds"))).alias("run_seconds"))
-    filled = done.join(month_report(written), "month", "left").fillna(0, ["rows", "output_bytes", "parquet_files"])
     # One row per month, so these windows are short.
-    run = Window.partitionBy(F.col("run_seconds").isNotNull())
-    share = F.coalesce(F.try_divide(F.col("rows"), F.sum("rows").over(run)), F.lit(1.0) / F.count("month").over(run))
-    return filled.select(
-        "month", F.coalesce(F.col("run_seconds") * share, F.lit(0.0)).alias("runtime_seconds"),
+    run = Window.partitionBy("run_id")
+    share = F.coalesce(F.try_divide(F.col("rows"), F.sum("rows").over(run)), F.lit(1.0) / F.count(MONTH).over(run))
+    return done.select(
+        F.col(MONTH).alias("month"), "run_id", "run_seconds",
+        F.when(in_run, F.col("run_seconds") * share).otherwise(F.lit(0.0)).alias("estimated_seconds"),
         "rows", "output_bytes", "parquet_files")
 
 
 def report_totals(report: DataFrame) -> DataFrame:
-    """Months, rows, seconds, bytes and GiB of a run report."""
+    """Months, rows, seconds of the last run, bytes and GiB of a run report."""
     return report.agg(
         F.count(F.lit(1)).alias("months"), F.sum("rows").alias("rows"),
-        F.sum("runtime_seconds").alias("runtime_seconds"), F.sum("output_bytes").alias("output_bytes"),
+        F.sum("estimated_seconds").alias("run_seconds"), F.sum("output_bytes").alias("output_bytes"),
     ).withColumn("output_gib", gib(F.col("output_bytes")))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faremill.functions.text import capture
@@ -18,8 +18,9 @@ SESSION = r"session_([^/\s]+)/"
 
 RUN = "struct<dataset: string, seconds: double, finished_at: bigint>"
 
-COMPLETED_SCOPE = "per-month wall clock from Completed line"
-EXECUTED_SCOPE = "dataset execution (write included); recovered log"
+COMPLETED_SCOPE = "month, as logged at its end"
+EXECUTED_SCOPE = "run of the dataset that wrote the month"
+AMBIGUOUS_SCOPE = "unknown: months and writes of this size cannot be matched"
 
 
 def completed_lines(log: DataFrame) -> DataFrame:
@@ -87,22 +88,33 @@ def pair_writes(executed: DataFrame, written: DataFrame) -> DataFrame:
 def reconstruct(log: DataFrame, report: DataFrame) -> DataFrame:
     """One row per month with its run time and where that comes from.
 
-    A completion line counts where there is one. Other months take the last execution whose
-    written rows are the rows of that month in the run report; `duplicate_keys(report,
-    "rows")` shows months that share a number of rows and cannot be told apart.
+    A completion line counts where there is one. Other months are found by the rows they wrote.
+    Months that share a number of rows take the writes of that number in order, the first
+    month the first write, if there are as many of both; a single month takes the last write.
+    Otherwise the seconds are null, and the scope says so.
     """
     completed = last_per_month(completed_lines(log))
     attempts = pair_writes(executed_lines(log), written_lines(log))
-    executed = (
-        attempts.filter(F.col("seconds").isNotNull())
-        .groupBy("rows").agg(F.max_by("seconds", "finished_at").alias("seconds"))
-        .join(report.select("month", "rows"), "rows")
-        .join(completed.select("month"), "month", "left_anti")
-    )
+    open_months = report.select("month", "rows").distinct().join(completed.select("month"), "month", "left_anti")
+    finished = attempts.filter(F.col("seconds").isNotNull())
+    same_rows, in_turn = Window.partitionBy("rows"), Window.partitionBy("rows").orderBy("at")
+    # Only sizes that some month has are ranked; months of one size are few.
+    writes = finished.join(open_months.select("rows").distinct(), "rows", "left_semi").select(
+        "rows", "seconds", F.col("finished_at").alias("at"))
+    writes = writes.withColumns({"turn": F.row_number().over(in_turn), "writes": F.count(F.lit(1)).over(same_rows)})
+    months = open_months.withColumn("at", F.col("month")).withColumns(
+        {"turn": F.row_number().over(in_turn), "months": F.count(F.lit(1)).over(same_rows)})
+    sizes = writes.groupBy("rows").agg(F.max("writes").alias("writes"), F.max_by("seconds", "at").alias("latest"))
+    matched = months.join(sizes, "rows").join(writes.select("rows", "turn", "seconds"), ["rows", "turn"], "left")
+    known = (F.col("months") == 1) | (F.col("months") == F.col("writes"))
+    executed = matched.select(
+        "month", "rows",
+        F.when(F.col("months") == 1, F.col("latest")).when(known, F.col("seconds")).alias("seconds"),
+        F.when(known, F.lit(EXECUTED_SCOPE)).otherwise(F.lit(AMBIGUOUS_SCOPE)).alias("timing_scope"))
     columns = [F.col("month"), F.col("seconds").alias("runtime_seconds"), F.col("rows")]
     return (
         completed.select(*columns, F.lit(COMPLETED_SCOPE).alias("timing_scope"))
-        .unionAll(executed.select(*columns, F.lit(EXECUTED_SCOPE).alias("timing_scope")))
+        .unionAll(executed.select(*columns, "timing_scope"))
     )
 
 

@@ -52,6 +52,14 @@ def duplicate_keys(zones: DataFrame, key: str = "LocationID") -> DataFrame:
     return zones.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def require_unique_keys(zones: DataFrame, key: str = "LocationID") -> None:
+    """Raise when an id occurs twice in the lookup: a join would multiply the trips of that id."""
+    doubled = duplicate_keys(zones, key)
+    shown = doubled.orderBy(key).limit(20).collect()
+    if shown:
+        raise ValueError(f"{doubled.count()} ids occur more than once in the lookup: " + ", ".join(str(r[key]) for r in shown))
+
+
 def unmatched_zones(df: DataFrame, zones: DataFrame, key: str = "PULocationID") -> DataFrame:
     """Ids that the lookup lacks, with their number of trips.
 
@@ -70,4 +78,5 @@ def salted_left_join(df: DataFrame, side: DataFrame, key: str, salts: int = SALT
     """
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
     repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
+    # Without the hint Spark might broadcast the table, now `salts` times as large.
+    return salted.join(repeated.hint("shuffle_hash"), [key, "_salt"], "left").drop("_salt")

@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from faremill.operators.compare import diff_examples, diff_multiset
 from faremill.operators.profile import dataset_totals, distinct_schemas, manifest_changes
 from faremill.schemas import OUTPUT_COLUMNS, SchemaError
-from faremill.sources.files import file_digests, file_schemas, first_path, profile_files, read_output
-from faremill.sources.sinks import MAX_SUBSET_ROWS, write_documents, write_subset
+from faremill.session import scratch_path, sized
+from faremill.sources.files import (
+    file_digests, file_schemas, first_path, profile_files, read_output, total_bytes)
+from faremill.sources.sinks import write_documents, write_subset, write_table
 from faremill.sources.trips import first_rows
 
+# A fixed subset is for checks; more rows are refused.
+MAX_SUBSET_ROWS = 200_000
+
 
 def prepare_subset(spark: SparkSession, trips_path: str, zones_path: str, subset_path: str, manifest_path: str,
                    rows: int = MAX_SUBSET_ROWS) -> DataFrame:
@@ -39,9 +44,11 @@ def check_manifest(spark: SparkSession, manifest: DataFrame, paths: list[str]) -
     """Raise when a file differs from its digest in the manifest."""
     present = file_digests(spark, paths).withColumn("file_path", _plain("file_path"))
     changes = manifest_changes(manifest.withColumn("file_path", _plain("file_path")), present, "file_path")
-    changed = changes.filter("change <> 'added'").orderBy("file_path").limit(20).collect()
-    if changed:
-        raise ValueError("changed since the manifest was written: " + ", ".join(r["file_path"] for r in changed))
+    changed = changes.filter("change <> 'added'")
+    shown = changed.orderBy("file_path").limit(20).collect()
+    if shown:
+        names = ", ".join(r["file_path"] for r in shown)
+        raise ValueError(f"{changed.count()} files changed since the manifest was written: {names}")
 
 
 def check_columns(spark: SparkSession, path: str, columns: list[str] = OUTPUT_COLUMNS) -> DataFrame:
@@ -58,7 +65,12 @@ def compare_exports(spark: SparkSession, exports: dict[str, str], base: str) ->
     for path in exports.values():
         check_columns(spark, path)
     tables = {name: read_output(spark, path) for name, path in exports.items()}
-    return diff_multiset(tables, [(base, name) for name in tables if name != base], OUTPUT_COLUMNS)
+    pairs = diff_multiset(tables, [(base, name) for name in tables if name != base], OUTPUT_COLUMNS)
+    # The shuffle starts with partitions for all exports together; the result is a row per pair.
+    result = scratch_path(spark, "comparison")
+    with sized(spark, sum(total_bytes(spark, path) for path in exports.values())):
+        write_table(pairs, result)
+    return spark.read.schema(pairs.schema).parquet(result)
 
 
 def comparison_examples(spark: SparkSession, exports: dict[str, str], base: str, examples: int = 3) -> DataFrame:

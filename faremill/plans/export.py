@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from faremill.operators.clean import add_speed, add_time_features, clean_trips
-from faremill.operators.zones import join_zones
+from faremill.operators.zones import join_zones, require_unique_keys
 from faremill.schemas import MONTH, OUTPUT_COLUMNS
 from faremill.session import sized
 from faremill.sources.files import total_bytes
@@ -40,7 +40,9 @@ def export_trips(spark: SparkSession, trips_path: str, zones_path: str, output_p
                  how: str = "native") -> float:
     """Read, clean, enrich and export all months in one job; returns the seconds it took."""
     started = time.monotonic()
-    table = build_output(read_trips(spark, trips_path), read_zones(spark, zones_path), how=how)
+    zones = read_zones(spark, zones_path)
+    require_unique_keys(zones)
+    table = build_output(read_trips(spark, trips_path), zones, how=how)
     with sized(spark, total_bytes(spark, trips_path)):
         write_table(table, output_path)
     return time.monotonic() - started

@@ -6,15 +6,18 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faremill.operators.months import commit_months, committed_months, delivered_months, pending_months
+from faremill.operators.months import (
+    commit_months, committed_months, delivered_months, found_months, pending_months, withdrawn_months)
 from faremill.operators.profile import by_written_month, run_report
+from faremill.operators.zones import require_unique_keys
 from faremill.plans.export import build_output
 from faremill.schemas import MONTH, OUTPUT
 from faremill.session import sized
-from faremill.sources.files import profile_files
-from faremill.sources.sinks import write_months, write_report
+from faremill.sources.files import file_rows
+from faremill.sources.sinks import remove_folder, write_months, write_report
 from faremill.sources.trips import read_trip_months
 
 
@@ -24,27 +27,53 @@ def export_months(spark: SparkSession, trips_path: str, zones: DataFrame, output
     """Export the months that are not committed yet, all in one job, and return the run report.
 
     Months are replaced whole and committed after their rows are in place. A run that dies
-    commits nothing, so the next one writes the same months again over what it left.
+    commits nothing, so the next one writes the same months again over what it left. A month
+    that gave no row this time loses the rows of an earlier delivery, and so does a month
+    whose files were all withdrawn; both are committed as empty.
     """
+    require_unique_keys(zones)
     started, run_id = time.monotonic(), uuid.uuid4().hex
-    pending = pending_months(delivered_months(spark, trips_path), committed_months(spark, ledger_path))
-    # At most one row per calendar month; the scan uses the names to leave out other files.
-    todo = pending.orderBy(MONTH).collect()
-    if todo:
-        months = [row[MONTH] for row in todo]
-        trips = read_trip_months(spark, trips_path, months)
-        with sized(spark, sum(row["bytes"] for row in todo)):
-            write_months(build_output(trips, zones, MONTH, unit, how, invalid, gather=True), output_path)
+    committed, delivered = committed_months(spark, ledger_path), delivered_months(spark, trips_path)
+    # At most one row per calendar month, here and below; the scan uses the names to leave out other files.
+    todo = pending_months(delivered, committed).collect()
+    gone = [row[MONTH] for row in withdrawn_months(delivered, committed).collect()]
+    months = [row[MONTH] for row in todo]
+    if todo or gone:
+        before = {row[MONTH]: row["state"] for row in found_months(spark, output_path).collect()}
+        if todo:
+            trips = read_trip_months(spark, trips_path, months)
+            with sized(spark, sum(row["bytes"] for row in todo)):
+                write_months(build_output(trips, zones, MONTH, unit, how, invalid, gather=True), output_path)
+        after = {row[MONTH]: row for row in found_months(spark, output_path).collect()}
+        emptied = [m for m in months if m in before and after[m]["state"] == before[m]]
+        for month in emptied + [m for m in gone if m in after]:
+            remove_folder(spark, f"{output_path}/{MONTH}={month}")
         # The listing is the one from before the read: files that came meanwhile leave their
         # month pending.
-        commit_months(pending, ledger_path, run_id, time.monotonic() - started)
-    written = by_written_month(profile_files(spark, output_path))
-    report = run_report(written, committed_months(spark, ledger_path), run_id).orderBy("month")
+        commit_months(_outcome(spark, todo, gone, output_path, {m: r for m, r in after.items() if m not in emptied}),
+                      ledger_path, run_id, time.monotonic() - started)
+    report = run_report(committed_months(spark, ledger_path), run_id).orderBy("month")
     if report_path:
         write_report(report, report_path)
     return report
 
 
+def _outcome(spark: SparkSession, todo: list, gone: list[str], output_path: str, after: dict) -> DataFrame:
+    """Ledger rows of a run: what each month read, and what it has in the output now."""
+    folders = [f"{output_path}/{MONTH}={row[MONTH]}" for row in todo if row[MONTH] in after]
+    counts = {}
+    if folders:
+        counted = by_written_month(file_rows(spark, folders)).groupBy(MONTH).agg(F.sum("rows").alias("rows"))
+        counts = {row[MONTH]: row["rows"] for row in counted.collect()}
+    rows = []
+    for row in todo:
+        found = after.get(row[MONTH])
+        rows.append((row[MONTH], row["files"], row["bytes"], row["state"], counts.get(row[MONTH], 0),
+                     found["output_bytes"] if found else 0, found["parquet_files"] if found else 0))
+    rows += [(month, 0, 0, 0, 0, 0, 0) for month in gone]
+    return spark.createDataFrame(rows, f"{MONTH} string, files long, bytes long, state long, rows long, output_bytes long, parquet_files long")
+
+
 def read_months(spark: SparkSession, output_path: str) -> DataFrame:
     """An export by month, the month as text."""
     schema = T.StructType([*OUTPUT.fields, T.StructField(MONTH, T.StringType())])

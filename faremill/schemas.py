@@ -61,22 +61,29 @@ MONTH = "source_month"
 
 FEATURE_COLUMNS = ["trip_distance", "trip_duration_hours", "average_speed_mph"]
 
-# One row per exported month.
+# One row per exported month. All months of a run share a job; what one took is estimated.
 RUN_REPORT = T.StructType([
     T.StructField("month", T.StringType()),
-    T.StructField("runtime_seconds", T.DoubleType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("run_seconds", T.DoubleType()),
+    T.StructField("estimated_seconds", T.DoubleType()),
     T.StructField("rows", T.LongType()),
     T.StructField("output_bytes", T.LongType()),
     T.StructField("parquet_files", T.LongType()),
 ])
 
-# Committed months: a month counts as done only once it has a row here that names its input.
+# Committed months: a month counts as done only once it has a row here that names its input,
+# by files, bytes, and a hash over names, sizes and times of change.
 LEDGER = T.StructType([
     T.StructField(MONTH, T.StringType()),
     T.StructField("files", T.LongType()),
     T.StructField("bytes", T.LongType()),
+    T.StructField("state", T.LongType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("output_bytes", T.LongType()),
+    T.StructField("parquet_files", T.LongType()),
     T.StructField("run_id", T.StringType()),
-    T.StructField("runtime_seconds", T.DoubleType()),
+    T.StructField("run_seconds", T.DoubleType()),
     T.StructField("committed_at", T.DoubleType()),
 ])
 
@@ -142,7 +149,8 @@ class SchemaError(ValueError):
 
 
 _UPCASTS = {
-    T.IntegerType(): (T.ByteType(), T.ShortType(), T.IntegerType()),
+    # Some months come with wide keys; a value that does not fit fails the cast.
+    T.IntegerType(): (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()),
     T.LongType(): (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()),
     T.DoubleType(): (T.FloatType(), T.DoubleType(), T.ByteType(), T.ShortType(), T.IntegerType()),
     T.TimestampNTZType(): (T.TimestampNTZType(),),

@@ -19,7 +19,7 @@ LEAST_SPLIT_BYTES = 128 << 20
 MOST_SPLIT_BYTES = 1 << 30
 MOST_SCAN_TASKS = 100_000
 SHUFFLE_BYTES = 128 << 20
-MOST_PARTITIONS = 32_768
+MOST_PARTITIONS = 131_072
 
 SETTINGS = {
     ZONE_KEY: "UTC",
@@ -87,7 +87,7 @@ def _local_folder(_application: str) -> str:
 
 
 @contextmanager
-def sized(spark: SparkSession, input_bytes: int):
+def sized(spark: SparkSession, input_bytes: int, most_partitions: int = MOST_PARTITIONS):
     """Size scans and shuffles for an input, for the jobs run inside this block.
 
     Adaptive execution merges shuffle partitions but never adds any, so the first number
@@ -96,7 +96,7 @@ def sized(spark: SparkSession, input_bytes: int):
     """
     split = min(max(input_bytes // MOST_SCAN_TASKS, LEAST_SPLIT_BYTES), MOST_SPLIT_BYTES)
     cores = spark.sparkContext.defaultParallelism
-    partitions = min(max(math.ceil(input_bytes / SHUFFLE_BYTES), cores), max(MOST_PARTITIONS, cores))
+    partitions = min(max(math.ceil(input_bytes / SHUFFLE_BYTES), cores), max(most_partitions, cores))
     wanted = {SPLIT_KEY: str(split), PARTITIONS_KEY: str(partitions)}
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():

@@ -7,29 +7,32 @@ read Parquet footers, since a count without columns needs nothing else.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
-import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.schemas import OUTPUT_COLUMNS, require_columns
+from faremill.sources.stores import open_store
 
 PARQUET = "*.parquet"
-# Larger files are digested as a stream in the task instead of as one value in memory.
-WHOLE_FILE_BYTES = 256 << 20
+FILES_AT_ONCE = 4
 _CHUNK_BYTES = 4 << 20
 
 
 def list_files(spark: SparkSession, path: str | list[str], pattern: str = PARQUET) -> DataFrame:
-    """file_path, file_name, bytes of every file under a path."""
+    """file_path, file_name, bytes, modified of every file under a path.
+
+    The scan would plan a task per large file, though it opens none; the tasks are merged.
+    """
     return _binary(spark, path, pattern).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("length").alias("bytes"),
-    )
+        F.col("_metadata.file_modification_time").alias("modified"),
+    ).coalesce(spark.sparkContext.defaultParallelism)
 
 
 def sorted_paths(spark: SparkSession, path: str | list[str], pattern: str = PARQUET) -> DataFrame:
@@ -65,21 +68,33 @@ def profile_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str | list[str], pattern: str = "*",
-                 whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """file_path, file_name, bytes, sha256 of every file under a path."""
-    files = _binary(spark, path, pattern)
-    name = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
-            F.col("length").alias("bytes")]
-    small = files.filter(F.col("length") <= whole_bytes).select(*name, F.sha2("content", 256).alias("sha256"))
-    large = files.filter(F.col("length") > whole_bytes).select(*name)
-    streamed = large.mapInPandas(_stream_digests, "file_path string, file_name string, bytes long, sha256 string")
-    return small.unionByName(streamed)
+                 options: Mapping[str, object] | None = None) -> DataFrame:
+    """file_path, file_name, bytes, sha256 of every file under a path.
+
+    A file of any size is read as a stream in a task. `options` are those of its store.
+    """
+
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for files in batches:
+            yield files.assign(sha256=[_digest(path, options) for path in files["file_path"]])
+
+    files = _dealt(list_files(spark, path, pattern).select("file_path", "file_name", "bytes"))
+    return files.mapInPandas(digests, "file_path string, file_name string, bytes long, sha256 string")
 
 
-def file_schemas(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file_path, columns, schema of every Parquet file, from its footer."""
-    return list_files(spark, path).select("file_path").mapInPandas(
-        _read_footers, "file_path string, columns array<string>, schema string")
+def file_schemas(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
+                 options: Mapping[str, object] | None = None) -> DataFrame:
+    """file_path, columns, schema of every Parquet file, from its footer; of `columns` only, if given."""
+
+    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for files in batches:
+            schemas = [_footer(path, columns, options) for path in files["file_path"]]
+            yield files.assign(
+                columns=[[name for name, _ in fields] for fields in schemas],
+                schema=["\n".join(f"{name}: {kind}" for name, kind in fields) for fields in schemas])
+
+    return _dealt(list_files(spark, path).select("file_path")).mapInPandas(
+        footers, "file_path string, columns array<string>, schema string")
 
 
 def read_output(spark: SparkSession, path: str | list[str], columns: list[str] = OUTPUT_COLUMNS) -> DataFrame:
@@ -104,29 +119,20 @@ def _binary(spark: SparkSession, path, pattern: str) -> DataFrame:
     )
 
 
-def _stream_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for files in batches:
-        yield files.assign(sha256=[_digest(path) for path in files["file_path"]])
+def _dealt(files: DataFrame) -> DataFrame:
+    """A listing dealt out again: its tasks now open the files."""
+    return files.repartition(files.sparkSession.sparkContext.defaultParallelism * FILES_AT_ONCE, "file_path")
 
 
-def _digest(path: str) -> str:
-    system, name = pyarrow.fs.FileSystem.from_uri(path)
+def _digest(path: str, options: Mapping[str, object] | None) -> str:
+    system, name = open_store(path, options)
     digest = hashlib.sha256()
-    with system.open_input_stream(name) as stream:
+    with system.open_input_stream(name, compression=None) as stream:
         while chunk := stream.read(_CHUNK_BYTES):
             digest.update(chunk)
     return digest.hexdigest()
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for files in batches:
-        schemas = [_footer(path) for path in files["file_path"]]
-        yield files.assign(
-            columns=[schema.names for schema in schemas],
-            schema=["\n".join(f"{field.name}: {field.type}" for field in schema) for schema in schemas],
-        )
-
-
-def _footer(path: str):
-    system, name = pyarrow.fs.FileSystem.from_uri(path)
-    return pq.read_schema(name, filesystem=system)
+def _footer(path: str, columns: list[str] | None, options: Mapping[str, object] | None) -> list[tuple[str, str]]:
+    system, name = open_store(path, options)
+    return [(f.name, str(f.type)) for f in pq.read_schema(name, filesystem=system) if columns is None or f.name in columns]

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.schemas import MONTH, RUN_REPORT
 
-# A fixed subset and a run report are small by definition and go to one file each.
-MAX_SUBSET_ROWS = 200_000
-
 
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -35,11 +32,8 @@ def write_months(df: DataFrame, path: str) -> None:
 
 
 def write_subset(df: DataFrame, path: str) -> None:
-    """A bounded subset as one Snappy file."""
-    (
-        df.limit(MAX_SUBSET_ROWS).coalesce(1)
-        .write.mode("overwrite").option("compression", "snappy").parquet(path)
-    )
+    """A subset as one Snappy file. Whoever takes the subset bounds its rows; none is left out here."""
+    df.coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -50,5 +44,11 @@ def write_report(report: DataFrame, path: str) -> None:
     )
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, with the file system that Spark uses for it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_documents(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)

@@ -1,18 +1,25 @@
-"""Trip files: Parquet, one file (or one folder of part files) per month."""
+"""Trip files: Parquet, one file (or one folder of part files) per month.
+
+Spark takes the schema of a scan from one footer, and gives nulls for a column that another
+file lacks. So all footers are read first: a file without a trip column is an error, and files
+whose types differ are read in groups of equal types, each cast to the declared ones.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.functions.text import month_of
-from faremill.schemas import MONTH, TRIP_COLUMNS, TRIPS, require_schema
-from faremill.sources.files import first_path
+from faremill.schemas import MONTH, TRIP_COLUMNS, TRIPS, SchemaError, require_schema
+from faremill.sources.files import file_schemas, first_path
 
 
 def read_trips(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All months under a path as one table of the nine trip columns."""
-    return _declared(_scan(spark, path))
+    return _union([_declared(scan) for scan in _scans(spark, path)])
 
 
 def read_trip_months(spark: SparkSession, path: str | list[str], months: list[str] | None = None) -> DataFrame:
@@ -21,11 +28,11 @@ def read_trip_months(spark: SparkSession, path: str | list[str], months: list[st
     Naming months drops the other files when the scan is planned: the filter looks only at
     the file's metadata.
     """
-    raw = _scan(spark, path)
     month = _month()
+    scans = _scans(spark, path)
     if months is not None:
-        raw = raw.filter(month.isin(months))
-    return _declared(raw, month.alias(MONTH))
+        scans = [scan.filter(month.isin(months)) for scan in scans]
+    return _union([_declared(scan, month.alias(MONTH)) for scan in scans])
 
 
 def first_rows(spark: SparkSession, path: str, rows: int, columns: list[str] | None = None) -> DataFrame:
@@ -36,23 +43,42 @@ def first_rows(spark: SparkSession, path: str, rows: int, columns: list[str] | N
     """
     if rows < 1:
         raise ValueError("rows must be positive")
-    raw, first = _scan(spark, path), first_path(spark, path)
-    kept = raw.filter((F.col("_metadata.file_path") == first) & (F.col("_metadata.row_index") < rows))
+    kept = _scan(spark, first_path(spark, path)).filter(F.col("_metadata.row_index") < rows)
     return kept.select(*columns) if columns else _declared(kept)
 
 
 def stream_trip_months(spark: SparkSession, path: str, files_per_batch: int = 64) -> DataFrame:
-    """New trip files as a stream of months."""
+    """The months and names of new trip files, as a stream; no column is read."""
     return (
         spark.readStream.schema(TRIPS)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(path)
-        .select(*TRIP_COLUMNS, _month().alias(MONTH))
+        .select(_month().alias(MONTH), F.col("_metadata.file_name").alias("file_name"))
     )
 
 
+def _scans(spark: SparkSession, path) -> list[DataFrame]:
+    """A scan for each set of types that the files have."""
+    footers = file_schemas(spark, path, TRIP_COLUMNS)
+    missing = footers.filter(F.size("columns") < len(TRIP_COLUMNS))
+    shown = missing.orderBy("file_path").limit(20).collect()
+    if shown:
+        names = ", ".join(f"{r['file_path']} ({', '.join(c for c in TRIP_COLUMNS if c not in r['columns'])})" for r in shown)
+        raise SchemaError(f"{missing.count()} trip files lack columns: {names}")
+    # A row per set of types. File names come to the driver only where there are several.
+    kinds = [r["schema"] for r in footers.select("schema").distinct().collect()]
+    if len(kinds) <= 1:
+        return [_scan(spark, path)]
+    return [_scan(spark, [r["file_path"] for r in footers.filter(F.col("schema") == kind).select("file_path").collect()])
+            for kind in sorted(kinds)]
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _scan(spark: SparkSession, path) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     return (

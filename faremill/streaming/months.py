@@ -4,39 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.query import StreamingQuery
 
-from faremill.functions.text import MONTH_FORM
-from faremill.plans.export import build_output
+from faremill.operators.months import require_months
+from faremill.plans.months import export_months
 from faremill.schemas import MONTH
-from faremill.sources.sinks import write_months
-from faremill.sources.trips import read_trip_months, stream_trip_months
+from faremill.sources.trips import stream_trip_months
 
 
-def stream_months(spark: SparkSession, trips_path: str, zones: DataFrame, output_path: str, checkpoint_path: str,
-                  files_per_batch: int = 64, unit: str = "fraction", how: str = "native",
-                  invalid: str = "nan") -> StreamingQuery:
-    """Process the files that came since the last run, then stop.
+def stream_months(spark: SparkSession, trips_path: str, zones: DataFrame, output_path: str, ledger_path: str,
+                  checkpoint_path: str, files_per_batch: int = 64, unit: str = "fraction", how: str = "native",
+                  invalid: str = "nan") -> DataFrame:
+    """Process the files that came since the last run, then stop; returns the run report.
 
-    A batch only says which months were touched. Those months are read whole from the input
-    and replaced whole in the output: a month that comes in several files, over several
-    batches, keeps all its rows and loses its copies, and a batch that runs twice leaves the
-    same table. No state grows with the stream.
+    Batches only note which months were touched, next to the checkpoint. After them every
+    month whose files changed is rebuilt once, by the code and the ledger of `export_months`,
+    in however many files and batches it came. A batch that runs twice notes the same months,
+    and a run that dies leaves them pending. No state grows with the stream.
     """
 
-    def replace_months(batch: DataFrame, _batch_id: int) -> None:
-        session = batch.sparkSession
-        # No more names than files in a batch; they come from file names, no column is read.
-        touched = batch.select(MONTH).distinct().filter(F.col(MONTH).rlike(MONTH_FORM))
-        months = [row[MONTH] for row in touched.collect()]
-        if months:
-            trips = read_trip_months(session, trips_path, months)
-            write_months(build_output(trips, zones, MONTH, unit, how, invalid, gather=True), output_path)
+    def note_months(batch: DataFrame, batch_id: int) -> None:
+        # Names of files only: no column is read.
+        files = batch.distinct()
+        require_months(files)
+        files.select(MONTH).distinct().withColumn("batch", F.lit(batch_id)).coalesce(1).write.mode("append").parquet(
+            f"{checkpoint_path}/touched")
 
-    return (
+    (
         stream_trip_months(spark, trips_path, files_per_batch)
-        .writeStream.foreachBatch(replace_months)
-        .option("checkpointLocation", checkpoint_path)
+        .writeStream.foreachBatch(note_months)
+        .option("checkpointLocation", f"{checkpoint_path}/files")
         .trigger(availableNow=True)
-        .start()
+        .start().awaitTermination()
     )
+    return export_months(spark, trips_path, zones, output_path, ledger_path, None, unit, how, invalid)

@@ -95,10 +95,11 @@ def test_speed_forms_agree(spark):
              for how in ("native", "try_divide", "udf", "pandas")}
     assert forms["native"].count(None) == 1 and 12.0 in forms["native"]
     assert all(speeds == forms["native"] for speeds in forms.values())
-    nan = [row.average_speed_mph for row in add_speed(df, "native", "nan").orderBy("trip_distance").collect()]
-    assert sum(math.isnan(x) for x in nan) == 1
+    for how in forms:
+        nan = [row.average_speed_mph for row in add_speed(df, how, "nan").orderBy("trip_distance").collect()]
+        assert [math.isnan(x) for x in nan] == [x is None for x in forms[how]], how
     with pytest.raises(ValueError):
-        add_speed(df, "udf", "nan")
+        add_speed(df, "udf", "zero")
 
 
 def test_speed_of_missing_values(spark):

@@ -12,7 +12,7 @@ def paths(tmp_path):
     write_trip_file(tmp_path / "in", "2024-02", [trip(vendor=3)])
     (tmp_path / "zones.csv").write_text("LocationID,Borough,Zone,service_zone\n1,Queens,N/A,\n2,,Astoria,Boro Zone\n")
     return {name: str(tmp_path / name) for name in (
-        "in", "zones.csv", "native", "udf", "months", "ledger", "report", "stream", "checkpoint", "subset", "manifest",
+        "in", "zones.csv", "native", "udf", "months", "ledger", "report", "stream", "stream-ledger", "checkpoint", "subset", "manifest",
         "summary", "metrics", "run.log")} | {"glob": str(tmp_path / "in" / "*.parquet")}
 
 
@@ -41,7 +41,7 @@ def test_export_compare_and_validate(spark, paths, tmp_path, capsys):
 def test_months_stream_and_logs(spark, paths, tmp_path, capsys):
     source = ["--trips", paths["in"], "--zones", paths["zones.csv"]]
     main(["months", *source, "--output", paths["months"], "--ledger", paths["ledger"], "--report", paths["report"]])
-    main(["stream", *source, "--output", paths["stream"], "--checkpoint", paths["checkpoint"]])
+    main(["stream", *source, "--output", paths["stream"], "--ledger", paths["stream-ledger"], "--checkpoint", paths["checkpoint"]])
     assert spark.read.parquet(paths["months"]).count() == spark.read.parquet(paths["stream"]).count() == 3
     (tmp_path / "run.log").write_text("Completed 2024-01: 2 rows, 4.25 seconds\n")
     main(["runlog", "--log", paths["run.log"]])

@@ -11,6 +11,7 @@ from faremill.plans.export import build_output
 from faremill.schemas import OUTPUT_COLUMNS, TRIP_COLUMNS, SchemaError
 from faremill.sources.files import (
     file_digests, file_rows, file_schemas, list_files, profile_files, read_output, sorted_paths, total_bytes)
+from faremill.sources.stores import open_store
 from faremill.sources.sinks import write_subset, write_table
 from faremill.sources.trips import first_rows, read_trip_months, read_trips
 from helpers import ARROW_TRIPS, plan_of, trip, trips, write_trip_file, zones
@@ -93,11 +94,29 @@ def test_extra_columns_are_not_read(spark, tmp_path):
     assert "tolls_amount" not in plan
 
 
-def test_digests_whole_and_streamed(spark, folder):
+def test_digests(spark, folder):
+    with open(f"{folder}/large.gz", "wb") as large:  # longer than what is read at once, and not unpacked
+        large.write(os.urandom(9 << 20))
     expected = {n: hashlib.sha256(open(f"{folder}/{n}", "rb").read()).hexdigest() for n in os.listdir(folder)}
-    for limit in (1 << 30, 0, sorted(os.path.getsize(f"{folder}/{n}") for n in expected)[1]):
-        got = {r.file_name: r.sha256 for r in file_digests(spark, folder, whole_bytes=limit).collect()}
-        assert got == expected
+    assert {r.file_name: r.sha256 for r in file_digests(spark, folder).collect()} == expected
+
+
+def test_stores():
+    assert open_store("/a b/c")[1] == open_store("file:/a%20b/c")[1] == open_store("file:///a%20b/c")[1] == "/a b/c"
+    with pytest.raises(ValueError, match="no file system for scheme 'viewfs'"):
+        open_store("viewfs://a/b")
+
+
+def test_listing_has_few_tasks(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.bin").write_bytes(bytes(1000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        listed = list_files(spark, str(tmp_path), "*.bin")
+        assert listed.count() == 40 and listed.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_manifest_changes(spark):
@@ -150,6 +169,6 @@ def test_output_types(spark):
     assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in OUTPUT]
 
 
-def test_subset_is_bounded(spark, tmp_path):
+def test_subset_is_written_whole(spark, tmp_path):
     write_subset(spark.range(250_000), str(tmp_path / "s"))
-    assert spark.read.parquet(str(tmp_path / "s")).count() == 200_000
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 250_000

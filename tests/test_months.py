@@ -9,12 +9,12 @@ from faremill.operators.profile import report_totals
 from faremill.plans import months as plan
 from faremill.plans.export import build_output, export_trips
 from faremill.plans.months import export_months, read_months
-from faremill.schemas import MONTH, OUTPUT_COLUMNS, RUN_REPORT
+from faremill.schemas import MONTH, OUTPUT_COLUMNS, RUN_REPORT, SchemaError
 from faremill.session import sized
 from faremill.sources.files import read_output
 from faremill.sources.trips import read_trip_months
 from faremill.streaming.months import stream_months
-from helpers import trip, write_trip_file, zones
+from helpers import ARROW_TRIPS, trip, write_trip_file, zones
 
 
 @pytest.fixture()
@@ -36,7 +36,7 @@ class Job:
         return {r.month: r for r in report.collect()}
 
     def stream(self, files_per_batch=1):
-        stream_months(self.spark, self.trips, self.lookup, self.output, self.checkpoint, files_per_batch).awaitTermination()
+        stream_months(self.spark, self.trips, self.lookup, self.output, self.ledger, self.checkpoint, files_per_batch)
 
     def rows(self):
         return rows_of(read_months(self.spark, self.output))
@@ -59,12 +59,12 @@ def test_finished_months_are_left_alone(job):
     job.deliver("2024-02", [trip(), trip(distance=0.0)])
     first = job.run()
     assert {m: (r.rows, r.parquet_files) for m, r in first.items()} == {"2024-01": (2, 1), "2024-02": (1, 1)}
-    assert all(r.runtime_seconds > 0 and r.output_bytes > 0 for r in first.values())
+    assert all(r.estimated_seconds > 0 and r.output_bytes > 0 for r in first.values())
     before = {f: os.path.getmtime(os.path.join(d, f)) for d, _, files in os.walk(job.output) for f in files if f.startswith("part")}
     job.deliver("2024-03", [trip(vendor=3)])
     second = job.run()
     after = {f: os.path.getmtime(os.path.join(d, f)) for d, _, files in os.walk(job.output) for f in files if f.startswith("part")}
-    assert {m: r.runtime_seconds > 0 for m, r in second.items()} == {"2024-01": False, "2024-02": False, "2024-03": True}
+    assert {m: r.estimated_seconds > 0 for m, r in second.items()} == {"2024-01": False, "2024-02": False, "2024-03": True}
     assert before.items() <= after.items() and len(after) == len(before) + 1
     assert job.rows() == job.expected()
     assert job.run().keys() == second.keys() and job.rows() == job.expected()
@@ -77,8 +77,8 @@ def test_the_seconds_of_a_run_add_up(job, monkeypatch):
     commit = plan.commit_months
     monkeypatch.setattr(plan, "commit_months", lambda *args: (seconds.update(run=args[3]), commit(*args)))
     report = job.run()
-    assert sum(r.runtime_seconds for r in report.values()) == pytest.approx(seconds["run"])
-    assert report["2024-01"].runtime_seconds == pytest.approx(0.75 * seconds["run"])
+    assert sum(r.estimated_seconds for r in report.values()) == pytest.approx(seconds["run"])
+    assert report["2024-01"].estimated_seconds == pytest.approx(0.75 * seconds["run"])
     # A month without a valid trip is finished too.
     assert (report["2024-03"].rows, report["2024-03"].parquet_files) == (0, 0)
 
@@ -103,14 +103,14 @@ def test_a_run_that_dies_is_done_again(job, monkeypatch):
 def test_ledger(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     assert committed_months(spark, ledger).count() == 0
-    schema = f"{MONTH} string, files long, bytes long"
-    months = spark.createDataFrame([("2024-01", 1, 10), ("2024-02", 1, 10)], schema)
+    schema = f"{MONTH} string, files long, bytes long, state long, rows long, output_bytes long, parquet_files long"
+    months = spark.createDataFrame([("2024-01", 1, 10, 7, 1, 1, 1), ("2024-02", 1, 10, 7, 1, 1, 1)], schema)
     commit_months(months.filter(F.col(MONTH) == "2024-01"), ledger, "a", 1.0)
     commit_months(months.filter(F.col(MONTH) == "2024-01"), ledger, "b", 1.0)
     left = pending_months(months, committed_months(spark, ledger))
     assert [r[MONTH] for r in left.collect()] == ["2024-02"]
     # Another file of a finished month makes it pending again, until that is committed.
-    more = spark.createDataFrame([("2024-01", 2, 15)], schema)
+    more = spark.createDataFrame([("2024-01", 2, 15, 8, 1, 1, 1)], schema)
     assert pending_months(more, committed_months(spark, ledger)).count() == 1
     commit_months(more, ledger, "c", 1.0)
     assert pending_months(more, committed_months(spark, ledger)).count() == 0
@@ -129,19 +129,71 @@ def test_a_late_file_of_a_finished_month(job):
     job.run()
     job.deliver("2024-01", [trip(), trip(vendor=3)], part="_late")
     report = job.run()
-    assert report["2024-01"].rows == 3 and report["2024-02"].runtime_seconds == 0
+    assert report["2024-01"].rows == 3 and report["2024-02"].estimated_seconds == 0
     assert job.rows() == job.expected()
 
 
-def test_other_names_have_no_month(job):
+def test_files_that_name_no_month_are_refused(job):
     job.deliver("2024-01", [trip()])
     job.deliver("latest1", [trip(vendor=2)])
     os.rename(write_trip_file(job.trips, "x", [trip(vendor=3)]), f"{job.trips}/other.parquet")
-    assert [r[MONTH] for r in delivered_months(job.spark, job.trips).collect()] == ["2024-01"]
+    with pytest.raises(SchemaError, match=r"2 trip files name no month: other\.parquet, yellow_tripdata_latest1\.parquet"):
+        job.run()
+    with pytest.raises(Exception, match="name no month"):
+        job.stream()
     months = {r.VendorID: r[MONTH] for r in read_trip_months(job.spark, job.trips).collect()}
     assert months[1] == "2024-01" and months[3] is None
 
 
+def test_a_redelivered_month_of_the_same_size(job):
+    path = write_trip_file(job.trips, "2024-01", [trip(vendor=1)])
+    job.run()
+    size = os.path.getsize(path)
+    write_trip_file(job.trips, "2024-01", [trip(vendor=7)])
+    assert os.path.getsize(path) == size
+    job.run()
+    assert job.rows() == job.expected() and [r.VendorID for r in read_months(job.spark, job.output).collect()] == [7]
+
+
+def test_a_month_that_becomes_empty_and_one_that_is_withdrawn(job):
+    for month in ("2024-01", "2024-02", "2024-03"):
+        job.deliver(month, [trip(), trip(vendor=2)])
+    job.run()
+    job.deliver("2024-01", [trip(distance=0.0)] * 5)
+    os.remove(f"{job.trips}/yellow_tripdata_2024-02.parquet")
+    report = job.run()
+    assert {m: r.rows for m, r in report.items()} == {"2024-01": 0, "2024-03": 2}
+    assert job.rows() == job.expected() and sum(job.rows().values()) == 2
+    assert job.run() .keys() == report.keys()
+    job.deliver("2024-02", [trip(vendor=5)])
+    assert job.run()["2024-02"].rows == 1 and job.rows() == job.expected()
+
+
+def test_a_file_without_a_column_is_refused(job):
+    job.deliver("2024-01", [trip()])
+    schema = ARROW_TRIPS.remove(4)
+    rows = [tuple(v for i, v in enumerate(trip()) if i != 4)]
+    write_trip_file(job.trips, "2024-02", rows, schema=schema)
+    with pytest.raises(SchemaError, match=r"1 trip files lack columns: .*2024-02\.parquet \(trip_distance\)"):
+        read_trip_months(job.spark, job.trips)
+
+
+def test_doubled_zones_are_refused(job, spark):
+    job.deliver("2024-01", [trip()])
+    job.lookup = job.lookup.unionAll(job.lookup)
+    with pytest.raises(ValueError, match="2 ids occur more than once in the lookup: 1, 2"):
+        job.run()
+
+
+def test_a_month_in_many_files_is_written_once(job, monkeypatch):
+    for part in "abcde":
+        job.deliver("2024-01", [trip(vendor=ord(part))], part=f"_{part}")
+    writes, write = [], plan.write_months
+    monkeypatch.setattr(plan, "write_months", lambda df, path: (writes.append(path), write(df, path)))
+    job.stream(files_per_batch=1)
+    assert len(writes) == 1 and job.rows() == job.expected()
+
+
 def test_report_file_and_totals(job, tmp_path):
     job.deliver("2024-02", [trip()])
     job.deliver("2024-01", [trip()])
@@ -168,16 +220,15 @@ def test_stream_keeps_a_month_that_comes_in_parts(job):
 
 
 def test_a_batch_that_fails_is_done_again(job, monkeypatch):
-    from faremill.streaming import months as streaming
     job.deliver("2024-01", [trip(), trip(vendor=2)])
-    write = streaming.write_months
+    write = plan.write_months
 
     def write_and_die(*args):
         write(*args)
         raise RuntimeError("lost")
 
     with monkeypatch.context() as broken:
-        broken.setattr(streaming, "write_months", write_and_die)
+        broken.setattr(plan, "write_months", write_and_die)
         with pytest.raises(Exception, match="lost"):
             job.stream()
     job.stream()
@@ -189,7 +240,7 @@ def test_stream_is_the_batch(job, spark, tmp_path):
         job.deliver(month, [trip(vendor=i % 5, pickup=i % 3) for i in range(20)])
     job.stream(files_per_batch=2)
     streamed = job.rows()
-    job.output = str(tmp_path / "batch")
+    job.output, job.ledger = str(tmp_path / "batch"), str(tmp_path / "batch-ledger")
     job.run()
     assert job.rows() == streamed
 
@@ -234,5 +285,5 @@ def test_sizes_are_bounded_and_given_back(spark):
     with sized(spark, 10 << 30) as partitions:
         assert partitions == 80 and spark.conf.get(keys[1]) == "80"
     with sized(spark, 100 << 40) as partitions:
-        assert partitions == 32_768 and int(spark.conf.get(keys[0])) == 1 << 30
+        assert partitions == 131_072 and int(spark.conf.get(keys[0])) == 1 << 30
     assert [spark.conf.get(k, None) for k in keys] == before

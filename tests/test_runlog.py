@@ -1,5 +1,5 @@
 from faremill.operators.runlog import (
-    COMPLETED_SCOPE, EXECUTED_SCOPE, completed_lines, executed_lines, last_per_month, pair_writes, reconstruct,
+    AMBIGUOUS_SCOPE, COMPLETED_SCOPE, EXECUTED_SCOPE, completed_lines, executed_lines, last_per_month, pair_writes, reconstruct,
     runtime_totals, written_lines)
 from faremill.sources.documents import read_log
 
@@ -66,3 +66,15 @@ def test_writes_are_paired_with_the_execution_before_them(spark, tmp_path):
     report = spark.createDataFrame([("2024-01", 500), ("2024-03", 700), ("2024-04", 900), ("2024-05", 1)], "month string, rows long")
     got = {r.month: (r.runtime_seconds, r.rows, r.timing_scope) for r in reconstruct(log, report).collect()}
     assert got == {"2024-01": (73.44, 500, EXECUTED_SCOPE), "2024-03": (4.25, 700, COMPLETED_SCOPE)}
+
+
+def test_months_of_one_size(spark, tmp_path):
+    shared = "/s/session_1/logs/shared.log:"
+    lines = []
+    for i, (rows, seconds) in enumerate([(10, "5.00"), (10, "9.00"), (20, "1.00"), (20, "2.00"), (20, "3.00"), (30, "7.00")]):
+        lines += [executed(f"2026-10-05 00:{i:02d}:00,000", f"dataset_{i}_0", seconds, shared), written(f"2026-10-05 00:{i:02d}:01,000", rows, shared)]
+    (tmp_path / "grep.txt").write_text("\n".join(lines))
+    report = spark.createDataFrame([("2024-01", 10), ("2024-02", 10), ("2024-03", 20), ("2024-04", 20), ("2024-05", 30)], "month string, rows long")
+    got = {r.month: (r.runtime_seconds, r.timing_scope) for r in reconstruct(read_log(spark, str(tmp_path)), report).collect()}
+    assert got == {"2024-01": (5.0, EXECUTED_SCOPE), "2024-02": (9.0, EXECUTED_SCOPE), "2024-03": (None, AMBIGUOUS_SCOPE),
+                   "2024-04": (None, AMBIGUOUS_SCOPE), "2024-05": (7.0, EXECUTED_SCOPE)}
