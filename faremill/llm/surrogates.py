@@ -116,6 +116,10 @@ def _draw(stream: Column, at: Column) -> Column:
     return F.conv(F.substr(stream, 2 * (at % 128) + 1, F.lit(2)), 16, 10).cast("int")
 
 
+def _characters(text: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substr(text, i, F.lit(1)))
+
+
 def _redrawn(text: Column, stream: Column) -> Column:
     """Letters and digits drawn anew within their script and case, everything else as it is."""
     def one(c: Column, i: Column) -> Column:
@@ -124,7 +128,7 @@ def _redrawn(text: Column, stream: Column) -> Column:
             new = F.when(c.rlike(pattern), F.substr(F.lit(letters), _draw(stream, i) % len(letters) + 1, F.lit(1))).otherwise(new)
         return new
 
-    return F.array_join(F.transform(F.split(text, "(?!^)"), one), "")
+    return F.array_join(F.transform(_characters(text), one), "")
 
 
 def _luhn(digits: Column) -> Column:
@@ -144,7 +148,7 @@ def _mod97(iban: Column) -> Column:
         number = F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
         return ((rest * F.when(number > 9, 100).otherwise(10) + number) % 97).cast("int")
 
-    return F.aggregate(F.split(moved, "(?!^)"), F.lit(0), term)
+    return F.aggregate(_characters(moved), F.lit(0), term)
 
 
 def _drawn(key: str, attempt: int) -> Column:
@@ -220,7 +224,7 @@ def _poured(raw: Column, digits: Column) -> Column:
         before = F.length(_digits(F.substr(raw, F.lit(1), i + 1)))
         return F.when(c.rlike("[0-9]"), F.substr(digits, before, F.lit(1))).otherwise(c)
 
-    return F.array_join(F.transform(F.split(raw, "(?!^)"), one), "")
+    return F.array_join(F.transform(_characters(raw), one), "")
 
 
 def replacements(found: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
@@ -242,7 +246,7 @@ def _grouped(raw: Column, new: Column) -> Column:
         before = F.length(F.regexp_replace(F.substr(raw, F.lit(1), i + 1), " ", ""))
         return F.when(c == " ", c).otherwise(F.substr(new, before, F.lit(1)))
 
-    return F.array_join(F.transform(F.split(raw, "(?!^)"), one), "")
+    return F.array_join(F.transform(_characters(raw), one), "")
 
 
 def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
