@@ -183,6 +183,17 @@ ORACLES: dict[str, str] = {
     "speed_udf": _speed("NULL"),
     "speed_pandas": _speed("NULL"),
     "speed_nan": _speed("'nan'::DOUBLE"),
+    "speed_udf_nan": _speed("'nan'::DOUBLE"),
+    "speed_pandas_nan": _speed("'nan'::DOUBLE"),
+    "speed_unguarded_negative": _with(SHORT, f"""timed AS (SELECT event_id, trip_distance,
+      (CASE WHEN event_id % 5 = 0 THEN -1 ELSE 1 END) * ({SECONDS.format(p='p', d='d')}) AS hours FROM short)""")
+    + "SELECT event_id, CASE WHEN hours <> 0 THEN trip_distance / hours END AS average_speed_mph FROM timed",
+    "lookup_empty_text": _with(ZONES) + f"""SELECT LocationID AS PULocationID,
+      CASE WHEN LocationID % 4 = 1 THEN 'Unknown' ELSE {_default('Borough')} END AS pickup_borough,
+      {_default('Zone')} AS pickup_zone, {_default('service_zone')} AS pickup_service_zone FROM zones""",
+    "gib_totals": "SELECT c_custkey, c_custkey * 3 / 1024.0::DOUBLE AS gib FROM customer",
+    "finite_text_values": """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'nan' WHEN 1 THEN 'inf' WHEN 2 THEN '-inf'
+      ELSE CAST(CAST(event_id AS DOUBLE) AS VARCHAR) END AS text FROM events""",
     "speed_map_batches": _with(SHORT) + f"""SELECT event_id, trip_distance, {FRACTION.format(p='p', d='d')} AS trip_duration_hours,
       trip_distance / ({FRACTION.format(p='p', d='d')}) AS average_speed_mph FROM short WHERE d > p""",
     "speed_check_sum": f"SELECT count(*) AS rows, round(sum(average_speed_mph), 4) AS speed_sum FROM ({CLEANED})",
@@ -267,4 +278,6 @@ ORACLES: dict[str, str] = {
         ELSE 'run of the dataset that wrote the month' END AS timing_scope FROM latest""",
 }
 ORACLES["join_pickup_shuffled"] = ORACLES["join_pickup"]
+ORACLES["report_csv"] = ORACLES["month_report_rows"]
+ORACLES["subset_file"] = ORACLES["fixed_subset"]
 ORACLES["mixed_types_scan"] = ORACLES["trip_files_scan"]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from checks import proxies as P
 from faremill.functions.canonical import canonical_record, kinds_of
 from faremill.functions.clock import timestamp_text
-from faremill.functions.units import finite_text, kib_to_mib, used_mib
+from faremill.functions.units import finite_text, gib, kib_to_mib, used_mib
 from faremill.operators.batches import map_batches
 from faremill.operators.clean import (
     add_speed, add_time_features, drop_copies, drop_missing, keep_valid)
@@ -27,11 +27,11 @@ from faremill.operators.zones import duplicate_keys, join_zone, unmatched_zones,
 from faremill.plans.evidence import validate_export
 from faremill.plans.export import build_output, export_trips, joined_trips
 from faremill.plans.months import export_months, read_months
-from faremill.schemas import MONTH, OUTPUT_COLUMNS, TRIP_COLUMNS
+from faremill.schemas import MONTH, OUTPUT_COLUMNS, RUN_REPORT, TRIP_COLUMNS
 from faremill.session import scratch_path, utc
 from faremill.sources.documents import read_log, read_metrics
 from faremill.sources.files import file_digests, list_files, profile_files, read_output
-from faremill.sources.sinks import write_documents, write_table
+from faremill.sources.sinks import write_documents, write_report, write_subset, write_table
 from faremill.sources.trips import first_rows, read_trip_months, read_trips
 from faremill.sources.zones import read_zones
 from faremill.streaming.months import stream_months
@@ -161,6 +161,16 @@ def fixed_subset(spark, sf_dir):
     return spark.read.parquet(subset)
 
 
+@query
+def subset_file(spark, sf_dir):
+    """The same subset as one Snappy file."""
+    rows = first_rows(spark, f"{sf_dir}/events.parquet", SUBSET_ROWS,
+                      ["event_id", "user_id", "event_type", "value"])
+    subset = scratch_path(spark, "subset")
+    write_subset(rows, subset)
+    return spark.read.parquet(subset)
+
+
 @query
 def file_listing(spark, sf_dir):
     return list_files(spark, sf_dir).select("file_name")
@@ -224,6 +234,24 @@ def speed_try_divide(spark, sf_dir):
     return _speed(spark, sf_dir, "try_divide")
 
 
+@query
+def speed_unguarded_negative(spark, sf_dir):
+    """The unguarded quotient over durations of which some are below zero."""
+    timed = add_time_features(P.short_trips(spark, sf_dir))
+    hours = F.when(F.col("event_id") % 5 == 0, -F.col("trip_duration_hours")).otherwise(F.col("trip_duration_hours"))
+    return add_speed(timed.withColumn("trip_duration_hours", hours), "try_divide").select("event_id", "average_speed_mph")
+
+
+@query
+def speed_udf_nan(spark, sf_dir):
+    return _speed(spark, sf_dir, "udf", "nan")
+
+
+@query
+def speed_pandas_nan(spark, sf_dir):
+    return _speed(spark, sf_dir, "pandas", "nan")
+
+
 @query
 def speed_nan(spark, sf_dir):
     return _speed(spark, sf_dir, "native", "nan")
@@ -273,6 +301,14 @@ def feature_columns(spark, sf_dir):
 # --- zones ---------------------------------------------------------------------------
 
 
+@query
+def lookup_empty_text(spark, sf_dir):
+    """Empty text in the lookup becomes the default, as missing text does."""
+    zones = P.zones(spark, sf_dir)
+    emptied = zones.withColumn("Borough", F.when(F.col("LocationID") % 4 == 1, F.lit("")).otherwise(F.col("Borough")))
+    return zone_side(emptied, "PULocationID", "pickup")
+
+
 @query
 def zone_defaults(spark, sf_dir):
     return zone_side(P.zones(spark, sf_dir), "PULocationID", "pickup")
@@ -345,6 +381,20 @@ def month_report_rows(spark, sf_dir):
     return report.select("month", "rows")
 
 
+@query
+def report_csv(spark, sf_dir):
+    """The run report as CSV, read back."""
+    _, report = _exported(spark, sf_dir)
+    path = scratch_path(spark, "report")
+    write_report(report, path)
+    return spark.read.schema(RUN_REPORT).option("header", True).csv(path).select("month", "rows")
+
+
+@query
+def gib_totals(spark, sf_dir):
+    return P.table(spark, sf_dir, "customer").select("c_custkey", gib(F.col("c_custkey") * F.lit(3 << 20)).alias("gib"))
+
+
 @query
 def month_report_bytes(spark, sf_dir):
     _, report = _exported(spark, sf_dir)
@@ -552,6 +602,15 @@ def finite_texts(spark, sf_dir):
                          (finite_text(F.col("average_speed_mph")) == "nan").alias("nan_text"))
 
 
+@query
+def finite_text_values(spark, sf_dir):
+    """Texts of finite and other doubles."""
+    event = F.col("event_id")
+    value = F.when(event % 4 == 0, F.lit(float("nan"))).when(event % 4 == 1, F.lit(float("inf"))).when(
+        event % 4 == 2, F.lit(float("-inf"))).otherwise(event.cast("double"))
+    return P.table(spark, sf_dir, "events").select("event_id", finite_text(value).alias("text"))
+
+
 @query
 def runlog_months(spark, sf_dir):
     path = scratch_path(spark, "log")
