@@ -14,6 +14,7 @@ BLOCK_IDS = 1024
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 _MOST = 60
+_AT_ONCE = 512
 _SHIFT = np.uint64(60)
 
 
@@ -53,7 +54,20 @@ def _selectors(width: np.ndarray) -> np.ndarray:
 
 
 def pack(ids: np.ndarray, block_ids: int = BLOCK_IDS):
-    """(words, offsets, escapes): the words of all blocks, where each block starts, whole values."""
+    """(words, offsets, escapes): the words of all blocks, where each block starts, whole values.
+
+    The blocks are packed `_AT_ONCE` at a time, which bounds the room it takes.
+    """
+    parts = [_pack(ids[at:at + _AT_ONCE * block_ids], block_ids) for at in range(0, max(len(ids), 1), _AT_ONCE * block_ids)]
+    offsets, escaped = [np.zeros(1, np.int64)], 0
+    for words, starts, escapes in parts:
+        offsets.append(starts[1:] + offsets[-1][-1])
+        words[words >> _SHIFT == 0] += np.uint64(escaped)
+        escaped += len(escapes)
+    return np.concatenate([p[0] for p in parts]), np.concatenate(offsets), np.concatenate([p[2] for p in parts])
+
+
+def _pack(ids: np.ndarray, block_ids: int):
     total = len(ids)
     blocks = -(-total // block_ids)
     if not blocks:

@@ -33,7 +33,8 @@ NO_ID = np.iinfo(np.int64).min
 
 END_ID = 1
 FILE_IDS = 4 << 20
-_STEMS = 300_000
+_STEMS = 200_000
+_AT_ONCE = 2000
 
 
 class WordTokenizer:
@@ -45,7 +46,7 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.stems: dict[str, list[int]] = {}
+        self.stems: dict[str, tuple[int, ...]] = {}
         self.codes = ChunkCodes(self._chunks)
 
     def _cut(self, chunk: str) -> tuple[str, str]:
@@ -54,13 +55,15 @@ class WordTokenizer:
             return chunk, ""
         return stem.lower() if stem.isascii() else stem, mark
 
-    def _chunks(self, chunks: list[str]) -> list[list[int]]:
+    def _chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
         cut = [self._cut(c) for c in chunks]
         if len(self.stems) > _STEMS:
             self.stems.clear()
         stems = self.stems
         new = list({s for pair in cut for s in pair if s not in stems})
-        stems.update(zip(new, (e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False))))
+        for at in range(0, len(new), _AT_ONCE):  # what the library returns for a word takes far more room than its ids
+            part = new[at:at + _AT_ONCE]
+            stems.update(zip(part, (tuple(e.ids) for e in self.library.encode_batch_fast(part, add_special_tokens=False))))
         return [stems[s] + stems[m] if m else stems[s] for s, m in cut]
 
     def encode(self, texts: pa.Array):
