@@ -18,9 +18,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,6 +90,7 @@ class Model:
     worth: dict[int, DataFrame]
     rest: dict[int, DataFrame]
     rows: int
+    sent: Broadcast | None = None
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -137,9 +138,13 @@ class Tables:
     def _sorted(tables: dict[int, DataFrame], key: str, value: str) -> dict:
         found = {}
         for order, rows in tables.items():
-            for language, part in rows.toPandas().groupby("lang"):
-                part = part.sort_values(key)
-                found[language, order] = part[key].to_numpy(np.int64), part[value].to_numpy(np.float64)
+            columns = rows.select("lang", key, value).toArrow().combine_chunks()
+            which, names = _languages(pa.concat_arrays(columns.column(0).chunks or [pa.array([], pa.string())]))
+            keys, values = columns.column(1).to_numpy(), columns.column(2).to_numpy()
+            for code, language in enumerate(names):
+                mine = np.flatnonzero(which == code)
+                mine = mine[np.argsort(keys[mine], kind="stable")]
+                found[language, order] = keys[mine], values[mine]
         return found
 
     @staticmethod
@@ -225,8 +230,8 @@ def with_score(docs: DataFrame, model: Model, name: str, lang: str = "lang", tex
     spark = docs.sparkSession
     bounded_batches(spark)
     if model.rows <= model_rows:
-        score = _scorer(spark.sparkContext.broadcast(Tables(model)))
-        return docs.withColumn(name, score(docs[lang].cast("string"), text_of(docs[text])))
+        model.sent = model.sent or spark.sparkContext.broadcast(Tables(model))
+        return docs.withColumn(name, _scorer(model.sent)(docs[lang].cast("string"), text_of(docs[text])))
     key = F.xxhash64(docs[lang].cast("string"), docs[text])
     scores = written(joined_scores(docs.select(key.alias("key"), docs[lang].cast("string").alias("lang"), docs[text].alias("text")), model), "scores")
     scores = scores.select(F.col("key").alias(f"{name}_key"), F.col("score").alias(name))
