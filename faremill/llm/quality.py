@@ -254,13 +254,47 @@ def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     )
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """lang, text of the documents labelled good and not toxic. An id labelled twice must be so each time."""
-    good = labels.groupBy("doc_id").agg(
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of documents labelled good and not toxic. An id labelled twice must be so each time."""
+    return labels.groupBy("doc_id").agg(
         F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("good")
     ).filter("good AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
-    return docs.join(good, docs[doc_id] == good["_id"], "left_semi").select(
-        docs[lang].cast("string").alias("lang"), text_of(docs[text]).alias("text"))
+
+
+def _only(rows: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
+    # Labels grow with the documents; the join shuffles at every size.
+    return rows.join(ids.hint("shuffle_hash"), rows[doc_id] == ids["_id"], "left_semi")
+
+
+@dataclass
+class Classifier:
+    """A model, the threshold of each language, and the scores of the documents it was fitted with."""
+
+    model: Model
+    limits: DataFrame
+    scores: DataFrame
+
+
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text",
+        model_rows: int = MODEL_ROWS) -> Classifier:
+    """Train on the trusted documents and score all of them; texts move once, to meet their labels."""
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), text_of(docs[text]).alias("text"))
+    good = trusted_ids(labels)
+    model = train(_only(named, good, "doc_id").select("lang", "text"))
+    scores = written(with_score(named, model, "score", model_rows=model_rows).select("doc_id", "lang", "score.*"), "scores")
+    limits = written(thresholds(_only(scores, good, "doc_id")), "thresholds").select(F.col("lang").alias("_lang"), "threshold")
+    return Classifier(model, limits, scores)
+
+
+def _decided(scored: DataFrame, limits: DataFrame) -> DataFrame:
+    rejected = F.coalesce(F.col("low") > F.col("threshold"), F.lit(False))
+    return scored.join(limits, F.col("lang") == F.col("_lang"), "left").drop("_lang").withColumn("rejected", rejected)
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """doc_id, lang, log_perplexity, low, threshold, rejected: one row per row of docs, as `judged` decides."""
+    classifier = fit(docs, labels, **options)
+    return _decided(classifier.scores, classifier.limits)
 
 
 def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text",
@@ -272,12 +306,7 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str
     to hold against it. Null and empty texts are scored as the empty text. Repeated rows are
     judged alike; no rows give no rows.
     """
-    trusted = written(trusted_texts(docs, labels, doc_id, lang, text), "trusted")
-    model = train(trusted)
-    scored_trust = with_score(trusted, model, "score", model_rows=model_rows)
-    limits = written(thresholds(scored_trust.select("lang", "score.low")), "thresholds").select(F.col("lang").alias("_lang"), "threshold")
+    classifier = fit(docs, labels, doc_id, lang, text, model_rows)
     packed = docs.select(F.struct(*docs.columns).alias("row"), docs[lang].cast("string").alias("lang"), docs[text].alias("text"))
-    scored = with_score(packed, model, "score", model_rows=model_rows)
-    return scored.join(limits, F.col("lang") == F.col("_lang"), "left").select(
-        "row", "score.log_perplexity", "score.low", "threshold",
-        F.coalesce(F.col("score.low") > F.col("threshold"), F.lit(False)).alias("rejected"))
+    scored = with_score(packed, classifier.model, "score", model_rows=model_rows).select("row", "lang", "score.*")
+    return _decided(scored, classifier.limits).select("row", "log_perplexity", "low", "threshold", "rejected")

@@ -61,8 +61,8 @@ def op8_bpe_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return docs.select("row.doc_id", "row.lang", F.exp("log_perplexity").alias("perplexity"), "low", "threshold",
+    docs = quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", "lang", F.exp("log_perplexity").alias("perplexity"), "low", "threshold",
                        (~F.col("rejected")).alias("kept"))
 
 
