@@ -195,4 +195,5 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2, doc_id: str = "do
     """
     groups = near_duplicates(docs, words, radius, doc_id, text)
     gone = groups.filter(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("gone")).distinct()
-    return docs.join(gone, docs[doc_id] == gone["gone"], "left_anti")
+    # The ids that go grow with the documents; the join shuffles at every size.
+    return docs.join(gone.hint("shuffle_hash"), docs[doc_id] == gone["gone"], "left_anti")
