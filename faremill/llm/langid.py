@@ -27,6 +27,7 @@ from faremill.llm.common import bounded_batches, text_of, written
 SAMPLE_LETTERS = 24_000
 ALL_LETTERS = 400_000
 SAMPLE_TEXTS = 200
+SHARES = 64
 LONGEST_SAMPLE = 12_000
 PIECE = 512
 UNKNOWN = "und"
@@ -161,12 +162,16 @@ class Parser:
 def sample_texts(labelled: DataFrame) -> DataFrame:
     """lang, h, text: different texts of each language, the first by a hash of the text.
 
-    Ranked are the hashes alone; the texts of the chosen ones are fetched after that.
+    Ranked are the hashes alone; the texts of the chosen ones are fetched after that. The first
+    of each of `SHARES` shares of a language go on to its last ranking, so no task ranks a
+    whole language.
     """
     rows = labelled.filter(F.col("lang").isNotNull() & (F.length("text").between(1, LONGEST_SAMPLE))).select(
         "lang", F.xxhash64("text").alias("h"), "text")
-    first = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_TEXTS).drop("n")
+    chosen = rows.select("lang", "h", F.pmod("h", F.lit(SHARES)).alias("share")).distinct()
+    for keys in (["lang", "share"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("h")
+        chosen = chosen.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_TEXTS).drop("n")
     return rows.join(chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text"))
 
 
