@@ -35,6 +35,15 @@ class ChunkCodes:
         self.at: dict[str, int] = {}
         self.flat, self.start, self.length = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def _keep(self, chunks: list[str]) -> None:
+        """Forget all others: what the last texts share with these is likely to come again."""
+        which = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
+        flat, ends = gather(self.flat, self.start, self.length, which)
+        length = self.length[which]
+        self._forget()
+        self.flat, self.start, self.length = flat, ends - length, length
+        self.at = dict(zip(chunks, range(len(chunks))))
+
     def _learn(self, chunks: list[str]) -> None:
         coded = self.encode(chunks)
         length = np.fromiter(map(len, coded), np.int64, len(coded))
@@ -50,7 +59,7 @@ class ChunkCodes:
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
         if len(self.at) + len(chunks) > self.remembered:
-            self._forget()
+            self._keep([c for c in chunks if c in self.at])
         get = self.at.get
         new = [c for c in chunks if get(c) is None]
         if new:

@@ -9,17 +9,21 @@ again writes under another name, and only the file that its result names is part
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+import json
+import unicodedata
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from faremill.llm import simple8b
+from faremill.llm.bpe import byte_letters
 from faremill.llm.chunks import ChunkCodes, texts_of
 from faremill.llm.common import bounded_batches, written
 from faremill.session import scratch_path
@@ -33,38 +37,48 @@ NO_ID = np.iinfo(np.int64).min
 
 END_ID = 1
 FILE_IDS = 4 << 20
-_STEMS = 200_000
-_AT_ONCE = 2000
+_PIECES = 300_000
 
 
 class WordTokenizer:
     """Ids of texts by the library, for a vocabulary that drops white space.
 
-    Such a tokenizer encodes what spaces and line feeds separate independently; letters and
-    the mark after them as well. So the library encodes each distinct word once.
+    Such a tokenizer treats what spaces and line feeds separate independently. A chunk of
+    ordinary characters is normalized and cut as its file says, and the library's model merges
+    each distinct piece once; any other chunk goes through the library as a whole.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.stems: dict[str, tuple[int, ...]] = {}
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.cut, self.model = regex.compile(pattern).findall, self.library.model
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.codes = ChunkCodes(self._chunks)
 
-    def _cut(self, chunk: str) -> tuple[str, str]:
-        stem, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (",", ".") else (chunk, "")
-        if not stem.isalpha():
-            return chunk, ""
-        return stem.lower() if stem.isascii() else stem, mark
-
-    def _chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
-        cut = [self._cut(c) for c in chunks]
-        if len(self.stems) > _STEMS:
-            self.stems.clear()
-        stems = self.stems
-        new = list({s for pair in cut for s in pair if s not in stems})
-        for at in range(0, len(new), _AT_ONCE):  # what the library returns for a word takes far more room than its ids
-            part = new[at:at + _AT_ONCE]
-            stems.update(zip(part, (tuple(e.ids) for e in self.library.encode_batch_fast(part, add_special_tokens=False))))
-        return [stems[s] + stems[m] if m else stems[s] for s, m in cut]
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        found = self.pieces.get(piece)
+        if found is None:
+            spelt = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+            if len(self.pieces) > _PIECES:
+                self.pieces.clear()
+            found = self.pieces[piece] = tuple(t.id for t in self.model.tokenize(spelt))
+        return found
+
+    def _chunk(self, chunk: str) -> Sequence[int]:
+        # The library lowers letter by letter, without regard to where in a word they stand.
+        low = chunk.lower() if chunk.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
+        if low.isalpha():
+            return self._piece(low)
+        if not chunk.isprintable() or any(s in chunk for s in self.special):
+            return self.library.encode(chunk, add_special_tokens=False).ids
+        return [i for piece in self.cut(low) for i in self._piece(piece)]
+
+    def _chunks(self, chunks: list[str]) -> list[Sequence[int]]:
+        return [self._chunk(c) for c in chunks]
 
     def encode(self, texts: pa.Array):
         """Ids of texts one after another, and where each text ends."""
