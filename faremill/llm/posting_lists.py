@@ -4,8 +4,11 @@ Centroids come from a bounded sample that is halved again and again, each time a
 of its leading direction, so that all leaves are of one size. Every vector goes to the posting
 list of its nearest centroid, and, near a boundary, to those of others that are hardly
 farther. Centroids are few enough to be searched in memory, by a best-first walk over a graph
-of their neighbours. A query reads the lists whose centroids are within a ratio of the nearest
-one's distance, and compares itself with all vectors in them.
+of their neighbours. A query reads all lists whose centroids are within a ratio of the distance
+of the `LEAST_LISTS`-th nearest, however many they are, and compares itself with all vectors in
+them. The ratio is measured in the job: a sample of the queries is compared with all vectors,
+and the ratio is the smallest that reaches `RECALL` of what is nearest to them. (The very
+nearest centroid is no measure: it can be the query itself, at no distance.)
 
 Equal vectors are one entry with the smallest ids that can matter, so a very common vector
 is no long list; a list that is long all the same is cut into blocks, each a task's work.
@@ -13,6 +16,7 @@ is no long list; a list that is long all the same is cut into blocks, each a tas
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +32,14 @@ SAMPLE = 20_000
 LIST = 256
 MOST_LISTS = 8192
 NEIGHBOURS = 16
+# Where a walk starts to look; a search that needs more goes on until it has all within its ratio.
 BEAM = 80
 REPLICAS = 6
 BOUNDARY = 1.08
-RATIO = 1.5
 LEAST_LISTS = 4
+# The ratio of distances is chosen for this recall of so many queries, over and above the error of the sample.
+RECALL = 0.98
+SAMPLE_QUERIES = 512
 BLOCK = 2048
 QUERY_BLOCK = 512
 
@@ -74,6 +81,10 @@ class CentroidGraph:
         # Entries spread over all centroids: leaves of the halving are in its order.
         self.entries = np.unique(np.linspace(0, count - 1, min(count, BEAM)).astype(np.int64))
 
+    def distances(self, rows: np.ndarray) -> np.ndarray:
+        """The distance of each row to each centroid."""
+        return np.sqrt(np.maximum(2 - 2 * rows @ self.centroids.T, 0))
+
     def search(self, rows: np.ndarray, beam: int = BEAM):
         """(centroids, distances): for each row the nearest found, nearest first; -1 and inf where there are fewer."""
         count = len(self.centroids)
@@ -124,11 +135,70 @@ def closures(graph: CentroidGraph, rows: np.ndarray) -> list[list[int]]:
     return chosen
 
 
-def probes(graph: CentroidGraph, rows: np.ndarray) -> list[list[int]]:
-    """The lists that each query reads."""
+def _reach(ranked: np.ndarray) -> np.ndarray:
+    """What the ratio refers to: the distance of the LEAST_LISTS-th nearest centroid, given the nearest first."""
+    return ranked[:, min(LEAST_LISTS, ranked.shape[1]) - 1]
+
+
+def probes(graph: CentroidGraph, rows: np.ndarray, ratio: float) -> list[list[int]]:
+    """The lists that each query reads: all within the ratio. Where a walk ends before it, all centroids are measured."""
     found, far = graph.search(rows)
-    return [[int(n) for i, (n, g) in enumerate(zip(names, gaps)) if n >= 0 and (i < LEAST_LISTS or g <= RATIO * gaps[0])]
-            for names, gaps in zip(found, far)]
+    limits = _limit(_reach(far), ratio)
+    chosen = [names[(names >= 0) & (gaps <= limit)].tolist() for names, gaps, limit in zip(found, far, limits)]
+    if found.shape[1] < len(graph.centroids):
+        for i in np.flatnonzero((far <= limits[:, None]).all(axis=1)):
+            gaps = graph.distances(rows[i:i + 1])[0]
+            chosen[i] = np.flatnonzero(gaps <= _limit(np.partition(gaps, LEAST_LISTS - 1)[LEAST_LISTS - 1], ratio)).tolist()
+    return chosen
+
+
+def _limit(reach, ratio: float):
+    """A hair more than the ratio allows, as two ways of adding up one distance can differ in their last digits."""
+    return np.where(np.isinf(ratio), np.inf, reach * (ratio if np.isfinite(ratio) else 1.0) * (1 + 1e-9) + 1e-7)
+
+
+def _needed(graph, ids: np.ndarray, rows: np.ndarray, top: int):
+    """For rows (lists, embedding, ids) of a task: the nearest to each sampled query, and the ratio at which it reads one of their lists."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gaps = graph.value.distances(rows)
+        reach = _reach(np.sort(gaps, axis=1))
+        for batch in batches:
+            for low in range(0, len(batch), 4096):
+                part = batch.slice(low, 4096)
+                scores = rows @ unit(matrix(part.column(1))).T
+                # An entry can be the query itself, so one more than asked for is kept.
+                floor = -np.partition(-scores, min(top, scores.shape[1] - 1), axis=1)[:, min(top, scores.shape[1] - 1)]
+                at_q, at_v = np.nonzero(scores >= floor[:, None])
+                lists, theirs = part.column(0).to_pylist(), part.column(2).to_pylist()
+                out = []
+                for q, v in zip(at_q.tolist(), at_v.tolist()):
+                    gap = gaps[q, lists[v]].min()
+                    ratio = 0.0 if gap <= reach[q] else gap / reach[q] if reach[q] > 0 else np.inf
+                    out += [(q, i, scores[q, v], ratio) for i in theirs[v] if i != ids[q]]
+                columns = zip(*out) if out else [[]] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))], ["q", "vec_id", "score", "ratio"])
+
+    return run
+
+
+def measured_ratio(graph, listed: DataFrame, asked: DataFrame, top: int) -> float:
+    """The smallest ratio at which a sample of the queries finds RECALL of its nearest vectors.
+
+    `listed` has lists, embedding, ids of all entries. The sample is compared with every one.
+    """
+    sample = asked.orderBy(F.xxhash64("query_id", "embedding"), "query_id").limit(SAMPLE_QUERIES).select("query_id", "embedding").toArrow()
+    if not len(sample):
+        return 1.0
+    ids, rows = sample.column(0).to_numpy(), unit(matrix(sample.column(1).combine_chunks()))
+    near = listed.mapInArrow(_needed(graph, ids, rows, top), "q long, vec_id long, score double, ratio double")
+    best = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    ratios = np.sort(near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= top).select("ratio").toArrow().column(0).to_numpy())
+    if not len(ratios):
+        return 1.0
+    # Two standard errors of the sample more.
+    aim = min(RECALL + 2 * np.sqrt(RECALL * (1 - RECALL) / len(ratios)), 1.0)
+    return float(max(ratios[min(int(np.ceil(aim * len(ratios))), len(ratios)) - 1], 1.0))
 
 
 def _listed(graph, choose):
@@ -192,12 +262,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 5) -> DataFrame:
     sample = entries.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
     lists = int(min(max(count // LIST, 1), MOST_LISTS))
     graph = spark.sparkContext.broadcast(CentroidGraph(balanced_centroids(unit(matrix(sample)), lists)))
-    posted = entries.mapInArrow(_listed(graph, closures), f"lists array<int>, embedding {kind}, ids array<long>").select(
-        F.explode("lists").alias("list"), "embedding", "ids")
-    posted = written(posted, "postings")
+    listed = written(entries.mapInArrow(_listed(graph, closures), f"lists array<int>, embedding {kind}, ids array<long>"), "listed")
+    posted = listed.select(F.explode("lists").alias("list"), "embedding", "ids")
     asked = queries.filter(usable(F.col("embedding")) & F.col("query_id").isNotNull() & (F.size("embedding") == common["n"])).select(
         "embedding", "query_id").distinct()
-    asked = written(asked.mapInArrow(_listed(graph, probes), f"lists array<int>, embedding {kind}, query_id long").select(
+    ratio = measured_ratio(graph, listed, asked, top)
+    reading = functools.partial(probes, ratio=ratio)
+    asked = written(asked.mapInArrow(_listed(graph, reading), f"lists array<int>, embedding {kind}, query_id long").select(
         F.explode("lists").alias("list"), "embedding", "query_id"), "probes")
     v = _in_blocks(posted, BLOCK, "ids").groupBy("list", "block").agg(F.collect_list(F.struct("embedding", "ids")).alias("theirs"))
     q = _in_blocks(asked, QUERY_BLOCK, "query_id").groupBy("list", "block").agg(F.collect_list(F.struct("embedding", "query_id")).alias("mine"))

@@ -125,6 +125,33 @@ def test_recall_with_many_lists_and_small_blocks(spark, monkeypatch):
     assert recall(found, brute_nearest(vectors, range(0, 900, 10), 5)) >= 0.9
 
 
+def test_recall_where_lists_greatly_outnumber_a_walk(spark, monkeypatch):
+    """Vectors without clusters: what is near a query lies in far more lists than a beam holds."""
+    monkeypatch.setattr(posting_lists, "LIST", 8)
+    rows = np.random.default_rng(11).normal(size=(12_000, 24)).astype(np.float32)
+    frame = spark.createDataFrame([(i, r.tolist(), 0, "", "") for i, r in enumerate(rows)], SCHEMA)
+    queries = frame.filter("vec_id % 40 = 0").selectExpr("vec_id AS query_id", "embedding")
+    found = posting_lists.nearest(frame, queries).collect()
+    long = posting_lists.unit(rows.astype(float))
+    likeness = long[::40] @ long.T
+    likeness[np.arange(300), np.arange(0, 12_000, 40)] = -1
+    expected = [(q * 40, 0, int(v)) for q, row in enumerate(likeness) for v in np.argsort(-row)[:5]]
+    assert recall(found, expected) >= 0.97
+
+
+def test_all_lists_within_the_ratio_are_read():
+    rows = posting_lists.unit(np.random.default_rng(3).normal(size=(4000, 12)))
+    graph = posting_lists.CentroidGraph(posting_lists.balanced_centroids(rows, 1024))
+    gaps = graph.distances(rows[:20])
+    for ratio in (1.0, 1.3, 2.0, float("inf")):
+        expected = [np.flatnonzero(g <= np.sort(g)[posting_lists.LEAST_LISTS - 1] * ratio + 1e-6).tolist() for g in gaps]
+        read = [sorted(x) for x in posting_lists.probes(graph, rows[:20], ratio)]
+        assert ratio > 1.9 and min(map(len, read)) > posting_lists.BEAM or ratio < 1.9
+        assert np.mean([len(set(a) & set(b)) / len(b) for a, b in zip(read, expected)]) > 0.95
+        if ratio > 1.9:
+            assert read == expected
+
+
 def test_boundary_vectors_are_in_several_lists():
     draw = np.random.default_rng(2)
     rows = draw.normal(size=(2000, 6))
