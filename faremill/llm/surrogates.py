@@ -1,8 +1,10 @@
 """Personal data replaced by surrogates of the same kind, in DataFrame functions only.
 
 Entities are found by patterns: mail addresses, network addresses, phone, card, bank and
-social-security numbers, secrets, and names with a title or a known given name. The values are
-gathered once per corpus, not per document. Each gets a surrogate from a hash keyed by a
+social-security numbers, secrets, and names: the whole run of capitalised words and initials
+after a title or a known given name. What such a name is made of is also replaced where it stands
+alone in the same document. A name that nowhere in its document follows a title or a known given
+name is not found. The values are gathered once per corpus, not per document. Each gets a surrogate from a hash keyed by a
 secret: the same value always gets the same one, in whatever spelling it stands, and so do the
 parts of a name, so that who is meant stays clear. Surrogates keep the format: separators, length,
 script and case, country and network prefixes, valid check digits, the gender of given names.
@@ -20,8 +22,9 @@ from faremill.llm.common import written
 
 ROUNDS = 40
 WIDEN_AFTER = 6
+GIVEN_ROUNDS = 3
 
-# Given names by script and gender, as many of each, titles, and syllables for surnames.
+# Given names by script and gender, titles by gender, what may stand within a name, and syllables for surnames.
 GIVEN = {
     ("latin", "f"): ["Alice", "Amelia", "Anna", "Carmen", "Charlotte", "Clara", "Elena", "Emily", "Emma", "Hannah", "Isabel",
                      "Julia", "Laura", "Louise", "Maria", "Marie", "Martha", "Olivia", "Sarah", "Sophie"],
@@ -30,7 +33,8 @@ GIVEN = {
     ("cyrillic", "f"): ["Анна", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Нина", "Ольга"],
     ("cyrillic", "m"): ["Алексей", "Борис", "Виктор", "Дмитрий", "Иван", "Михаил", "Павел", "Сергей"],
 }
-TITLES = ["Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "Sra", "Sr"]
+TITLES = {"m": ["Mr", "Herr", "Sr"], "f": ["Mrs", "Ms", "Miss", "Frau", "Mme", "Sra"], "": ["Dr", "Prof"]}
+PARTICLES = ["al", "bin", "da", "de", "del", "della", "den", "der", "di", "dos", "du", "el", "ibn", "la", "le", "ten", "ter", "van", "von", "zu"]
 SYLLABLES = {
     "latin": ["bar", "cor", "dal", "fen", "gar", "hol", "kin", "lor", "mar", "nel", "pel", "ros", "sal", "tor", "vel", "wen"],
     "cyrillic": ["бар", "вор", "гал", "дем", "жур", "зим", "кор", "лаг", "мос", "нил", "пет", "рог", "сав", "тур", "фом", "хар"],
@@ -54,10 +58,20 @@ PATTERNS = {
     "card": r"(?<![\p{L}\p{N}.\-])[0-9](?:[ \-]?[0-9]){12,18}(?![\p{L}\p{N}]|-[0-9])",
 }
 _ALL_GIVEN = [n for names in GIVEN.values() for n in names]
-_WORD = r"\p{Lu}[\p{L}'’\-]*\p{L}"
-NAME = (rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:(?:{'|'.join(TITLES)})\.? (?:(?:{'|'.join(_ALL_GIVEN)}) )?{_WORD}"
-        rf"|(?:{'|'.join(_ALL_GIVEN)}) {_WORD})")
-_NAME_PARTS = rf"^((?:(?:{'|'.join(TITLES)})\.? )?)((?:(?:{'|'.join(_ALL_GIVEN)}) )?)({_WORD})$"
+_TITLE = "|".join(t for titles in TITLES.values() for t in titles)
+_GAP = r"[ \t\xa0]+"
+# A word of a name: no title, with hyphens and apostrophes, without the ending of a possessive.
+_WORD = (rf"(?!(?:{_TITLE})(?![\p{{L}}\p{{M}}]))\p{{Lu}}(?:[\p{{L}}\p{{M}}]+|['’]\p{{Lu}}[\p{{L}}\p{{M}}]+)"
+         r"(?:(?:-|['’](?![sS](?![\p{L}\p{M}])))[\p{L}\p{M}]+)*")
+_INITIALS = r"\p{Lu}\.(?:-?\p{Lu}\.)*"
+_TITLED = rf"(?:(?:{_TITLE})\.?{_GAP})+"
+# Loops over words are possessive: those run without recursion, however long the run.
+_LEAD = rf"(?:{_INITIALS}(?:{_GAP})?|\p{{Lu}}{_GAP}|(?:{'|'.join(PARTICLES)}){_GAP})*+"
+_RUN = rf"{_LEAD}{_WORD}(?:{_GAP}{_LEAD}{_WORD})*+"
+NAME = (rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:{_TITLED}{_RUN}"
+        rf"|(?:{'|'.join(_ALL_GIVEN)})(?:-\p{{Lu}}[\p{{L}}\p{{M}}]+)*{_GAP}{_RUN})")
+_NAME_TOKENS = rf"{_INITIALS}|{_WORD}|[^\p{{Lu}}]+|(?s:.)"
+_TEXT_TOKENS = rf"(?<![\p{{L}}\p{{N}}]){_WORD}(?![\p{{L}}\p{{N}}])|[^\p{{Lu}}]+|(?s:.)"
 ENTITY = "|".join([*PATTERNS.values(), NAME])
 _HINT = "[0-9@]"
 
@@ -89,21 +103,59 @@ def _surname_value(surname: Column) -> Column:
     return F.when(low.rlike("(?:ов|ев|ин)а$"), F.regexp_replace(low, "а$", "")).otherwise(low)
 
 
+def _parts(raw: Column) -> Column:
+    """The tokens of a name as (token, kind, value, gender): given, name, initial, or neither (title, space, particle)."""
+    title = F.regexp_extract(raw, f"^({_TITLED})", 1)
+    tokens = F.regexp_extract_all(F.substr(raw, F.length(title) + 1, F.length(raw)), F.lit(_NAME_TOKENS), F.lit(0))
+    is_word = lambda t: t.rlike(f"^(?:{_WORD})$")
+    titled = F.lit(None).cast("string")
+    for gender in ("m", "f"):
+        titled = F.when(title.rlike(rf"(?<!\p{{L}})(?:{'|'.join(TITLES[gender])})(?!\p{{L}})"), F.lit(gender)).otherwise(titled)
+    listed = F.create_map(*(F.lit(x) for (_, gender), names in GIVEN.items() for n in names for x in (n.lower(), gender)))
+
+    def part(cut: Column):
+        words, first = cut["words"], cut["first"]
+
+        def one(t: Column, i: Column) -> Column:
+            known = F.element_at(listed, F.substring_index(F.lower(t), "-", 1))
+            foremost = (i + 1 == first) & (first < F.size(words))
+            kind = (F.when(~is_word(t), F.when(t.rlike(r"^\p{Lu}"), "initial"))
+                    .when((i + 1 < F.size(words)) & F.lower(t).isin(PARTICLES), None)
+                    .when(known.isNotNull() | foremost, "given").otherwise("name"))
+            return F.struct(t.alias("token"), kind.alias("kind"),
+                            F.when(kind == "given", F.lower(t)).when(kind == "name", _surname_value(t)).alias("value"),
+                            F.when(kind == "given", F.coalesce(known, F.when(foremost, titled))).alias("gender"))
+
+        return F.transform(words, one)
+
+    # The tokens are named once, by an array of one, so that they are not cut again for every token.
+    cut = F.transform(F.array(tokens), lambda words: F.struct(words.alias("words"), F.array_position(F.transform(words, is_word), True).alias("first")))
+    parts = F.get(F.transform(cut, part), 0)
+    none = F.lit(None).cast("string")
+    return F.concat(F.array(F.struct(title.alias("token"), none.alias("kind"), none.alias("value"), none.alias("gender"))), parts)
+
+
 def found_values(docs: DataFrame, text: str = "text") -> DataFrame:
-    """raw, kind, value, title, given, surname of every different entity; value is the same for all spellings of one."""
+    """raw, kind, value, parts of every different entity; value is the same for all spellings of one, names have parts."""
     raws = docs.select(F.explode(F.array_distinct(entities_in(docs[text]))).alias("raw")).distinct()
     kinds = raws.withColumn("kind", _kind(F.col("raw")))
-    parts = {name: F.regexp_extract("raw", _NAME_PARTS, i) for i, name in enumerate(("title", "given", "surname"), 1)}
-    kinds = kinds.select("*", *(F.when(F.col("kind") == "name", part).alias(name) for name, part in parts.items()))
     value = (
         F.when(F.col("kind") == "mail", F.lower("raw"))
         .when(F.col("kind").isin("card", "ssn"), _digits(F.col("raw")))
         .when(F.col("kind") == "phone", F.concat(F.when(F.col("raw").startswith("+"), "+").otherwise(""), _digits(F.col("raw"))))
         .when(F.col("kind") == "iban", F.regexp_replace("raw", " ", ""))
         .when(F.col("kind") == "ip6", F.lower("raw"))
-        .when(F.col("kind") == "name", _surname_value(F.col("surname")))
-        .otherwise(F.col("raw")))
-    return kinds.withColumn("value", value)
+        .when(F.col("kind") != "name", F.col("raw")))
+    return kinds.withColumn("value", value).withColumn("parts", F.when(F.col("kind") == "name", _parts(F.col("raw"))))
+
+
+def name_parts(found: DataFrame) -> DataFrame:
+    """raw, token, kind, value of the different words of names. A given name is of one gender in the whole corpus (given_f, given_m)."""
+    words = found.filter("kind = 'name'").select("raw", F.explode("parts").alias("part")).select("raw", "part.*").filter("value IS NOT NULL").distinct()
+    genders = words.filter("kind = 'given'").groupBy("value").agg(F.min("gender").alias("known")).select(
+        F.lit("given").alias("kind"), "value", F.coalesce("known", F.when(F.crc32(F.col("value")) % 2 == 0, "f").otherwise("m")).alias("known"))
+    return words.drop("gender").join(genders, ["kind", "value"], "left").select(
+        "raw", "token", F.concat("kind", F.coalesce(F.concat(F.lit("_"), "known"), F.lit(""))).alias("kind"), "value")
 
 
 def _hash(key: str, attempt: int) -> Column:
@@ -180,7 +232,19 @@ def _drawn(key: str, attempt: int) -> Column:
     return (
         F.when(F.col("kind") == "mail", mail).when(F.col("kind") == "ip4", ip4).when(F.col("kind") == "ip6", ip6)
         .when(F.col("kind") == "ssn", ssn).when(F.col("kind") == "phone", phone).when(F.col("kind") == "card", card)
-        .when(F.col("kind") == "iban", iban).when(F.col("kind") == "secret", secret).otherwise(_surname(s, wider)))
+        .when(F.col("kind") == "iban", iban).when(F.col("kind") == "secret", secret)
+        .when(F.col("kind") == "given_f", _given(s, "f", attempt)).when(F.col("kind") == "given_m", _given(s, "m", attempt))
+        .otherwise(_surname(s, wider)))
+
+
+def _given(s: Column, gender: str, attempt: int) -> Column:
+    """A given name of the script and gender; once those of the list are taken, joined to a drawn second one."""
+    def drawn(script: str) -> Column:
+        names = F.array(*(F.lit(n.lower()) for n in GIVEN[script, gender]))
+        name = F.get(names, (256 * _draw(s, F.lit(126)) + _draw(s, F.lit(127))) % len(GIVEN[script, gender]))
+        return name if attempt < GIVEN_ROUNDS else F.concat(name, F.lit("-"), _surname(s, F.lit("" if attempt < WIDEN_AFTER else "wider")))
+
+    return F.when(F.col("value").rlike(r"\p{IsCyrillic}"), drawn("cyrillic")).otherwise(drawn("latin"))
 
 
 def _surname(s: Column, wider: Column) -> Column:
@@ -209,15 +273,6 @@ def surrogates_of(values: DataFrame, key: str) -> DataFrame:
     raise RuntimeError(f"no free surrogates left after {ROUNDS} rounds; a kind has more values than its format allows")
 
 
-def _given_surrogate(key: str) -> Column:
-    """Given names go to others of their script and gender by a keyed turn of the list, which never meets itself."""
-    pairs = []
-    for (script, gender), names in GIVEN.items():
-        turn = 1 + sum(f"{key}{script}{gender}".encode()) % (len(names) - 1)
-        pairs += [(name, names[(i + turn) % len(names)]) for i, name in enumerate(names)]
-    return F.create_map(*(F.lit(x) for pair in pairs for x in pair))
-
-
 def _poured(raw: Column, digits: Column) -> Column:
     """The digits put in the places of the digits of raw."""
     def one(c: Column, i: Column) -> Column:
@@ -227,17 +282,38 @@ def _poured(raw: Column, digits: Column) -> Column:
     return F.array_join(F.transform(_characters(raw), one), "")
 
 
-def replacements(found: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
-    """raw, replacement: the surrogate in the spelling of what it replaces."""
+def _cased(token: Column, new: Column) -> Column:
+    """A drawn name in the case of what it replaces."""
+    capital = F.regexp_replace(F.initcap(F.regexp_replace(new, "-", " ")), " ", "-")
+    return F.when(token == F.upper(token), F.upper(new)).otherwise(capital)
+
+
+def _feminine(token: Column, new: Column) -> Column:
+    """A drawn surname in the woman's form, where it replaces one."""
+    return F.when(F.lower(token).rlike("(?:ов|ев|ин)а$"), F.concat(new, F.lit("а"))).otherwise(new)
+
+
+def replacements(found: DataFrame, parts: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """raw, replacement, words: the surrogate in the spelling of what it replaces; words has (kind, value, surrogate) of a name."""
     raw, new = F.col("raw"), F.col("surrogate")
-    surname = F.when(F.lower("surname").rlike("(?:ов|ев|ин)а$"), F.concat(new, F.lit("а"))).otherwise(new)
-    cased = F.when(F.col("surname") == F.upper("surname"), F.upper(surname)).otherwise(F.initcap(surname))
-    given = F.trim("given")
-    name = F.concat("title", F.when(given == "", "").otherwise(F.concat(F.element_at(_given_surrogate(key), given), F.lit(" "))), cased)
-    spaced = _grouped(raw, new)
-    return found.join(chosen, ["kind", "value"]).select("raw", (
+    others = found.join(chosen, ["kind", "value"]).select("raw", (
         F.when(F.col("kind").isin("card", "ssn", "phone"), _poured(raw, _digits(new)))
-        .when(F.col("kind") == "iban", spaced).when(F.col("kind") == "name", name).otherwise(new)).alias("replacement"))
+        .when(F.col("kind") == "iban", _grouped(raw, new)).otherwise(new)).alias("replacement"),
+        F.lit(None).cast("array<struct<kind:string,value:string,surrogate:string>>").alias("words"))
+    spelt = _cased(F.col("token"), F.when(F.col("kind") == "name", _feminine(F.col("token"), new)).otherwise(new))
+    # A word that repeats in a name is one entry.
+    short = F.substring_index("kind", "_", 1)
+    words = parts.join(chosen, ["kind", "value"]).groupBy("raw").agg(
+        F.map_from_entries(F.collect_set(F.struct(F.concat_ws(" ", short, "token"), spelt))).alias("spelt"),
+        F.collect_set(F.struct(short.alias("kind"), "value", "surrogate")).alias("words"))
+
+    def one(part: Column) -> Column:
+        letters = F.sha2(F.concat_ws("\x01", F.lit(key), F.lit("initial"), part["token"]), 256)
+        return F.when(part["kind"] == "initial", _redrawn(part["token"], letters)).otherwise(F.coalesce(F.element_at("spelt", F.concat_ws(" ", part["kind"], part["token"])), part["token"]))
+
+    names = found.filter("kind = 'name'").select("raw", "parts").join(words, "raw").select(
+        "raw", F.array_join(F.transform("parts", one), "").alias("replacement"), "words")
+    return others.unionByName(names)
 
 
 def _grouped(raw: Column, new: Column) -> Column:
@@ -249,6 +325,15 @@ def _grouped(raw: Column, new: Column) -> Column:
     return F.array_join(F.transform(_characters(raw), one), "")
 
 
+def _with_names(piece: Column) -> Column:
+    """A piece of text with the words of the names of its document (given, name) replaced where they stand alone."""
+    def one(t: Column) -> Column:
+        given, surname = F.element_at("given", F.lower(t)), F.element_at("name", _surname_value(t))
+        return F.coalesce(F.when(t.rlike(r"^\p{Lu}[^\p{Lu}.]|^\p{Lu}{2}"), _cased(t, F.coalesce(given, _feminine(t, surname)))), t)
+
+    return F.array_join(F.transform(F.regexp_extract_all(piece, F.lit(_TEXT_TOKENS), F.lit(0)), one), "")
+
+
 def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """docs with the entities of the text replaced; all other columns and rows stay.
 
@@ -256,15 +341,23 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     equal texts. No rows give no rows. Only documents with entities are shuffled.
     """
     found = written(found_values(docs, text), "entities")
-    table = written(replacements(found, surrogates_of(found, key), key), "replacements")
+    parts = written(name_parts(found), "name-parts")
+    values = found.filter("kind <> 'name'").select("kind", "value").unionByName(parts.select("kind", "value"))
+    table = written(replacements(found, parts, surrogates_of(values, key), key), "replacements")
     whole = docs.select(F.struct(*docs.columns).alias("row"), docs[text].alias("whole"))
     whole = whole.withColumn("found", entities_in(F.col("whole")))
     touched = whole.filter(F.size("found") > 0).withColumn("same", F.sha2("whole", 256))
     used = touched.select("same", F.explode("found").alias("raw")).distinct().join(table, "raw")
-    maps = used.groupBy("same").agg(F.map_from_entries(F.collect_list(F.struct("raw", "replacement"))).alias("new"))
+    maps = used.groupBy("same").agg(
+        F.map_from_entries(F.collect_list(F.struct("raw", "replacement"))).alias("new"), F.flatten(F.collect_list("words")).alias("words"))
+    maps = maps.select("same", "new", *(
+        F.map_from_entries(F.array_distinct(F.transform(F.filter("words", lambda w: w["kind"] == kind), lambda w: F.struct(w["value"], w["surrogate"]))))
+        .alias(kind) for kind in ("given", "name")))
     between = F.split("whole", ENTITY, -1)
+    named = F.size("given") + F.size("name") > 0
+    plain = F.when(named, F.transform(between, _with_names)).otherwise(between)
     rebuilt = F.array_join(F.flatten(F.zip_with(
-        between, "found", lambda piece, raw: F.array(piece, F.coalesce(F.element_at(F.col("new"), raw), F.lit(""))))), "")
+        plain, "found", lambda piece, raw: F.array(piece, F.coalesce(F.element_at(F.col("new"), raw), F.lit(""))))), "")
     changed = touched.join(maps, "same").select(F.col("row").withField(text, rebuilt).alias("row"))
     same = whole.filter(F.coalesce(F.size("found"), F.lit(0)) == 0).select("row")
     return same.unionByName(changed).select("row.*")
