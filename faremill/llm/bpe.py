@@ -3,9 +3,11 @@
 The encoding of every prefix of a piece ends with one certain token. That token is the
 longest token matching at the end of the prefix which the encoding of what is before it can
 precede: it starts the piece, or the last token stored there and it are a compatible pair,
-that is, encoding the two together gives back just these two. A suffix automaton over the
-vocabulary yields the matches, back-pointers from the whole piece give the ids. The work is
-linear in the piece, however long.
+that is, encoding the two together gives back just these two. A trie of the
+vocabulary with suffix links yields the matches, in place of a suffix automaton: what is asked
+are the whole tokens that end at a place, and those are the marked states on its suffix links,
+while an automaton of all factors of the tokens would have to sort them out. Back-pointers from
+the whole piece give the ids. The work is linear in the piece, however long.
 
 Whether two tokens are compatible follows from their merge trees. In the order of the merge
 ranks the token left of the border and the one right of it grow up the two trees; they are
