@@ -1,6 +1,7 @@
 """The language of a text by cross-parsing against labelled text.
 
-For each language a suffix automaton is built over a sample of its labelled text. A text is
+For each language a suffix automaton is built over a sample of its labelled text: whole texts,
+and windows at hashed places of those that are too long, so that no language is left out. A text is
 parsed against each: a phrase is the longest match that starts where the last one ended, found
 by following the automaton until no transition fits. The language that needs the fewest
 phrases per letter wins.
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 
 from faremill.llm.common import bounded_batches, text_of, written
 
-# The automata hold at most this many letters each, and in all; texts of the sample are taken whole.
+# The automata hold at most this many letters each, and in all, but never fewer than LEAST_LETTERS each.
 SAMPLE_LETTERS = 24_000
 ALL_LETTERS = 400_000
+LEAST_LETTERS = 256
 SAMPLE_TEXTS = 200
 SHARES = 64
 LONGEST_SAMPLE = 12_000
@@ -100,6 +102,11 @@ def parse_table(steps: list[dict[int, int]], alphabet: np.ndarray) -> np.ndarray
     return np.where(follows >= 0, follows << 2, anew).astype(np.int32)
 
 
+def _place_type(cells: int) -> type:
+    """The type that holds a place of so many cells and two more bits."""
+    return np.int32 if cells << 2 <= np.iinfo(np.int32).max else np.int64
+
+
 class Parser:
     """Counts phrases of texts against several automata."""
 
@@ -108,7 +115,8 @@ class Parser:
         first = np.cumsum([0] + [len(t) for t in tables[:-1]])
         self.roots = first * self.width
         # States are kept as the place of their row in one flat table.
-        self.table = np.concatenate([((((t >> 2) + f) * self.width) << 2 | (t & 3)).ravel() for t, f in zip(tables, first)]).astype(np.int32)
+        kind = _place_type(sum(len(t) for t in tables) * self.width)
+        self.table = np.concatenate([((((t.astype(kind) >> 2) + kind(f)) * kind(self.width)) << 2 | (t & 3)).ravel() for t, f in zip(tables, first)])
 
     def phrases(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
@@ -160,28 +168,40 @@ class Parser:
 
 
 def sample_texts(labelled: DataFrame) -> DataFrame:
-    """lang, h, text: different texts of each language, the first by a hash of the text.
+    """lang, h, text: different texts of each language, the first by a hash of the text; a long one as a window at a hashed place.
 
     Ranked are the hashes alone; the texts of the chosen ones are fetched after that. The first
     of each of `SHARES` shares of a language go on to its last ranking, so no task ranks a
     whole language.
     """
-    rows = labelled.filter(F.col("lang").isNotNull() & (F.length("text").between(1, LONGEST_SAMPLE))).select(
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang", F.xxhash64("text").alias("h"), "text")
     chosen = rows.select("lang", "h", F.pmod("h", F.lit(SHARES)).alias("share")).distinct()
     for keys in (["lang", "share"], ["lang"]):
         first = Window.partitionBy(*keys).orderBy("h")
         chosen = chosen.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_TEXTS).drop("n")
-    return rows.join(chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text"))
+    # Windows are taken of the letters, so that there are some in each.
+    letters = F.regexp_replace("text", r"[^\p{L}]+", " ")
+    place = F.pmod(F.col("h"), F.length("letters") - LONGEST_SAMPLE + 1).cast("int") + 1
+    cut = rows.join(chosen, ["lang", "h"], "left_semi").withColumn("letters", F.when(F.length("text") > LONGEST_SAMPLE, letters))
+    cut = cut.withColumn("text", F.when(F.length("letters") > LONGEST_SAMPLE, F.substr("letters", place, F.lit(LONGEST_SAMPLE))).otherwise(
+        F.coalesce("letters", "text")))
+    return cut.groupBy("lang", "h").agg(F.min("text").alias("text"))
 
 
 def _build(bound: int):
     def build(sample: pd.DataFrame) -> pd.DataFrame:
         codes: list[np.ndarray] = []
         left = bound
-        for text in sample.sort_values("h")["text"]:
+        for h, text in sample.sort_values("h")[["h", "text"]].itertuples(index=False):
             spelt, _ = spelled([text])
-            if 0 < len(spelt) + 1 <= left:
+            if left < 2:
+                break
+            if len(spelt) + 1 > left:  # a window of what does not fit, no more than a quarter, so that others have a place
+                size = min(bound // 4, left - 1)
+                place = h % (len(spelt) - size + 1)
+                spelt = spelt[place:place + size]
+            if spelt.any():
                 codes.append(np.append(spelt, 0))
                 left -= len(spelt) + 1
         whole = np.concatenate(codes) if codes else np.zeros(0, np.int64)
@@ -205,7 +225,7 @@ def train(labelled: DataFrame) -> Parser:
     """A parser from (lang, text): a bounded sample per language, an automaton per language in a task of its own."""
     sample = written(sample_texts(labelled), "samples")
     languages = sample.select("lang").distinct().count()
-    bound = min(SAMPLE_LETTERS, ALL_LETTERS // max(languages, 1))
+    bound = max(min(SAMPLE_LETTERS, ALL_LETTERS // max(languages, 1)), LEAST_LETTERS)
     # A row per language, together at most some ALL_LETTERS states wide.
     built = sorted(sample.groupBy("lang").applyInPandas(
         _build(bound), "lang string, alphabet array<long>, states long, parsed binary").collect(), key=lambda r: r.lang)

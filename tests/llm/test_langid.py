@@ -70,6 +70,26 @@ def test_edge_rows(spark):
     assert {r.lang_pred for r in langid.languages_of(docs.filter("doc_id < 0 OR lang IS NULL")).collect()} == {"und"}
 
 
+def test_no_learned_language_is_lost(spark, monkeypatch):
+    """Long texts only, behind much that is no letter; and texts longer than the letters a language may have."""
+    rows = [("en", LINES["en"] * 3), ("fr", "12 " * 20_000 + LINES["fr"] * 2000), ("fr", LINES["fr"] * 900)]
+    texts = [LINES["fr"] * 40, LINES["en"] * 40]
+    assert langid.train(spark.createDataFrame(rows, "lang string, text string")).best(texts)[0] == ["fr", "en"]
+    monkeypatch.setattr(langid, "ALL_LETTERS", 400)
+    small = langid.train(spark.createDataFrame([(l, LINES[l] * n) for l in LINES for n in (20, 30, 40)], "lang string, text string"))
+    assert small.languages == ["en", "fr"] and small.best(texts)[0] == ["fr", "en"]
+
+
+def test_a_language_of_thousands_of_letters(spark):
+    han = "".join(chr(0x4E00 + i) for i in range(4000))
+    parser = langid.train(spark.createDataFrame([("zh", han), ("zh", han * 4), ("en", LINES["en"])], "lang string, text string"))
+    assert parser.best([han[1000:1400], LINES["en"]])[0] == ["zh", "en"]
+
+
+def test_places_beyond_32_bits():
+    assert [langid._place_type(n) for n in (2 ** 29 - 1, 2 ** 29, 134_300 * 4001)] == [np.int32, np.int64, np.int64]
+
+
 def test_predictions_depend_on_the_text_only(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     parser = langid.train(docs.filter(~langid.held_out()).select("lang", "text"))
