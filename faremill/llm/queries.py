@@ -7,8 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import bpe, fair_mix, grid_join, langid, posting_lists, quality, simhash, surrogates, token_files, warc
+from faremill.llm import (bpe, fair_mix, filter_audit, grid_join, langid, line_store, posting_lists, prefix_trie, quality, simhash,
+                          surrogates, token_files, warc)
 from faremill.llm.common import written
+from faremill.session import scratch_path
 
 SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "a key of the deployment")
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -71,6 +73,20 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    store = line_store.load(docs, scratch_path(spark, "lines"))
+    return line_store.deduped(docs, store).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.documents_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_grid_order_join": op2_grid_order_join,
@@ -82,4 +98,7 @@ QUERIES = {
     "op8_bpe_prefixes": op8_bpe_prefixes,
     "op9_kneser_ney": op9_kneser_ney,
     "op10_simhash_bk": op10_simhash_bk,
+    "op11_line_store": op11_line_store,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_prefix_trie": op13_prefix_trie,
 }
