@@ -26,7 +26,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,27 +115,25 @@ class LineStore:
 
     def probe(self, refs: DataFrame) -> DataFrame:
         """hash, key, doc_id with `known`: whether the filter of the shard may hold the hash."""
-        def ask(key, lines: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        def ask(lines: pa.Table, own: pa.Table) -> pa.Table:
             hashes = lines["hash"].to_numpy().view(np.uint64)
-            known = CuckooFilter.load(own["filter"].iloc[0]).contains(hashes) if len(own) else np.zeros(len(hashes), bool)
-            return pd.DataFrame({"hash": lines["hash"], "known": known})
+            held = CuckooFilter.load(own["filter"][0].as_py()) if own.num_rows else CuckooFilter(1)
+            return lines.select(["hash"]).filter(pa.array(held.contains(hashes)))
 
-        if self.version is None:
-            return refs.withColumn("known", F.lit(False))
         # Distinct hashes are asked: a line that most documents hold is one question.
         asked = refs.select("hash").distinct().withColumn("shard", _shard(self.shards))
-        answers = asked.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(ask, "hash long, known boolean")
-        known = written(answers.filter("known"), "known-lines")
+        answers = asked.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(ask, "hash long")
+        known = written(answers, "known-lines").withColumn("known", F.lit(True))
         return refs.join(known.hint("shuffle_hash"), "hash", "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
     def _filters(self, shards: int, came: DataFrame, gone: DataFrame, counts: DataFrame) -> DataFrame:
         """Filters with hashes added and deleted; built from the counts where the shards change."""
-        def change(key, own: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
-            held = CuckooFilter.load(own["filter"].iloc[0]) if len(own) else CuckooFilter()
-            hashes, left = changes["hash"].to_numpy().view(np.uint64), changes["gone"].to_numpy(bool)
+        def change(key, own: pa.Table, changes: pa.Table) -> pa.Table:
+            held = CuckooFilter.load(own["filter"][0].as_py()) if own.num_rows else CuckooFilter()
+            hashes, left = changes["hash"].to_numpy().view(np.uint64), changes["gone"].to_numpy()
             held.delete(hashes[left])
             held.insert(hashes[~left])
-            return pd.DataFrame({"shard": np.array(key[:1], np.int32), "filter": [held.dump()]})
+            return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([held.dump()], pa.binary())})
 
         if shards != self.shards:
             changes, own = counts.select("hash", F.lit(False).alias("gone")), self.spark.createDataFrame([], FILTERS)
@@ -144,7 +141,7 @@ class LineStore:
             changes = came.select("hash", F.lit(False).alias("gone")).unionByName(gone.select("hash", F.lit(True).alias("gone")))
             own = self.filters
         changes = changes.withColumn("shard", _shard(shards))
-        return own.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(change, FILTERS)
+        return own.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(change, FILTERS)
 
     def _commit(self, refs: DataFrame, counts: DataFrame, came: DataFrame, gone: DataFrame) -> LineStore:
         """Write a version. `counts` are the new ones; `came` and `gone` the keys that changed."""
@@ -169,8 +166,9 @@ class LineStore:
 
         References that are there already count once, so a delivery may be inserted again.
         """
-        # Probed lines are written: what is asked, joined and stored is the same on any retry.
-        new = written(self.probe(references(docs, doc_id, text, least_chars)), "probed-lines")
+        # Both are written: texts are cut once, and what is asked, joined and stored is the same on any retry.
+        new = written(references(docs, doc_id, text, least_chars), "references")
+        new = new.withColumn("known", F.lit(False)) if self.version is None else written(self.probe(new), "probed-lines")
         fresh = new.filter("NOT known").drop("known")
         again = new.filter("known").drop("known")
         counts, refs = self.counts.drop("shard"), self.refs.drop("shard")
