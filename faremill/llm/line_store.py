@@ -6,8 +6,8 @@ A store is a folder with versions. A version has three tables:
 - `counts`: shard, hash, key, n_docs, keeper: its sums per line, keeper the largest doc_id;
 - `filters`: shard, filter: a cuckoo filter over the hashes of all keys in `counts`.
 
-A line is known by its key, 128 bits of the SHA-256 of the folded line; a 64-bit hash of the
-line deals keys to shards and goes into the filters. New lines are asked of the filter of
+A line is known by its key, 128 bits of the SHA-256 of the folded line; the first half of it
+deals keys to shards and goes into the filters. New lines are asked of the filter of
 their shard first. What it denies is new for certain and is counted from the delivery alone;
 only what it may know is joined with the exact counts, which also decide about its errors.
 A key whose last document goes is deleted from its filter, which exact counts make safe. So
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +33,9 @@ from faremill.llm.common import bounded_batches, text_of, written
 from faremill.llm.cuckoo import BUCKETS, MOST_LOAD, SLOTS, CuckooFilter
 from faremill.session import scratch_path
 
-# The white space stripped at both ends, and the letters folded.
-STRIPPED = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Fixed value: the white space stripped at both ends.
+STRIPPED = b" \t\n\x0b\x0c\r"
+KEY_BYTES = 16
 LEAST_CHARS = 20
 LEAST_DOCS = 3
 # Filters start this full; they are built anew, in twice the shards, before MOST_LOAD.
@@ -46,29 +45,45 @@ DELIVERIES = 2
 REFS = "shard int, hash long, key binary, doc_id long"
 COUNTS = "shard int, hash long, key binary, n_docs long, keeper long"
 FILTERS = "shard int, filter binary"
-_FOLD = str.maketrans(UPPER, LOWER)
 
 
-def folded(line: Column) -> Column:
-    """The text that lines are compared by."""
-    return F.translate(F.btrim(line, F.lit(STRIPPED)), UPPER, LOWER)
+def line_keys(text: bytes, least_chars: int = LEAST_CHARS) -> list[bytes | None]:
+    """The key of every line of a text, None for lines below `least_chars` code points.
 
-
-def key_of(line: str) -> bytes:
-    """The key of a line: the same in a task as `keyed` gives in a plan."""
-    return hashlib.sha256(line.strip(STRIPPED).translate(_FOLD).encode("utf-8", "surrogatepass")).digest()[:16]
+    Lines are compared stripped, with A to Z lowered and all other letters as they are, which
+    is what lowering bytes does.
+    """
+    keys: list[bytes | None] = []
+    for line in text.lower().split(b"\n"):
+        line = line.strip(STRIPPED)
+        long = len(line) >= least_chars and (line.isascii() or len(line.decode("utf-8", "replace")) >= least_chars)
+        keys.append(hashlib.sha256(line).digest()[:KEY_BYTES] if long else None)
+    return keys
 
 
 def references(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
     """hash, key, doc_id: every line of `least_chars` code points or more, once per document.
 
-    Documents without an id hold no references, for they could not be told apart.
+    The hash is the first half of the key. Documents without an id hold no references, for
+    they could not be told apart.
     """
-    lines = docs.filter(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.explode(F.split(text_of(text), "\n")).alias("line"))
-    lines = lines.select("doc_id", folded(F.col("line")).alias("line")).filter(F.length("line") >= least_chars)
-    digest = F.unhex(F.substring(F.sha2("line", 256), 1, 32))
-    return lines.select(F.xxhash64("line").alias("hash"), digest.alias("key"), "doc_id").distinct()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = batch.column(0).to_pylist(), []
+            counts = []
+            for whole in batch.column(1):
+                own = set(line_keys(whole.as_py(), least_chars)) - {None}
+                keys.extend(own)
+                counts.append(len(own))
+            halves = np.frombuffer(b"".join(keys), ">i8").astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(halves[::2]), pa.array(keys, pa.binary()), pa.array(np.repeat(np.array(ids, np.int64), counts))],
+                ["hash", "key", "doc_id"])
+
+    bounded_batches(docs.sparkSession)
+    rows = docs.filter(F.col(doc_id).isNotNull()).select(
+        F.col(doc_id).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text"))
+    return rows.mapInArrow(cut, "hash long, key binary, doc_id long").distinct()
 
 
 def _shard(shards: int) -> Column:
@@ -217,31 +232,28 @@ def deduped(docs: DataFrame, store: LineStore, least_docs: int = LEAST_DOCS, doc
     """
     bounded_batches(docs.sparkSession)
     keys = store.drops(least_docs).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text"))
     # The drops grow with the documents, so both sides are shuffled at every size.
     joined = rows.join(keys.hint("shuffle_hash"), "doc_id", "left")
-    break_ = re.compile("\n")
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_dropped = [], [], []
             for whole, drop in zip(batch.column(1), batch.column(2)):
-                whole = whole.as_py()
-                if not drop.is_valid:
-                    texts.append(whole)
-                    n_lines.append(len(break_.findall(whole)) + 1)
-                    n_dropped.append(0)
-                    continue
-                dropped, lines = set(drop.as_py()), whole.split("\n")
-                kept = [line for line in lines if key_of(line) not in dropped]
-                texts.append("\n".join(kept))
-                n_lines.append(len(lines))
-                n_dropped.append(len(lines) - len(kept))
+                whole, dropped = whole.as_py(), set(drop.as_py() or ())
+                lines = n = whole.count(b"\n") + 1
+                if dropped:
+                    kept = [line for line, key in zip(whole.split(b"\n"), line_keys(whole, 0)) if key not in dropped]
+                    whole, n = b"\n".join(kept), len(kept)
+                texts.append(whole)
+                n_lines.append(lines)
+                n_dropped.append(lines - n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.string())],
+                [batch.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.binary())],
                 ["doc_id", "n_lines", "n_dropped", "kept_text"])
 
-    return joined.mapInArrow(without, "doc_id long, n_lines long, n_dropped long, kept_text string")
+    kept = joined.mapInArrow(without, "doc_id long, n_lines long, n_dropped long, kept_text binary")
+    return kept.withColumn("kept_text", F.col("kept_text").cast("string"))
 
 
 def load(docs: DataFrame, path: str, deliveries: int = DELIVERIES, least_chars: int = LEAST_CHARS, doc_id: str = "doc_id",
