@@ -8,12 +8,15 @@ from theirs in one step.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-REMEMBERED = 500_000
+# Bytes that remembered chunks may take, and what one takes besides its letters and ids.
+REMEMBERED_BYTES = 40 << 20
+CHUNK_BYTES = 220
 
 
 def gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray, which: np.ndarray):
@@ -25,46 +28,53 @@ def gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray, which: np.nd
 
 
 class ChunkCodes:
-    """Ids of chunks, remembered between batches up to a bounded number of chunks."""
+    """Ids of chunks, remembered between batches in a bounded number of bytes, and those of one batch."""
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], remembered: int = REMEMBERED):
-        self.encode, self.remembered = encode, remembered
-        self._forget()
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], most_bytes: int = REMEMBERED_BYTES):
+        self.encode, self.most_bytes = encode, most_bytes
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.at: dict[str, int] = {}
         self.flat, self.start, self.length = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.bytes = 0
 
     def _keep(self, chunks: list[str]) -> None:
-        """Forget all others: what the last texts share with these is likely to come again."""
+        """Forget all other chunks."""
         which = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
         flat, ends = gather(self.flat, self.start, self.length, which)
         length = self.length[which]
-        self._forget()
+        self.forget()
         self.flat, self.start, self.length = flat, ends - length, length
         self.at = dict(zip(chunks, range(len(chunks))))
+        self.bytes = _weight(chunks, len(flat))
 
     def _learn(self, chunks: list[str]) -> None:
         coded = self.encode(chunks)
         length = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.fromiter((i for ids in coded for i in ids), np.int32, int(length.sum()))
+        flat = np.fromiter(chain.from_iterable(coded), np.int32, int(length.sum()))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
         self.flat = np.concatenate([self.flat, flat])
         known = len(self.at)
         self.at.update(zip(chunks, range(known, known + len(chunks))))
+        self.bytes += _weight(chunks, len(flat))
 
     def ids(self, lists: pa.ListArray):
         """Ids of lists of chunks one after another (int32), and where each list ends."""
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
-        if len(self.at) + len(chunks) > self.remembered:
+        if self.bytes > self.most_bytes:
+            # What comes again in these texts is likely to come once more; the rest makes room.
             self._keep([c for c in chunks if c in self.at])
-        get = self.at.get
-        new = [c for c in chunks if get(c) is None]
+            if self.bytes > self.most_bytes // 2:
+                self.forget()
+        places = list(map(self.at.get, chunks))
+        new = [c for c, place in zip(chunks, places) if place is None]
         if new:
             self._learn(new)
-        at = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
+            places = list(map(self.at.__getitem__, chunks))
+        at = np.array(places, np.int64)
         which = at[coded.indices.to_numpy(zero_copy_only=False)] if len(chunks) else np.empty(0, np.int64)
         flat, ends = gather(self.flat, self.start, self.length, which)
         chunk_ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -73,6 +83,10 @@ class ChunkCodes:
         return flat, np.concatenate([[0], ends])[chunk_ends]
 
 
+def _weight(chunks: list[str], ids: int) -> int:
+    return sum(map(len, chunks)) + CHUNK_BYTES * len(chunks) + 4 * ids
+
+
 def per_text(flat: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     return np.split(flat, ends[:-1]) if len(ends) else []
 

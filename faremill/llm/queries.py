@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,10 @@ from faremill.llm.common import written
 from faremill.session import scratch_path
 
 SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "a key of the deployment")
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
 def tokenizer(name: str) -> str:
-    return os.path.join(TOKENIZERS, name)
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

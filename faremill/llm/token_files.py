@@ -12,6 +12,7 @@ import functools
 import json
 import unicodedata
 from collections.abc import Iterator, Sequence
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,32 @@ WORD = np.dtype("<u8")
 NO_ID = np.iinfo(np.int64).min
 
 END_ID = 1
-FILE_IDS = 4 << 20
-_PIECES = 300_000
+FILE_IDS = 1 << 20
+# Bytes that remembered pieces may take, and what one takes besides its letters.
+PIECES_BYTES = 32 << 20
+_PIECE_BYTES = 250
+
+
+class _Pieces(dict):
+    """Ids of pieces by their letters, worked out at the first mention."""
+
+    def __init__(self, ids):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        found = self.ids(piece)
+        # A very long piece is rare and is not worth its room.
+        if len(piece) <= _PIECE_BYTES:
+            self[piece] = found
+        return found
+
+    def trim(self) -> None:
+        """Leave the newer half where all take too much."""
+        if len(self) * _PIECE_BYTES > PIECES_BYTES:
+            newer = list(islice(self.items(), len(self) // 2, None))
+            self.clear()
+            self.update(newer)
 
 
 class WordTokenizer:
@@ -56,29 +81,30 @@ class WordTokenizer:
         self.cut, self.model = regex.compile(pattern).findall, self.library.model
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = _Pieces(self._piece)
         self.codes = ChunkCodes(self._chunks)
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        found = self.pieces.get(piece)
-        if found is None:
-            spelt = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            if len(self.pieces) > _PIECES:
-                self.pieces.clear()
-            found = self.pieces[piece] = tuple(t.id for t in self.model.tokenize(spelt))
-        return found
+        spelt = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return tuple([t.id for t in self.model.tokenize(spelt)])
+
+    def forget(self) -> None:
+        """Free what is remembered of earlier texts."""
+        self.pieces.clear()
+        self.codes.forget()
 
     def _chunk(self, chunk: str) -> Sequence[int]:
         # The library lowers letter by letter, without regard to where in a word they stand.
         low = chunk.lower() if chunk.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
         if low.isalpha():
-            return self._piece(low)
+            return self.pieces[low]
         if not chunk.isprintable() or any(s in chunk for s in self.special):
             return self.library.encode(chunk, add_special_tokens=False).ids
-        return [i for piece in self.cut(low) for i in self._piece(piece)]
+        return list(chain.from_iterable(map(self.pieces.__getitem__, self.cut(low))))
 
     def _chunks(self, chunks: list[str]) -> list[Sequence[int]]:
-        return [self._chunk(c) for c in chunks]
+        self.pieces.trim()
+        return list(map(self._chunk, chunks))
 
     def encode(self, texts: pa.Array):
         """Ids of texts one after another, and where each text ends."""
@@ -164,6 +190,8 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFr
     bounded_batches(spark)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # This worker may have written before; reading needs nothing of that.
+        loaded.cache_clear()
         for batch in batches:
             for row in range(batch.num_rows):
                 doc_ids, lengths, ids = read_bytes(batch.column(2)[row].as_py())

@@ -38,7 +38,7 @@ def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "MOST_PAIRS", 3)
     monkeypatch.setattr(bpe, "MOST_STEPS", 3)
     encoder = bpe.PrefixBPE(PATH)
-    encoder.codes.remembered = 5
+    encoder.codes.most_bytes = 1000
     texts = random_texts(300, 2) + ["some ordinary words here", "some other words there"]
     for _ in range(2):
         ids, ends = encoder.encode(pa.array(texts))

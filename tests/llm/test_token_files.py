@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -75,3 +76,17 @@ def test_query_against_the_library(spark, library):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     found = sorted(map(tuple, QUERIES["op4_simple8b"](spark, "/root/testdata/sf0.001").collect()))
     assert found == expected(library, rows)
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(token_files, "PIECES_BYTES", 2000)
+    tokenizer = token_files.WordTokenizer(PATH)
+    tokenizer.codes.most_bytes = 3000
+    texts = [f"word{i} other, and {'long' * (i % 90)} {i % 7}" for i in range(300)]
+    for at in range(0, 300, 20):
+        part = texts[at:at + 20] + texts[:5]
+        ids, ends = tokenizer.encode(pa.array(part))
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        assert tokenizer.codes.bytes < 20_000 and len(tokenizer.pieces) < 200
+    tokenizer.forget()
+    assert not tokenizer.pieces and not tokenizer.codes.at
