@@ -38,9 +38,9 @@ NO_ID = np.iinfo(np.int64).min
 
 END_ID = 1
 FILE_IDS = 1 << 20
-# Bytes that remembered pieces may take, and what one takes besides its letters.
-PIECES_BYTES = 32 << 20
-_PIECE_BYTES = 250
+# Pieces remembered, each of at most so many letters.
+_PIECES = 200_000
+_PIECE_LETTERS = 100
 
 
 class _Pieces(dict):
@@ -52,14 +52,13 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         found = self.ids(piece)
-        # A very long piece is rare and is not worth its room.
-        if len(piece) <= _PIECE_BYTES:
+        if len(piece) <= _PIECE_LETTERS:
             self[piece] = found
         return found
 
     def trim(self) -> None:
-        """Leave the newer half where all take too much."""
-        if len(self) * _PIECE_BYTES > PIECES_BYTES:
+        """Leave the newer half where there are too many."""
+        if len(self) > _PIECES:
             newer = list(islice(self.items(), len(self) // 2, None))
             self.clear()
             self.update(newer)
@@ -88,11 +87,6 @@ class WordTokenizer:
         spelt = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
         return tuple([t.id for t in self.model.tokenize(spelt)])
 
-    def forget(self) -> None:
-        """Free what is remembered of earlier texts."""
-        self.pieces.clear()
-        self.codes.forget()
-
     def _chunk(self, chunk: str) -> Sequence[int]:
         # The library lowers letter by letter, without regard to where in a word they stand.
         low = chunk.lower() if chunk.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
@@ -190,7 +184,7 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFr
     bounded_batches(spark)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # This worker may have written before; reading needs nothing of that.
+        # This worker may have written before; reading needs nothing of what it remembers.
         loaded.cache_clear()
         for batch in batches:
             for row in range(batch.num_rows):

@@ -79,14 +79,13 @@ def test_query_against_the_library(spark, library):
 
 
 def test_forgetting_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(token_files, "PIECES_BYTES", 2000)
+    monkeypatch.setattr(token_files, "_PIECES", 20)
+    monkeypatch.setattr(token_files, "_PIECE_LETTERS", 30)
     tokenizer = token_files.WordTokenizer(PATH)
-    tokenizer.codes.most_bytes = 3000
+    tokenizer.codes.remembered = 15
     texts = [f"word{i} other, and {'long' * (i % 90)} {i % 7}" for i in range(300)]
     for at in range(0, 300, 20):
         part = texts[at:at + 20] + texts[:5]
         ids, ends = tokenizer.encode(pa.array(part))
         assert [x.tolist() for x in np.split(ids, ends[:-1])] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
-        assert tokenizer.codes.bytes < 20_000 and len(tokenizer.pieces) < 200
-    tokenizer.forget()
-    assert not tokenizer.pieces and not tokenizer.codes.at
+    assert len(tokenizer.pieces) < 200 and all(len(p) <= 30 for p in tokenizer.pieces)
