@@ -23,7 +23,7 @@ from faremill.plans.evidence import compare_exports, validate_export  # noqa: E4
 from faremill.plans.export import export_trips, joined_trips  # noqa: E402
 from faremill.plans.months import export_months  # noqa: E402
 from faremill.session import get_session, scratch_path  # noqa: E402
-from faremill.sources.files import profile_files  # noqa: E402
+from faremill.sources.footers import profile_files  # noqa: E402
 from faremill.sources.trips import read_trips  # noqa: E402
 from faremill.sources.zones import read_zones  # noqa: E402
 from faremill.streaming.months import stream_months  # noqa: E402

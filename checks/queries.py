@@ -21,7 +21,7 @@ from faremill.operators.metrics import busy_percent, execution_checks, phase_max
 from faremill.operators.months import commit_months, committed_months, delivered_months, pending_months
 from faremill.operators.profile import (
     by_delivered_month, by_written_month, dataset_totals, file_report, manifest_changes, month_report, report_totals)
-from faremill.operators.runlog import completed_lines, last_per_month, reconstruct, runtime_totals
+from faremill.operators.runlog import completed_lines, last_per_month, log_events, reconstruct, runtime_totals
 from faremill.operators.stage import feature_stage, speed_check
 from faremill.operators.zones import duplicate_keys, join_zone, unmatched_zones, zone_side
 from faremill.plans.evidence import validate_export
@@ -30,7 +30,8 @@ from faremill.plans.months import export_months, read_months
 from faremill.schemas import MONTH, OUTPUT_COLUMNS, RUN_REPORT, TRIP_COLUMNS
 from faremill.session import scratch_path, utc
 from faremill.sources.documents import read_log, read_metrics
-from faremill.sources.files import file_digests, list_files, profile_files, read_output
+from faremill.sources.files import file_digests, list_files, read_output
+from faremill.sources.footers import profile_files
 from faremill.sources.sinks import write_documents, write_report, write_subset, write_table
 from faremill.sources.trips import first_rows, read_trip_months, read_trips
 from faremill.sources.zones import read_zones
@@ -615,7 +616,7 @@ def finite_text_values(spark, sf_dir):
 def runlog_months(spark, sf_dir):
     path = scratch_path(spark, "log")
     P.write_completion_log(spark, sf_dir, path)
-    return last_per_month(completed_lines(read_log(spark, path)))
+    return last_per_month(completed_lines(log_events(read_log(spark, path))))
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faremill.operators.metrics import trial_medians
 from faremill.operators.profile import by_delivered_month, dataset_totals, file_report, month_report, report_totals
-from faremill.operators.runlog import completed_lines, last_per_month, reconstruct, runtime_totals
+from faremill.operators.runlog import completed_lines, last_per_month, log_events, reconstruct, runtime_totals
 from faremill.plans.evidence import (
     check_manifest, prepare_subset, read_manifest, require_completed, validate_export, write_comparison)
 from faremill.plans.export import export_trips
@@ -16,7 +16,7 @@ from faremill.plans.months import export_months
 from faremill.schemas import RUN_REPORT
 from faremill.session import get_session
 from faremill.sources.documents import read_log, read_metrics
-from faremill.sources.files import profile_files
+from faremill.sources.footers import profile_files
 from faremill.sources.zones import read_zones
 from faremill.streaming.months import stream_months
 
@@ -46,12 +46,14 @@ def prepare(spark: SparkSession, args) -> None:
 
 def compare(spark: SparkSession, args) -> None:
     exports = dict(item.split("=", 1) for item in args.export)
+    manifest, metrics = None, None
     if args.manifest:
         manifest = read_manifest(spark, args.manifest)
         check_manifest(spark, manifest, [row["file_path"] for row in manifest.select("file_path").collect()])
     if args.metrics:
-        _show(trial_medians(require_completed(read_metrics(spark, args.metrics), list(exports))))
-    _show(write_comparison(spark, exports, next(iter(exports)), args.summary))
+        metrics = require_completed(read_metrics(spark, args.metrics), list(exports))
+        _show(trial_medians(metrics))
+    _show(write_comparison(spark, exports, next(iter(exports)), args.summary, metrics, manifest))
 
 
 def profile(spark: SparkSession, args) -> None:
@@ -73,7 +75,7 @@ def runlog(spark: SparkSession, args) -> None:
         _show(found.orderBy("month"))
         _show(runtime_totals(found, "runtime_seconds"))
     else:
-        found = last_per_month(completed_lines(log))
+        found = last_per_month(completed_lines(log_events(log)))
         _show(found.orderBy("month"))
         _show(runtime_totals(found))
 

@@ -5,25 +5,29 @@ from __future__ import annotations
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.functions.text import MONTH_FORM, month_of
 from faremill.schemas import LEDGER, MONTH, SchemaError
-from faremill.sources.files import list_files
+from faremill.sources.files import PARQUET, list_files
 
 
-def delivered_months(spark: SparkSession, path: str) -> DataFrame:
+def delivered_months(spark: SparkSession, path: str, pattern: str = PARQUET) -> DataFrame:
     """Months with trip files, from the listing alone: files, bytes, and the state of the files.
 
     The state changes with any name, size or time of change. A file that names no month is an
     error: its rows would belong nowhere.
     """
-    listed = list_files(spark, path).withColumn(MONTH, month_of(F.col("file_name"), F.col("file_path")))
+    listed = list_files(spark, path, pattern).withColumn(MONTH, month_of(F.col("file_name"), F.col("file_path")))
     require_months(listed)
-    return listed.groupBy(MONTH).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"),
-        F.bit_xor(F.xxhash64("file_path", "bytes", "modified")).alias("state"))
+    return listed.groupBy(MONTH).agg(*file_state())
+
+
+def file_state() -> list[Column]:
+    """files, bytes and state of a group of listed files."""
+    return [F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"),
+            F.bit_xor(F.xxhash64("file_path", "bytes", "modified")).alias("state")]
 
 
 def require_months(files: DataFrame) -> None:

@@ -144,6 +144,23 @@ RUN_METRICS = T.StructType([
 ])
 
 
+# What log lines say, parsed. The kind is the folder of an event.
+LOG_EVENTS = T.StructType([
+    T.StructField("session", T.StringType()),
+    T.StructField("at", T.LongType()),
+    T.StructField("line_at", T.StructType([
+        T.StructField("file_path", T.StringType()),
+        T.StructField("block_start", T.LongType()),
+        T.StructField("position", T.LongType()),
+    ])),
+    T.StructField("month", T.StringType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("seconds", T.DoubleType()),
+    T.StructField("dataset", T.StringType()),
+    T.StructField("kind", T.StringType()),
+])
+
+
 class SchemaError(ValueError):
     """An input does not have the declared columns or types."""
 

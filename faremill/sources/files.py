@@ -1,7 +1,6 @@
-"""Facts about files: listing, rows, bytes, digests, schemas.
+"""Facts about files: listing, bytes, digests. Facts from footers are in `footers`.
 
-Listings open no file: a binary scan without its content column only lists. Row counts
-read Parquet footers, since a count without columns needs nothing else.
+Listings open no file: a binary scan without its content column only lists.
 """
 
 from __future__ import annotations
@@ -10,7 +9,6 @@ import hashlib
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,25 +46,6 @@ def total_bytes(spark: SparkSession, path: str | list[str], pattern: str = PARQU
     return list_files(spark, path, pattern).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
 
 
-def file_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file_path, rows of every Parquet file that holds a row."""
-    return (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", PARQUET)
-        .parquet(*_paths(path))
-        .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-
-
-def profile_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file_path, file_name, bytes, rows of every Parquet file, empty ones included."""
-    return (
-        list_files(spark, path)
-        .join(file_rows(spark, path), "file_path", "left")
-        .select("file_path", "file_name", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"))
-    )
-
-
 def file_digests(spark: SparkSession, path: str | list[str], pattern: str = "*",
                  options: Mapping[str, object] | None = None) -> DataFrame:
     """file_path, file_name, bytes, sha256 of every file under a path.
@@ -78,25 +57,10 @@ def file_digests(spark: SparkSession, path: str | list[str], pattern: str = "*",
         for files in batches:
             yield files.assign(sha256=[_digest(path, options) for path in files["file_path"]])
 
-    files = _dealt(list_files(spark, path, pattern).select("file_path", "file_name", "bytes"))
+    files = dealt(list_files(spark, path, pattern).select("file_path", "file_name", "bytes"))
     return files.mapInPandas(digests, "file_path string, file_name string, bytes long, sha256 string")
 
 
-def file_schemas(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
-                 options: Mapping[str, object] | None = None) -> DataFrame:
-    """file_path, columns, schema of every Parquet file, from its footer; of `columns` only, if given."""
-
-    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for files in batches:
-            schemas = [_footer(path, columns, options) for path in files["file_path"]]
-            yield files.assign(
-                columns=[[name for name, _ in fields] for fields in schemas],
-                schema=["\n".join(f"{name}: {kind}" for name, kind in fields) for fields in schemas])
-
-    return _dealt(list_files(spark, path).select("file_path")).mapInPandas(
-        footers, "file_path string, columns array<string>, schema string")
-
-
 def read_output(spark: SparkSession, path: str | list[str], columns: list[str] = OUTPUT_COLUMNS) -> DataFrame:
     """An exported table; raises unless its columns are exactly the expected ones."""
     table = (
@@ -119,7 +83,7 @@ def _binary(spark: SparkSession, path, pattern: str) -> DataFrame:
     )
 
 
-def _dealt(files: DataFrame) -> DataFrame:
+def dealt(files: DataFrame) -> DataFrame:
     """A listing dealt out again: its tasks now open the files."""
     return files.repartition(files.sparkSession.sparkContext.defaultParallelism * FILES_AT_ONCE, "file_path")
 
@@ -131,8 +95,3 @@ def _digest(path: str, options: Mapping[str, object] | None) -> str:
         while chunk := stream.read(_CHUNK_BYTES):
             digest.update(chunk)
     return digest.hexdigest()
-
-
-def _footer(path: str, columns: list[str] | None, options: Mapping[str, object] | None) -> list[tuple[str, str]]:
-    system, name = open_store(path, options)
-    return [(f.name, str(f.type)) for f in pq.read_schema(name, filesystem=system) if columns is None or f.name in columns]

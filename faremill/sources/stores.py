@@ -7,6 +7,7 @@ from `options`, which the caller passes on to the task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from urllib.parse import unquote, urlsplit
 
@@ -34,6 +35,15 @@ def open_store(path: str, options: Mapping[str, object] | None = None) -> tuple[
     return pyarrow.fs.FileSystem.from_uri(where.geturl())
 
 
+def readable(path: str) -> str:
+    """A path as Spark's readers take it, from the form in which Spark shows it.
+
+    Shown paths are URIs: a space is %20. Readers take plain text, and a pattern where it has
+    signs of one, which are escaped.
+    """
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(path))
+
+
 def write_file(path: str, data: bytes, options: Mapping[str, object] | None = None) -> None:
     system, name = open_store(path, options)
     folder = name.rpartition("/")[0]

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from faremill.operators.months import require_months
-from faremill.plans.months import export_months
+from faremill.operators.months import committed_months, pending_months
+from faremill.plans.months import Rebuild
 from faremill.schemas import MONTH
-from faremill.sources.trips import stream_trip_months
+from faremill.sources.trips import read_trip_files, stream_trip_months
+from faremill.streaming.queue import MonthQueue
 
 
 def stream_months(spark: SparkSession, trips_path: str, zones: DataFrame, output_path: str, ledger_path: str,
@@ -16,24 +16,29 @@ def stream_months(spark: SparkSession, trips_path: str, zones: DataFrame, output
                   invalid: str = "nan") -> DataFrame:
     """Process the files that came since the last run, then stop; returns the run report.
 
-    Batches only note which months were touched, next to the checkpoint. After them every
-    month whose files changed is rebuilt once, by the code and the ledger of `export_months`,
-    in however many files and batches it came. A batch that runs twice notes the same months,
-    and a run that dies leaves them pending. No state grows with the stream.
+    Batches put the files they find into a queue next to the checkpoint; no column is read.
+    After them the months that wait in the queue are rebuilt once, whole, from the files that
+    the queue has of them: the input folder is not listed again, and finished months are not
+    looked at. The ledger is that of `export_months`, so a month it has exported from the same
+    files is not done twice. A batch that runs twice is one entry, and a run that dies leaves
+    its months waiting. A file of a waiting month that is gone by then is an error with its
+    name; `export_months` takes withdrawn files out.
     """
-
-    def note_months(batch: DataFrame, batch_id: int) -> None:
-        # Names of files only: no column is read.
-        files = batch.distinct()
-        require_months(files)
-        files.select(MONTH).distinct().withColumn("batch", F.lit(batch_id)).coalesce(1).write.mode("append").parquet(
-            f"{checkpoint_path}/touched")
-
+    queue = MonthQueue(spark, f"{checkpoint_path}/queue")
     (
         stream_trip_months(spark, trips_path, files_per_batch)
-        .writeStream.foreachBatch(note_months)
+        .writeStream.foreachBatch(lambda batch, batch_id: queue.put(batch, batch_id))
         .option("checkpointLocation", f"{checkpoint_path}/files")
         .trigger(availableNow=True)
         .start().awaitTermination()
     )
-    return export_months(spark, trips_path, zones, output_path, ledger_path, None, unit, how, invalid)
+    rebuild = Rebuild(spark, zones, output_path, ledger_path, unit, how, invalid)
+    # At most one row per waiting batch and calendar month.
+    batches = [row["batch"] for row in queue.waiting().select("batch").distinct().collect()]
+    if batches:
+        todo = pending_months(queue.months(), committed_months(spark, ledger_path)).collect()
+        if todo:
+            months = spark.createDataFrame([(row[MONTH],) for row in todo], f"{MONTH} string")
+            rebuild.run(todo, [], lambda: read_trip_files(spark, queue.files(months), rebuild.index_path))
+        queue.done(batches)
+    return rebuild.report()

@@ -1,5 +1,5 @@
 from faremill.operators.runlog import (
-    AMBIGUOUS_SCOPE, COMPLETED_SCOPE, EXECUTED_SCOPE, completed_lines, executed_lines, last_per_month, pair_writes, reconstruct,
+    AMBIGUOUS_SCOPE, COMPLETED_SCOPE, EXECUTED_SCOPE, completed_lines, executed_lines, last_per_month, log_events, pair_writes, reconstruct,
     runtime_totals, written_lines)
 from faremill.sources.documents import read_log
 
@@ -21,7 +21,7 @@ def written(at, rows, prefix=""):
 
 def test_the_last_line_of_a_month_wins(spark, tmp_path):
     (tmp_path / "run.log").write_text(DONE)
-    months = last_per_month(completed_lines(read_log(spark, str(tmp_path))))
+    months = last_per_month(completed_lines(log_events(read_log(spark, str(tmp_path)))))
     assert {r.month: (r.rows, r.seconds) for r in months.collect()} == {"2024-01": (10, 1.5), "2024-02": (3303106, 6.1)}
     assert tuple(runtime_totals(months).first()) == (2, 7.6, 7.6 / 60)
 
@@ -35,7 +35,7 @@ def test_lines_keep_their_order_when_a_file_is_split(spark, tmp_path):
     try:
         log = read_log(spark, str(tmp_path))
         assert log.select("line_at.block_start").distinct().count() > 5
-        months = last_per_month(completed_lines(log)).collect()
+        months = last_per_month(completed_lines(log_events(log))).collect()
     finally:
         spark.conf.set(key, before)
     assert {r.month: r.rows for r in months} == {"2024-01": 19998, "2024-02": 19999, "2024-03": 19997}
@@ -58,9 +58,9 @@ def test_writes_are_paired_with_the_execution_before_them(spark, tmp_path):
         "Completed 2024-03: 700 rows, 4.25 seconds",
     ]))
     log = read_log(spark, str(tmp_path))
-    assert executed_lines(log).count() == 4
+    assert executed_lines(log_events(log)).count() == 4
     pairs = {(r.session, r.written_at % 10**7, r.rows): (r.dataset, r.seconds)
-             for r in pair_writes(executed_lines(log), written_lines(log)).collect()}
+             for r in pair_writes(executed_lines(log_events(log)), written_lines(log_events(log))).collect()}
     assert sorted(str(v) for v in pairs.values()) == [
         "('dataset_a_0', 74.66)", "('dataset_b_0', 73.44)", "('dataset_c_0', 9.0)", "(None, None)"]
     report = spark.createDataFrame([("2024-01", 500), ("2024-03", 700), ("2024-04", 900), ("2024-05", 1)], "month string, rows long")
