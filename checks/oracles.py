@@ -152,6 +152,14 @@ def _variant_ratios(base: str) -> str:
 _TRIALS = """CASE WHEN event_id % 2 = 0 THEN [value, value * 3, value * 2]
       ELSE [value * 4, value, value * 3, value * 2] END"""
 
+SUBSET_SCHEMA = "\n".join(f"{name}: {kind}" for name, kind in zip(TRIP_COLUMNS, (
+    "int32 timestamp[us] timestamp[us] int64 double int32 int32 double double").split()))
+
+
+def _names(column: str) -> str:
+    return "WITH names AS (" + " UNION ALL ".join(f"SELECT '{t}.parquet' AS {column}" for t in TABLES) + ")"
+
+
 ORACLES: dict[str, str] = {
     "clean_enrich_export": CLEANED,
     "clean_enrich_udf": CLEANED,
@@ -217,8 +225,12 @@ ORACLES: dict[str, str] = {
     "month_report_rows": MONTH_REPORT,
     "written_month_rows": f"SELECT source_month AS month, count(*) AS rows FROM ({MONTHLY}) GROUP BY source_month",
     "month_totals": f"SELECT count(*) AS months, CAST(sum(rows) AS BIGINT) AS rows FROM ({MONTH_REPORT})",
-    "file_manifest_changes": """SELECT * FROM (VALUES ('orders.parquet', 'changed'), ('region.parquet', 'added'),
-      ('nation.parquet', 'added'), ('gone.parquet', 'missing')) AS t(file_name, change)""",
+    "file_manifest_changes": _names("name") + """, stored AS (
+        SELECT CASE name WHEN 'nation.parquet' THEN 'gone.parquet' ELSE name END AS name, name = 'orders.parquet' AS other
+        FROM names WHERE name <> 'region.parquet')
+      SELECT coalesce(n.name, s.name) AS file_name,
+        CASE WHEN n.name IS NULL THEN 'missing' WHEN s.name IS NULL THEN 'added' ELSE 'changed' END AS change
+      FROM names n FULL JOIN stored s ON n.name = s.name WHERE n.name IS NULL OR s.name IS NULL OR s.other""",
     "trip_multiplicity": _with(TRIPS) + "SELECT CAST(VendorID AS BIGINT) AS VendorID, " + ", ".join(
         f"strftime({c}, {TEXT}) AS {c}" if c.startswith("tpep_")
         else f"CAST({c} AS BIGINT) AS {c}" if c.endswith("LocationID") else c for c in TRIP[1:]
@@ -234,9 +246,30 @@ ORACLES: dict[str, str] = {
         AND (SELECT count(*) FROM (SELECT * FROM monthly EXCEPT ALL SELECT * FROM whole)) = 0 AS equal_values_with_multiplicity,
       (SELECT count(*) FROM (SELECT * FROM whole EXCEPT ALL SELECT * FROM monthly)) AS left_unmatched_row_instances,
       (SELECT count(*) FROM (SELECT * FROM monthly EXCEPT ALL SELECT * FROM whole)) AS right_unmatched_row_instances""",
-    "multiset_equal": """SELECT * FROM (VALUES ('udf', 'native', true, CAST(0 AS BIGINT), CAST(0 AS BIGINT)),
-      ('udf', 'pandas', true, 0, 0)) AS t("left", "right", equal_values_with_multiplicity, left_unmatched_row_instances,
-      right_unmatched_row_instances)""",
+    # The second form of the speed is another expression: null unless the quotient is positive.
+    "multiset_equal": _with(TRIPS, ZONES, f"whole AS ({_output('global')})", """other AS (SELECT * REPLACE (
+        CASE WHEN isfinite(trip_distance / trip_duration_hours) THEN trip_distance / trip_duration_hours END AS average_speed_mph)
+        FROM whole)""") + " UNION ALL ".join(f"""SELECT 'udf' AS "left", '{how}' AS "right",
+      (SELECT count(*) FROM (SELECT * FROM whole EXCEPT ALL SELECT * FROM {table})) = 0
+        AND (SELECT count(*) FROM (SELECT * FROM {table} EXCEPT ALL SELECT * FROM whole)) = 0 AS equal_values_with_multiplicity,
+      (SELECT count(*) FROM (SELECT * FROM whole EXCEPT ALL SELECT * FROM {table})) AS left_unmatched_row_instances,
+      (SELECT count(*) FROM (SELECT * FROM {table} EXCEPT ALL SELECT * FROM whole)) AS right_unmatched_row_instances"""
+      for how, table in (("native", "other"), ("pandas", "other"))),
+    "speed_forms_compared": _with(SHORT) + f""", zero AS (SELECT count(*) AS n FROM short WHERE {SECONDS.format(p='p', d='d')} <= 0)
+      SELECT 'udf' AS "left", 'native' AS "right", true AS equal_values_with_multiplicity, n - n AS left_unmatched_row_instances,
+        n - n AS right_unmatched_row_instances FROM zero
+      UNION ALL SELECT 'udf', 'pandas_nan', n = 0, n, n FROM zero""",
+    "comparison_tables": BOTH + f""", tables AS ({' UNION ALL '.join(
+        f"SELECT '{name}' AS name, * FROM {table}" for name, table in (("whole", "whole"), ("month", "monthly"), ("again", "whole")))}),
+      counted AS (SELECT * EXCLUDE (name), count(*) FILTER (name = 'whole') AS w, count(*) FILTER (name = 'month') AS m,
+          count(*) FILTER (name = 'again') AS a FROM tables GROUP BY ALL),
+      sums AS (SELECT 'month' AS "right", sum(greatest(w - m, 0))::BIGINT AS l, sum(greatest(m - w, 0))::BIGINT AS r,
+          least(3, count(*) FILTER (w > m)) + least(3, count(*) FILTER (m > w)) AS examples, sum(w)::BIGINT AS lr, sum(m)::BIGINT AS rr FROM counted
+        UNION ALL SELECT 'again', sum(greatest(w - a, 0))::BIGINT, sum(greatest(a - w, 0))::BIGINT,
+          least(3, count(*) FILTER (w > a)) + least(3, count(*) FILTER (a > w)), sum(w)::BIGINT, sum(a)::BIGINT FROM counted)
+      SELECT 'whole' AS "left", "right", l = 0 AND r = 0 AS equal_values_with_multiplicity, l AS left_unmatched_row_instances,
+        r AS right_unmatched_row_instances, examples::BIGINT AS examples, lr AS left_rows, rr AS right_rows,
+        1::BIGINT AS left_schemas, 1::BIGINT AS right_schemas FROM sums""",
     "mismatch_examples": BOTH + f""", records AS (
         SELECT {_record(_OUTPUT_KINDS)} AS record, 1 AS l, 0 AS r FROM whole
         UNION ALL SELECT {_record(_OUTPUT_KINDS)}, 0, 1 FROM monthly),
@@ -268,7 +301,7 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY user_id, event_type),
       wide AS (SELECT CAST(user_id AS VARCHAR) AS run_id, {_variant_columns()} FROM sums GROUP BY user_id)
       SELECT *, {_variant_ratios("view")} FROM wide""",
-    "finite_texts": f"""SELECT event_id, isnan(average_speed_mph) AS nan, isnan(average_speed_mph) AS nan_text
+    "finite_texts": f"""SELECT event_id, isnan(average_speed_mph) AS nan, CAST(average_speed_mph AS VARCHAR) = 'nan' AS nan_text
       FROM ({_speed("'nan'::DOUBLE")})""",
     "runlog_months": _with(RUNS) + "SELECT month, rows, seconds FROM latest",
     "runlog_totals": _with(RUNS) + """SELECT count(*) AS months, round(sum(seconds), 2) AS total_seconds,
@@ -277,6 +310,42 @@ ORACLES: dict[str, str] = {
       CASE WHEN month_of_year <= 6 THEN 'month, as logged at its end'
         ELSE 'run of the dataset that wrote the month' END AS timing_scope FROM latest""",
 }
+ORACLES |= {
+    "ordered_listing": _names("name") + " SELECT row_number() OVER (ORDER BY name) AS place, name AS file_name FROM names",
+    "report_in_order": f"SELECT row_number() OVER (ORDER BY month) AS place, month FROM ({MONTH_REPORT})",
+    "delivered_month_bytes": """SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(1 AS BIGINT) AS files,
+      CAST(sum(strlen(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS bytes FROM orders GROUP BY ALL""",
+    "indexed_file_rows": " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS file_name, (SELECT count(*) FROM {t}) AS rows, CAST((SELECT count(*) FROM (DESCRIBE {t})) AS INTEGER) AS columns"
+        for t in TABLES),
+    "subset_manifest": _with(TRIPS, f"there AS (SELECT count(*) AS n FROM trips WHERE source_month = '{EMPTIED}')")
+    + f"""SELECT role, 1000 AS requested_rows, n AS source_file_rows, least(n, 1000) AS input_rows,
+      '{SUBSET_SCHEMA}' AS subset_schema FROM there, (SELECT unnest(['source', 'subset']) AS role)""",
+    "cached_stage": f"""SELECT count(*) AS rows, round(sum(average_speed_mph), 4) AS speed_sum, false AS before, true AS inside,
+      false AS after FROM ({CLEANED})""",
+    "export_seconds": f"SELECT count(*) AS rows, true AS measured FROM ({CLEANED})",
+    "cleaning_counts": _with(TRIPS) + f""", counted AS (SELECT *, count(*) AS n,
+        tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL AND trip_distance IS NOT NULL
+          AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL AS whole, coalesce({_VALID}, false) AS valid FROM trips GROUP BY ALL)
+      SELECT source_month, sum(n)::BIGINT AS rows_in, coalesce(sum(n) FILTER (NOT whole), 0)::BIGINT AS without_required,
+        coalesce(sum(n - 1) FILTER (whole), 0)::BIGINT AS copies, count(*) FILTER (whole AND NOT valid) AS invalid,
+        count(*) FILTER (whole AND valid) AS rows_out FROM counted GROUP BY source_month""",
+    "metrics_indented": """SELECT event_type AS run_id, 'all' AS variant, min(value) AS warmup_seconds, 3 AS trials,
+      max(value) AS median_seconds FROM events GROUP BY event_type""",
+    "samples_jsonl": _with(SAMPLES) + "SELECT * EXCLUDE (trace) FROM samples",
+    "runlog_equal_sizes": _with(RUNS) + """, halves AS (SELECT *, max(key) OVER (PARTITION BY month) AS last_key,
+        CAST(month[1:4] AS BIGINT) AS y, CAST(month[1:4] AS BIGINT) * 2 + CASE WHEN month_of_year <= 9 THEN 0 ELSE 1 END AS size
+        FROM runs WHERE month_of_year > 6),
+      writes AS (SELECT size, seconds, key, row_number() OVER (PARTITION BY size ORDER BY key) AS turn, count(*) OVER (PARTITION BY size) AS writes
+        FROM halves WHERE y % 2 = 0 OR key = last_key),
+      months AS (SELECT month, size, row_number() OVER (PARTITION BY size ORDER BY month) AS turn, count(*) OVER (PARTITION BY size) AS months
+        FROM (SELECT DISTINCT month, size FROM halves)),
+      sizes AS (SELECT size, max(writes) AS writes, arg_max(seconds, key) AS latest FROM writes GROUP BY size)
+      SELECT m.month, m.size AS rows, CASE WHEN months = 1 THEN latest WHEN months = s.writes THEN w.seconds END AS runtime_seconds,
+        CASE WHEN months = 1 OR months = s.writes THEN 'run of the dataset that wrote the month'
+          ELSE 'unknown: months and writes of this size cannot be matched' END AS timing_scope
+      FROM months m JOIN sizes s USING (size) LEFT JOIN writes w ON w.size = m.size AND w.turn = m.turn AND months = s.writes""",
+}
 ORACLES["join_pickup_shuffled"] = ORACLES["join_pickup"]
 ORACLES["report_csv"] = ORACLES["month_report_rows"]
 ORACLES["subset_file"] = ORACLES["fixed_subset"]

@@ -166,8 +166,8 @@ def write_completion_log(spark: SparkSession, sf_dir: str, path: str) -> None:
     _write_lines(_runs(spark, sf_dir), F.array(noise, _completed_line()), path)
 
 
-def write_attempt_log(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Completion lines in the first half of a year; executions, twice each, and writes in the second."""
+def _attempt(spark: SparkSession):
+    """The lines of a run: its execution, in its own file and the shared one, and its write."""
     with utc(spark):
         started = F.timestamp_seconds(F.lit(1_790_000_000) + F.col("key") * 2)
         at = lambda millis: F.date_format(F.timestamp_add("MILLISECOND", F.lit(millis), started),
@@ -177,13 +177,64 @@ def write_attempt_log(spark: SparkSession, sf_dir: str, path: str) -> None:
                             F.lit("_0 execution finished in "), F.col("seconds"), F.lit(" seconds"))
         written = F.concat(session, F.lit("shared.log:"), at(700), F.lit(" INFO -- Data sink Parquet finished. "),
                            F.col("rows").cast("string"), F.lit(" rows and 7.5MiB data written."))
-        attempt = F.array(
+        return F.array(
             F.concat(session, F.lit("dataset_"), F.col("key").cast("string"), F.lit("_0.log"), executed),
             F.concat(session, F.lit("shared.log"), executed), written)
-        lines = F.when(F.col("month_of_year") <= 6, F.array(_completed_line())).otherwise(attempt)
+
+
+def write_attempt_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Completion lines in the first half of a year; executions, twice each, and writes in the second."""
+    lines = F.when(F.col("month_of_year") <= 6, F.array(_completed_line())).otherwise(_attempt(spark))
+    with utc(spark):
         _write_lines(_runs(spark, sf_dir), lines, path)
 
 
+def _equal_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the second half of each year; months 7 to 9 share a number of rows, and so do 10 to 12.
+
+    In odd years only the last run of a month counts, so that there are as many writes as
+    months; in even years every run does.
+    """
+    with utc(spark):
+        runs = _runs(spark, sf_dir).filter("month_of_year > 6")
+        half = F.when(F.col("month_of_year") <= 9, F.lit(0)).otherwise(F.lit(1))
+        year = F.substring("month", 1, 4).cast("long")
+        last = runs.groupBy("month").agg(F.max("key").alias("last_key"))
+        runs = runs.withColumn("rows", year * 2 + half).join(last, "month")
+        return runs.filter((year % 2 == 0) | (F.col("key") == F.col("last_key"))).drop("last_key")
+
+
+def write_equal_sizes_log(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """An execution and a write per run, where months share their number of rows."""
+    with utc(spark):
+        _write_lines(_equal_sizes(spark, sf_dir), _attempt(spark), path)
+
+
+def equal_size_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _equal_sizes(spark, sf_dir).select("month", "rows").distinct()
+
+
+def write_month_texts(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The keys of the orders of each month, a line each, as one text file per month."""
+    with utc(spark):
+        orders = table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").cast("string").alias("value"),
+            F.concat(F.lit("yellow_tripdata_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".txt")).alias("file"))
+        orders.repartition("file").write.mode("overwrite").partitionBy("file").text(path)
+
+
+def write_type_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """One indented metrics document per event type, each a file."""
+    documents = table(spark, sf_dir, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    text = F.to_json(F.struct(
+        F.col("event_type").alias("run_id"), F.lit("all").alias("variant"), F.lit("completed").alias("status"), F.col("n").alias("input_rows"),
+        F.col("high").alias("pipeline_seconds"),
+        F.struct(F.col("low").alias("warmup_seconds_not_in_median"), F.array("high", "low", "high").alias("timed_runs_seconds")).alias("feature_stage"),
+    ), {"pretty": "true"})
+    documents.select(text.alias("value"), F.col("event_type").alias("name")).repartition("name").write.mode("overwrite").partitionBy("name").text(path)
+
+
 def month_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per month of the runs in the attempt log."""
     return _runs(spark, sf_dir).select("month", "rows").distinct()

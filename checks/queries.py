@@ -15,23 +15,23 @@ from faremill.functions.clock import timestamp_text
 from faremill.functions.units import finite_text, gib, kib_to_mib, used_mib
 from faremill.operators.batches import map_batches
 from faremill.operators.clean import (
-    add_speed, add_time_features, drop_copies, drop_missing, keep_valid)
+    add_speed, add_time_features, count_cleaning, drop_copies, drop_missing, keep_valid)
 from faremill.operators.compare import diff_examples, diff_multiset, row_multiplicity
 from faremill.operators.metrics import busy_percent, execution_checks, phase_maxima, trial_medians, variant_ratios
 from faremill.operators.months import commit_months, committed_months, delivered_months, pending_months
 from faremill.operators.profile import (
     by_delivered_month, by_written_month, dataset_totals, file_report, manifest_changes, month_report, report_totals)
 from faremill.operators.runlog import completed_lines, last_per_month, log_events, reconstruct, runtime_totals
-from faremill.operators.stage import feature_stage, speed_check
+from faremill.operators.stage import cached, feature_stage, speed_check
 from faremill.operators.zones import duplicate_keys, join_zone, unmatched_zones, zone_side
-from faremill.plans.evidence import validate_export
+from faremill.plans.evidence import prepare_subset, validate_export, write_comparison
 from faremill.plans.export import build_output, export_trips, joined_trips
 from faremill.plans.months import export_months, read_months
 from faremill.schemas import MONTH, OUTPUT_COLUMNS, RUN_REPORT, TRIP_COLUMNS
 from faremill.session import scratch_path, utc
-from faremill.sources.documents import read_log, read_metrics
-from faremill.sources.files import file_digests, list_files, read_output
-from faremill.sources.footers import profile_files
+from faremill.sources.documents import read_log, read_metrics, read_samples
+from faremill.sources.files import file_digests, list_files, read_output, sorted_paths
+from faremill.sources.footers import path_footers, profile_files
 from faremill.sources.sinks import write_documents, write_report, write_subset, write_table
 from faremill.sources.trips import first_rows, read_trip_months, read_trips
 from faremill.sources.zones import read_zones
@@ -58,17 +58,11 @@ def _as_text(df: DataFrame) -> DataFrame:
         return df.withColumns({c: timestamp_text(F.col(c)) for c in df.columns if c.startswith("tpep_")})
 
 
-_DELIVERED: dict[tuple[str, str], str] = {}
-
-
 def _delivered(spark: SparkSession, sf_dir: str) -> str:
-    """Month files in the shared folder, written once per application: they are input only."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _DELIVERED:
-        path = scratch_path(spark, "trips")
-        P.write_month_files(P.trips(spark, sf_dir), path)
-        _DELIVERED[key] = path
-    return _DELIVERED[key]
+    """Month files in the shared folder."""
+    path = scratch_path(spark, "trips")
+    P.write_month_files(P.trips(spark, sf_dir), path)
+    return path
 
 
 def _lookup_file(spark: SparkSession, sf_dir: str) -> str:
@@ -182,6 +176,39 @@ def file_rows(spark, sf_dir):
     return profile_files(spark, sf_dir).select("file_name", "rows")
 
 
+@query
+def ordered_listing(spark, sf_dir):
+    """Names in the order in which the listing gives them; the listing is of files, not of rows."""
+    names = [row["file_name"] for row in sorted_paths(spark, sf_dir).collect()]
+    return spark.createDataFrame(list(enumerate(names, 1)), "place long, file_name string")
+
+
+@query
+def delivered_month_bytes(spark, sf_dir):
+    """Bytes and files per month, from a listing of text files whose content SQL knows."""
+    path = scratch_path(spark, "texts")
+    P.write_month_texts(spark, sf_dir, path)
+    return delivered_months(spark, path, "*.txt").select(F.col(MONTH).alias("month"), "files", "bytes")
+
+
+@query
+def indexed_file_rows(spark, sf_dir):
+    """Rows per file from an index of footers that was made before and is asked again."""
+    index = scratch_path(spark, "index")
+    path_footers(spark, [f"{sf_dir}/orders.parquet", f"{sf_dir}/nation.parquet"], index).count()
+    return path_footers(spark, sf_dir, index).select("file_name", "rows", F.size("columns").alias("columns"))
+
+
+@query
+def subset_manifest(spark, sf_dir):
+    """The manifest of a fixed subset of one month file: rows asked for, there and taken, and the schema."""
+    trips, subset, manifest = (scratch_path(spark, name) for name in ("trips", "subset", "manifest"))
+    month = P.trips(spark, sf_dir).filter(F.col(MONTH) == EMPTIED).drop(MONTH)
+    month.coalesce(1).write.parquet(f"{trips}/yellow_tripdata_{EMPTIED}.parquet")
+    found = prepare_subset(spark, trips, _lookup_file(spark, sf_dir), subset, manifest, 1000)
+    return found.filter("role <> 'lookup'").select("role", "requested_rows", "source_file_rows", "input_rows", "subset_schema")
+
+
 # --- cleaning and features -----------------------------------------------------------
 
 
@@ -299,6 +326,30 @@ def feature_columns(spark, sf_dir):
     return feature_stage(add_speed(joined_trips(P.trips(spark, sf_dir), P.zones(spark, sf_dir))))
 
 
+@query
+def cached_stage(spark, sf_dir):
+    """The feature stage over a cached table, with what the cache says before, inside and after."""
+    table = feature_stage(add_speed(joined_trips(P.trips(spark, sf_dir), P.zones(spark, sf_dir))))
+    before = table.is_cached
+    with cached(table) as held:
+        inside, row = held.is_cached, speed_check(held).first()
+    return spark.createDataFrame([(row["rows"], round(row["speed_sum"], 4), before, inside, held.is_cached)],
+                                 "rows long, speed_sum double, before boolean, inside boolean, after boolean")
+
+
+@query
+def export_seconds(spark, sf_dir):
+    """The seconds that an export reports, and the rows that it wrote meanwhile."""
+    output = scratch_path(spark, "export")
+    seconds = export_trips(spark, _delivered(spark, sf_dir), _lookup_file(spark, sf_dir), output)
+    return read_output(spark, output).agg(F.count(F.lit(1)).alias("rows")).withColumn("measured", F.lit(seconds > 0))
+
+
+@query
+def cleaning_counts(spark, sf_dir):
+    return count_cleaning(P.trips(spark, sf_dir))
+
+
 # --- zones ---------------------------------------------------------------------------
 
 
@@ -391,6 +442,14 @@ def report_csv(spark, sf_dir):
     return spark.read.schema(RUN_REPORT).option("header", True).csv(path).select("month", "rows")
 
 
+@query
+def report_in_order(spark, sf_dir):
+    """Months in the order in which the run report gives them."""
+    _, report = _exported(spark, sf_dir)
+    months = [(place, row["month"]) for place, row in enumerate(report.select("month").collect(), 1)]
+    return spark.createDataFrame(months, "place long, month string")
+
+
 @query
 def gib_totals(spark, sf_dir):
     return P.table(spark, sf_dir, "customer").select("c_custkey", gib(F.col("c_custkey") * F.lit(3 << 20)).alias("gib"))
@@ -481,6 +540,32 @@ def mismatch_examples(spark, sf_dir):
     return diff_examples(scopes["whole"], scopes["month"], names=("whole", "month"))
 
 
+@query
+def speed_forms_compared(spark, sf_dir):
+    """Forms of the speed over very short trips: two agree, the third has NaN where they have null."""
+    forms = {"udf": _speed(spark, sf_dir, "udf"), "native": _speed(spark, sf_dir, "native"),
+             "pandas_nan": _speed(spark, sf_dir, "pandas", "nan")}
+    return diff_multiset(forms)
+
+
+@query
+def comparison_tables(spark, sf_dir):
+    """The summary of a comparison of three exports, read back: pairs next to the rows and schemas of both sides."""
+    exports = {name: scratch_path(spark, f"export-{name}") for name in ("whole", "month", "again")}
+    scopes = _scopes(spark, sf_dir)
+    for name, path in exports.items():
+        write_table(scopes["month" if name == "month" else "whole"], path)
+    path = scratch_path(spark, "summary")
+    write_comparison(spark, exports, "whole", path)
+    summary = spark.read.json(f"{path}/summary")
+    sides = summary.select(F.inline("datasets")).select("name", "rows", "schemas")
+    examples = summary.select(F.inline("mismatch_examples")).groupBy("left", "right").agg(F.count(F.lit(1)).alias("examples"))
+    pairs = summary.select(F.inline("comparisons")).join(examples, ["left", "right"], "left").fillna(0, ["examples"])
+    for side in ("left", "right"):
+        pairs = pairs.join(sides.select(F.col("name").alias(side), F.col("rows").alias(f"{side}_rows"), F.col("schemas").alias(f"{side}_schemas")), side)
+    return pairs
+
+
 # --- incremental ---------------------------------------------------------------------
 
 
@@ -586,6 +671,23 @@ def trial_median(spark, sf_dir):
     return trial_medians(_documents(spark, P.run_documents(spark, sf_dir)))
 
 
+@query
+def metrics_indented(spark, sf_dir):
+    """Indented documents, one to a file."""
+    path = scratch_path(spark, "metrics")
+    P.write_type_documents(spark, sf_dir, path)
+    return trial_medians(read_metrics(spark, path))
+
+
+@query
+def samples_jsonl(spark, sf_dir):
+    """Resource samples as JSON lines, read back."""
+    path = scratch_path(spark, "samples")
+    write_documents(_samples(spark, sf_dir).drop("trace"), path)
+    return read_samples(spark, path).select(
+        "phase", "monotonic_seconds", "host_ram_total_mib", "host_ram_used_mib", "host_swap_used_mib", "host_cpu_busy_percent")
+
+
 @query
 def trial_checks(spark, sf_dir):
     return execution_checks(_documents(spark, P.run_documents(spark, sf_dir)))
@@ -631,3 +733,11 @@ def runlog_reconstruct(spark, sf_dir):
     path = scratch_path(spark, "log")
     P.write_attempt_log(spark, sf_dir, path)
     return reconstruct(read_log(spark, path), P.month_rows(spark, sf_dir))
+
+
+@query
+def runlog_equal_sizes(spark, sf_dir):
+    """Months that share a number of rows, with as many writes as months, or more."""
+    path = scratch_path(spark, "log")
+    P.write_equal_sizes_log(spark, sf_dir, path)
+    return reconstruct(read_log(spark, path), P.equal_size_rows(spark, sf_dir))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,15 +17,25 @@ DURATIONS = {"second": hours_by_second, "fraction": hours_by_fraction}
 SCOPES = ("global", MONTH)
 
 
-def drop_missing(df: DataFrame, columns: list[str] = REQUIRED_COLUMNS) -> DataFrame:
-    """Drop rows where a required column is null or NaN.
+def has_required(df: DataFrame, columns: list[str] = REQUIRED_COLUMNS) -> Column:
+    """Whether no required column is null or NaN.
 
     Written as separate null tests, which the Parquet scan can use; `dropna` is one opaque
     test over all columns.
     """
     floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     tests = [F.col(c).isNotNull() for c in columns] + [~F.isnan(c) for c in columns if c in floats]
-    return df.filter(reduce(lambda a, b: a & b, tests))
+    return reduce(lambda a, b: a & b, tests)
+
+
+def is_valid() -> Column:
+    """Whether a trip has a positive distance and ends after it starts."""
+    return (F.col("trip_distance") > 0) & (F.col("tpep_dropoff_datetime") > F.col("tpep_pickup_datetime"))
+
+
+def drop_missing(df: DataFrame, columns: list[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """Drop rows where a required column is null or NaN."""
+    return df.filter(has_required(df, columns))
 
 
 def drop_copies(df: DataFrame, scope: str = "global") -> DataFrame:
@@ -43,9 +53,28 @@ def drop_copies(df: DataFrame, scope: str = "global") -> DataFrame:
 
 def keep_valid(df: DataFrame) -> DataFrame:
     """Keep trips with a positive distance that end after they start."""
-    return df.filter(
-        (F.col("trip_distance") > 0) & (F.col("tpep_dropoff_datetime") > F.col("tpep_pickup_datetime"))
-    )
+    return df.filter(is_valid())
+
+
+def count_cleaning(df: DataFrame) -> DataFrame:
+    """source_month, rows_in, without_required, copies, invalid, rows_out: what each step takes away per month.
+
+    The steps are counted in their order: missing values, copies inside the month, impossible
+    trips. All come from one shuffle of distinct trips with their numbers, the one that drops
+    copies, and then a row per month and task. Counts are part of the rows' own job and not
+    counters beside it, so work that is done again after a lost executor counts once.
+    """
+    trips = df.groupBy(*TRIP_COLUMNS, MONTH).agg(F.count(F.lit(1)).alias("n"))
+    whole = has_required(trips)
+    valid = F.coalesce(is_valid(), F.lit(False))
+
+    def total(value: Column, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("long")
+
+    one, n = F.lit(1), F.col("n")
+    return trips.groupBy(MONTH).agg(
+        F.sum(n).alias("rows_in"), total(n, ~whole).alias("without_required"), total(n - 1, whole).alias("copies"),
+        total(one, whole & ~valid).alias("invalid"), total(one, whole & valid).alias("rows_out"))
 
 
 def clean_trips(df: DataFrame, scope: str = "global") -> DataFrame:

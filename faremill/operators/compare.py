@@ -37,7 +37,7 @@ def multiplicities(tables: dict[str, DataFrame], columns: list[str] | None = Non
     for own, df in tables.items():
         keys = _keys(df, columns, common)
         if within is not None and len(within) < buckets:
-            keys = keys.filter(_bucket(F.xxhash64(*columns, _ZEROS), buckets).isin(within)) if within else keys.filter(F.lit(False))
+            keys = _of_buckets(keys, columns, within, buckets)
         tagged.append(keys.withColumns({f"n_{name}": F.lit(1 if name == own else 0).cast("long") for name in tables}))
     union = reduce(DataFrame.unionAll, tagged)
     counted = union.groupBy(*columns, _ZEROS).agg(*[F.sum(f"n_{name}").alias(f"n_{name}") for name in tables])
@@ -178,6 +178,19 @@ def _keys(df: DataFrame, columns: list[str], common: dict[str, str]) -> DataFram
     return df.select(*keys, reduce(add, bits, F.lit(0).cast("long")).alias(_ZEROS))
 
 
+def _of_buckets(keys: DataFrame, columns: list[str], within: list[int], buckets: int) -> DataFrame:
+    """The rows of some buckets.
+
+    Their numbers are joined, at most `buckets` of them: a filter over a hash of all columns
+    would be taken apart by the optimizer, once for every way to write each column.
+    """
+    if not within:
+        return keys.filter(F.lit(False))
+    wanted = keys.sparkSession.createDataFrame([(b,) for b in within], "_bucket int")
+    own = F.coalesce(_bucket(F.xxhash64(*columns, _ZEROS), buckets), F.lit(-1))
+    return keys.withColumn("_bucket", own).join(F.broadcast(wanted), "_bucket", "left_semi").drop("_bucket")
+
+
 def _bucket(hashed: Column, buckets: int) -> Column:
     return F.pmod(hashed, F.lit(buckets)).cast("int")
 

@@ -1,14 +1,18 @@
 import collections
 import json
 import math
+import re
 import struct
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from faremill.functions.canonical import canonical_record, float_hex, json_text, kind_of, kinds_of
-from faremill.operators.compare import diff_examples, diff_multiset, multiplicities, row_multiplicity
+from faremill.operators import compare
+from faremill.operators.compare import (
+    bucket_digests, diff_examples, diff_multiset, differing_buckets, differing_rows, multiplicities, pair_examples, row_multiplicity)
 from helpers import plan_of
 
 SCHEMA = "a int, b double, c string, d boolean"
@@ -127,3 +131,64 @@ def test_one_shuffle_for_all_tables(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     plan = plan_of(multiplicities({"a": df, "b": df, "c": df}), "simple")
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_digests_agree_where_multisets_do(spark):
+    df = spark.createDataFrame(ROWS * 3, SCHEMA)
+    again = df.repartition(5).orderBy("c")
+    assert differing_buckets({"l": df, "r": again}, [("l", "r")], buckets=8) == []
+    fewer = spark.createDataFrame(ROWS * 2 + ROWS[1:], SCHEMA)
+    changed = spark.createDataFrame(ROWS * 2 + [(1, 0.0, "x", True)] + ROWS[1:], SCHEMA)
+    for other in (fewer, changed):
+        found = differing_buckets({"l": df, "r": other}, [("l", "r")], buckets=64)
+        assert 1 <= len(found) <= 2
+        assert diff_multiset({"l": df, "r": other}, buckets=64).first().left_unmatched_row_instances == 1
+    assert bucket_digests({"l": df}, buckets=4).agg({"l.rows": "sum"}).first()[0] == len(ROWS) * 3
+    assert diff_multiset({"l": df.limit(0), "r": df.limit(0)}).first().equal_values_with_multiplicity
+
+
+def test_equal_tables_shuffle_digests_only(spark):
+    left, right = (spark.range(20_000).select((F.col("id") % 997).alias("a"), F.col("id").cast("string").alias("b")) for _ in range(2))
+    tables, pairs = {"l": left, "r": right}, [("l", "r")]
+    plan = plan_of(bucket_digests(tables, buckets=64))
+    # What is shuffled is summed by bucket and table before.
+    assert re.findall(r"hashpartitioning\((\w+)#\d+L?(?:, (\w+)#\d+)?", plan)[0] == ("bucket", "table")
+    assert "partial_sum" in plan
+    counted = plan_of(differing_rows(tables, pairs, buckets=64))
+    # Nothing is left to count: the rows of equal buckets are not read again.
+    assert "Range (" not in counted and "LocalTableScan" in counted
+
+
+def test_only_rows_of_differing_buckets_are_counted(spark):
+    left = spark.range(5_000).select("id")
+    right = left.filter("id <> 77")
+    pairs = [("l", "r")]
+    buckets = differing_buckets({"l": left, "r": right}, pairs, buckets=128)
+    assert len(buckets) == 1
+    assert multiplicities({"l": left, "r": right}, None, buckets, 128).count() < 5_000 / 60
+    assert [tuple(r) for r in differing_rows({"l": left, "r": right}, pairs, buckets=128).collect()] == [(77, 1, 0)]
+
+
+def test_examples_of_all_pairs_come_from_one_shuffle(spark):
+    base = spark.createDataFrame(ROWS, SCHEMA)
+    tables = {"base": base, "one": spark.createDataFrame(ROWS[2:], SCHEMA), "two": spark.createDataFrame(ROWS + [(9, 9.0, "z", True)] * 2, SCHEMA)}
+    pairs = [("base", "one"), ("base", "two")]
+    differing = differing_rows(tables, pairs)
+    plan = plan_of(pair_examples(differing, tables, pairs), "simple")
+    wide = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(wide) == 2 and "left#" in wide[0] + wide[1] and plan.count("WindowGroupLimit") == 2
+    got = {(r.left, r.right, r.side, r.count_on_side, r.count_on_other, r.encoded_record) for r in pair_examples(differing, tables, pairs).collect()}
+    expected = set()
+    for left, right in pairs:
+        own, other = ([tuple(r) for r in tables[n].collect()] for n in (left, right))
+        only_left, only_right, ours, theirs = brute(own, other)
+        expected |= {(left, right, left, ours[r], theirs[r], r) for r in sorted(only_left)[:3]}
+        expected |= {(left, right, right, theirs[r], ours[r], r) for r in sorted(only_right)[:3]}
+    assert got == expected and len(got) == 2
+
+
+def test_buckets_may_be_few_or_all_differ(spark, monkeypatch):
+    monkeypatch.setattr(compare, "BUCKETS", 2)
+    left, right = spark.range(100), spark.range(50, 200)
+    row = diff_multiset({"l": left, "r": right}, buckets=2).first()
+    assert (row.left_unmatched_row_instances, row.right_unmatched_row_instances) == (50, 100)

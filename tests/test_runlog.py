@@ -1,7 +1,8 @@
 from faremill.operators.runlog import (
-    AMBIGUOUS_SCOPE, COMPLETED_SCOPE, EXECUTED_SCOPE, completed_lines, executed_lines, last_per_month, log_events, pair_writes, reconstruct,
-    runtime_totals, written_lines)
+    AMBIGUOUS_SCOPE, COMPLETED_SCOPE, EXECUTED_SCOPE, completed_lines, executed_lines, last_per_month, log_events, pair_writes, reconstruct, reconstruct_events,
+    runtime_totals, write_events, written_lines)
 from faremill.sources.documents import read_log
+from helpers import plan_of
 
 DONE = """starting
 Completed 2024-02: 3,303,105 rows, 96.79 seconds
@@ -78,3 +79,37 @@ def test_months_of_one_size(spark, tmp_path):
     got = {r.month: (r.runtime_seconds, r.timing_scope) for r in reconstruct(read_log(spark, str(tmp_path)), report).collect()}
     assert got == {"2024-01": (5.0, EXECUTED_SCOPE), "2024-02": (9.0, EXECUTED_SCOPE), "2024-03": (None, AMBIGUOUS_SCOPE),
                    "2024-04": (None, AMBIGUOUS_SCOPE), "2024-05": (7.0, EXECUTED_SCOPE)}
+
+
+def test_a_log_is_scanned_once(spark, tmp_path):
+    lines = [executed("2026-10-05 00:00:00,000", "dataset_a_0", "5.00"), written("2026-10-05 00:00:01,000", 10), "noise", "Completed 2024-02: 3 rows, 1.00 seconds"]
+    (tmp_path / "run.log").write_text("\n".join(lines))
+    log = read_log(spark, str(tmp_path / "run.log"))
+    assert plan_of(log_events(log), "simple").count("FileScan text") == 1
+    events = write_events(log, str(tmp_path / "events"))
+    assert sorted(r.kind for r in events.collect()) == ["completed", "executed", "written"]
+    report = spark.createDataFrame([("2024-01", 10), ("2024-02", 3)], "month string, rows long")
+    for found in (reconstruct(log, report), reconstruct_events(events, report)):
+        assert "FileScan text" not in plan_of(found, "simple")
+        assert {r.month: r.runtime_seconds for r in found.collect()} == {"2024-01": 5.0, "2024-02": 1.0}
+
+
+def test_a_line_may_say_several_things(spark, tmp_path):
+    line = "Completed 2024-02: 3 rows, 1.00 seconds; " + executed("2026-10-05 00:00:00,000", "dataset_a_0", "5.00")
+    (tmp_path / "run.log").write_text(f"{line}\n\n")
+    got = {r.kind: (r.month, r.rows, r.seconds, r.dataset) for r in log_events(read_log(spark, str(tmp_path))).collect()}
+    assert got == {"completed": ("2024-02", 3, 1.0, None), "executed": (None, None, 5.0, "dataset_a_0")}
+
+
+def test_many_tries_of_one_size_are_not_put_in_turn(spark, tmp_path):
+    shared = "/s/session_1/logs/shared.log:"
+    lines = []
+    for i in range(300):
+        lines += [executed(f"2026-10-05 {i // 60:02d}:{i % 60:02d}:00,000", f"dataset_{i}_0", f"{i}.50", shared),
+                  written(f"2026-10-05 {i // 60:02d}:{i % 60:02d}:01,000", 10, shared)]
+    (tmp_path / "grep.txt").write_text("\n".join(lines))
+    log = read_log(spark, str(tmp_path))
+    one = spark.createDataFrame([("2024-01", 10)], "month string, rows long")
+    assert reconstruct(log, one).first().runtime_seconds == 299.5
+    two = spark.createDataFrame([("2024-01", 10), ("2024-02", 10)], "month string, rows long")
+    assert {(r.runtime_seconds, r.timing_scope) for r in reconstruct(log, two).collect()} == {(None, AMBIGUOUS_SCOPE)}
