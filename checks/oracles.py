@@ -279,6 +279,7 @@ ORACLES: dict[str, str] = {
       SELECT side, count_on_side, count_on_other, encoded_record, CAST(rank AS INTEGER) AS rank FROM (
         SELECT *, row_number() OVER (PARTITION BY side ORDER BY encoded_record) AS rank FROM ranked) WHERE rank <= 3""",
     "months_pending": _with(TRIPS) + f"SELECT DISTINCT source_month FROM trips WHERE source_month >= '{SECOND_DELIVERY}'",
+    "incremental_global": CLEANED,
     "incremental_months": MONTHLY,
     "streamed_months": MONTHLY,
     "redelivered_months": MONTHLY,

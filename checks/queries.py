@@ -26,6 +26,7 @@ from faremill.operators.stage import cached, feature_stage, speed_check
 from faremill.operators.zones import duplicate_keys, join_zone, unmatched_zones, zone_side
 from faremill.plans.evidence import prepare_subset, validate_export, write_comparison
 from faremill.plans.export import build_output, export_trips, joined_trips
+from faremill.plans.incremental import export_delivery
 from faremill.plans.months import export_months, read_months
 from faremill.schemas import MONTH, OUTPUT_COLUMNS, RUN_REPORT, TRIP_COLUMNS
 from faremill.session import scratch_path, utc
@@ -589,6 +590,18 @@ def incremental_months(spark, sf_dir):
     return read_months(spark, output)
 
 
+@query
+def incremental_global(spark, sf_dir):
+    """Two deliveries with copies across them, an export after each: the whole is the export of both at once."""
+    trips, zones = scratch_path(spark, "trips"), P.zones(spark, sf_dir)
+    output, seen = scratch_path(spark, "deliveries"), scratch_path(spark, "seen")
+    early = F.col(MONTH) < SECOND_DELIVERY
+    for number, wanted in enumerate((early, ~early)):
+        P.write_month_files(P.trips(spark, sf_dir).filter(wanted), f"{trips}/{number}")
+        export_delivery(spark, trips, zones, output, seen)
+    return read_output(spark, output)
+
+
 @query
 def streamed_months(spark, sf_dir):
     """As above with the stream; lines 1 and 2 of the later months come first, in files of their own."""

@@ -34,7 +34,21 @@ def read_footers(files: DataFrame, options: Mapping[str, object] | None = None)
                 rows=[rows for rows, _ in found], columns=[[name for name, _ in fields] for _, fields in found],
                 schema=["\n".join(f"{name}: {kind}" for name, kind in fields) for _, fields in found])
 
-    return dealt(files.select("file_path", "file_name", "bytes", "modified")).mapInPandas(opened, FACTS)
+    # Python would turn the time of change into local time and back, which has no one answer
+    # in the hour that a zone repeats; as a number it stays what it is.
+    found = dealt(numbered(files).select("file_path", "file_name", "bytes", "modified")).mapInPandas(
+        opened, FACTS.replace("modified timestamp", "modified long"))
+    return timed(found)
+
+
+def numbered(files: DataFrame) -> DataFrame:
+    """A listing with the time of change in microseconds, to pass through Python."""
+    return files.withColumn("modified", F.unix_micros("modified"))
+
+
+def timed(files: DataFrame) -> DataFrame:
+    """The reverse of `numbered`."""
+    return files.withColumn("modified", F.timestamp_micros("modified"))
 
 
 def indexed_footers(files: DataFrame, index_path: str | None = None, options: Mapping[str, object] | None = None) -> DataFrame:

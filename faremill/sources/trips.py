@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from faremill.functions.text import month_of
 from faremill.schemas import MONTH, TRIP_COLUMNS, TRIPS, SchemaError, require_schema
 from faremill.sources.files import first_path, list_files
-from faremill.sources.footers import indexed_footers, kind_of
+from faremill.sources.footers import indexed_footers, kind_of, numbered, timed
 from faremill.sources.stores import readable
 
 
@@ -43,8 +43,10 @@ def read_trip_months(spark: SparkSession, path: str | list[str], months: list[st
 
 def read_trip_files(spark: SparkSession, files: DataFrame, index_path: str | None = None) -> DataFrame:
     """As `read_trip_months`, of the files of a listing, which must name few enough to be planned one by one."""
-    paths = [readable(row["file_path"]) for row in files.select("file_path").collect()]
-    return _union([_declared(scan, _month().alias(MONTH)) for scan in _scans(spark, paths, files, index_path)])
+    rows = numbered(files).select("file_path", "file_name", "bytes", "modified").collect()
+    files = timed(spark.createDataFrame(rows, "file_path string, file_name string, bytes long, modified long"))
+    scans = _scans(spark, [readable(row["file_path"]) for row in rows], files, index_path)
+    return _union([_declared(scan, _month().alias(MONTH)) for scan in scans])
 
 
 def first_rows(spark: SparkSession, path: str, rows: int, columns: list[str] | None = None) -> DataFrame:

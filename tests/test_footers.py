@@ -12,7 +12,7 @@ from faremill.sources import footers
 from faremill.sources.files import list_files
 from faremill.sources.footers import compact_index, indexed_footers, path_footers
 from faremill.sources.stores import readable
-from faremill.sources.trips import first_rows, read_trip_months, read_trips
+from faremill.sources.trips import first_rows, read_trip_files, read_trip_months, read_trips
 from helpers import ARROW_TRIPS, trip, write_trip_file, zones
 
 WIDE = pa.schema([pa.field(f.name, pa.int64()) if f.name == "VendorID" else f for f in ARROW_TRIPS])
@@ -119,3 +119,15 @@ def test_types_that_differ_are_read_in_groups(spark, tmp_path):
     write_trip_file(tmp_path, "2024-03", [trip(vendor=3)], schema=WIDE)
     got = read_trip_months(spark, str(tmp_path)).groupBy(MONTH).agg(F.sum("VendorID").alias("v")).collect()
     assert {r[MONTH]: r.v for r in got} == {"2024-01": 1, "2024-02": 2, "2024-03": 3}
+
+
+def test_a_file_changed_in_the_hour_that_a_zone_repeats(spark, tmp_path):
+    folder, index = str(tmp_path / "in"), str(tmp_path / "index")
+    # 2024-11-03 05:30 and 06:30 UTC are both 01:30 in New York, the zone of these tests.
+    for month, at in (("2024-01", 1_730_611_800), ("2024-02", 1_730_615_400)):
+        os.utime(write_trip_file(folder, month, [trip()]), (at, at))
+    for _ in range(2):
+        assert path_footers(spark, folder, index).count() == 2
+    assert spark.read.parquet(index).count() == 2
+    assert read_trip_files(spark, list_files(spark, folder), index).count() == 2
+    assert spark.read.parquet(index).count() == 2
