@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -78,6 +79,16 @@ def test_query_against_the_library(spark, library):
     assert found == expected(library, rows)
 
 
+def test_signs_after_words(library):
+    pick = random.Random(11)
+    parts = ["a", "Z", "é", "ß", "İ", "Σ", "e\u0301", "7", "'s", "'", ",", ".", "...", "?!", ";", ":", " ", " ", "\n", "\u0338", "<", "-", "漢", "\u200d", "ʼ"]
+    texts = ["".join(pick.choices(parts, k=pick.randrange(1, 30))) for _ in range(3000)]
+    tokenizer = token_files.WordTokenizer(PATH)
+    for some in (texts[:1500], [*texts[1500:], "A, <|ENDOFTEXT|>, b. <|endoftext|>, C."]):
+        ids, ends = tokenizer.encode(pa.array(some))
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+
+
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(token_files, "_PIECES", 20)
     monkeypatch.setattr(token_files, "_PIECE_LETTERS", 30)
