@@ -41,8 +41,9 @@ FILE_IDS = 1 << 20
 # Pieces remembered, each of at most so many letters.
 _PIECES = 200_000
 _PIECE_LETTERS = 100
-# Signs that end a word before a space, after letters and digits of which no Unicode version doubts.
-_CLOSED = "([0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([,.;:!?]+) "
+# Signs that end a word before a space, after digits and letters of which no Unicode version doubts
+# and that stay letters when they are lowered, which the dotted capital I (0130) does not.
+_CLOSED = "([0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([,.;:!?]+) "
 
 
 class _Pieces(dict):

@@ -1,4 +1,6 @@
 import random
+import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -79,6 +81,13 @@ def test_query_against_the_library(spark, library):
     assert found == expected(library, rows)
 
 
+def test_signs_are_parted_after_what_stays_a_letter():
+    before = re.compile(token_files._CLOSED)
+    for letter in map(chr, range(0x110000 - 0x800)):
+        if before.match(f"{letter}, "):
+            assert unicodedata.normalize("NFC", letter) == letter and all(c.isalnum() for c in letter.lower())
+
+
 def test_signs_after_words(library):
     pick = random.Random(11)
     parts = ["a", "Z", "é", "ß", "İ", "Σ", "e\u0301", "7", "'s", "'", ",", ".", "...", "?!", ";", ":", " ", " ", "\n", "\u0338", "<", "-", "漢", "\u200d", "ʼ"]
