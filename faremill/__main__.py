@@ -12,9 +12,10 @@ from faremill.operators.runlog import completed_lines, last_per_month, log_event
 from faremill.plans.evidence import (
     check_manifest, prepare_subset, read_manifest, require_completed, validate_export, write_comparison)
 from faremill.plans.export import export_trips
+from faremill.plans.incremental import export_delivery
 from faremill.plans.months import export_months
 from faremill.schemas import RUN_REPORT
-from faremill.session import get_session
+from faremill.session import clear_scratch, get_session
 from faremill.sources.documents import read_log, read_metrics
 from faremill.sources.footers import profile_files
 from faremill.sources.zones import read_zones
@@ -40,6 +41,11 @@ def stream(spark: SparkSession, args) -> None:
     _show(stream_months(spark, args.trips, zones, args.output, args.ledger, args.checkpoint, args.files_per_batch))
 
 
+def deliver(spark: SparkSession, args) -> None:
+    done = export_delivery(spark, args.trips, read_zones(spark, args.zones), args.output, args.seen)
+    print(f"deliveries done: {done}")
+
+
 def prepare(spark: SparkSession, args) -> None:
     _show(prepare_subset(spark, args.trips, args.zones, args.subset, args.manifest, args.rows))
 
@@ -104,6 +110,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--report", help="folder for the run report as CSV")
     sub = command(stream, "export files that came since the last run", "trips", "zones", "output", "ledger", "checkpoint")
     sub.add_argument("--files-per-batch", type=int, default=64)
+    command(deliver, "export the trips of new files that no earlier file had", "trips", "zones", "output", "seen")
     sub = command(prepare, "write a fixed subset and its manifest", "trips", "zones", "subset", "manifest")
     sub.add_argument("--rows", type=int, default=200_000)
     sub = command(compare, "compare exports row by row", "summary")
@@ -119,7 +126,12 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(get_session(f"faremill-{args.command}"), args)
+    spark = get_session(f"faremill-{args.command}")
+    try:
+        args.run(spark, args)
+    finally:
+        # Results are printed or written by now; nothing reads scratch tables any more.
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

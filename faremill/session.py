@@ -68,17 +68,27 @@ def in_utc(operator):
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that all executors share.
+    """A fresh path in the folder that all executors share, under that of the application.
 
-    The cluster names that folder in spark.checkpoint.dir. A local session without one gets
-    a temporary folder; on a cluster that would not be shared, so it is an error.
+    The cluster names the shared folder in spark.checkpoint.dir. A local session without one
+    gets a temporary folder; on a cluster that would not be shared, so it is an error.
     """
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has in the scratch folder; DataFrames that read it are void then."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _scratch_folder(spark: SparkSession) -> str:
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
         base = _local_folder(spark.sparkContext.applicationId)
-    return f"{base.rstrip('/')}/faremill/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/faremill/{spark.sparkContext.applicationId}"
 
 
 @functools.cache

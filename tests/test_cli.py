@@ -1,6 +1,9 @@
+import os
+
 import pytest
 
 from faremill.__main__ import main
+from faremill.session import scratch_path
 from faremill.sources.files import read_output
 from helpers import trip, write_trip_file
 from test_metrics import document
@@ -32,6 +35,10 @@ def test_export_compare_and_validate(spark, paths, tmp_path, capsys):
     found = spark.read.json(f"{paths['summary']}/comparisons").first()
     assert found.equal_values_with_multiplicity and (found.left, found.right) == ("udf", "native")
     assert {r["name"]: r["rows"] for r in spark.read.json(f"{paths['summary']}/datasets").collect()} == {"udf": 3, "native": 3}
+    summary = spark.read.json(f"{paths['summary']}/summary").collect()
+    assert len(summary) == 1 and summary[0]["input_rows"] == 2 and summary[0]["mismatch_examples"] == []
+    assert {(b["variant"], b["median_seconds"], b["trials"]) for b in summary[0]["benchmarks"]} == {("udf", 1.0, 1), ("native", 1.0, 1)}
+    assert [s["files"] for s in summary[0]["inspected_file_schemas"]] == [1, 1] and len(summary[0]["comparisons"]) == 1
     main(["validate", "--path", paths["native"]])
     main(["profile", "--path", paths["in"]])
     shown = capsys.readouterr().out
@@ -52,3 +59,14 @@ def test_months_stream_and_logs(spark, paths, tmp_path, capsys):
 def test_unknown_speed_is_refused(paths):
     with pytest.raises(SystemExit):
         main(["export", "--trips", "a", "--zones", "b", "--output", "c", "--speed", "best"])
+
+
+def test_deliveries_and_scratch(spark, paths, capsys):
+    source = ["--trips", paths["in"], "--zones", paths["zones.csv"], "--output", paths["native"], "--seen", paths["ledger"]]
+    main(["deliver", *source])
+    write_trip_file(paths["in"], "2024-03", [trip(), trip(vendor=9)])
+    main(["deliver", *source])
+    main(["deliver", *source])
+    assert capsys.readouterr().out.split() == ["deliveries", "done:", "1", "deliveries", "done:", "2", "deliveries", "done:", "2"]
+    assert read_output(spark, paths["native"]).count() == 4
+    assert not os.path.exists(os.path.dirname(scratch_path(spark, "x")))

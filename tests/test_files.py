@@ -132,6 +132,8 @@ def test_subset_and_manifest(spark, folder, tmp_path):
     parts = [n for n in os.listdir(subset) if n.endswith(".parquet")]
     assert len(parts) == 1 and "snappy" in parts[0]
     assert sorted(r.VendorID for r in read_trips(spark, subset).collect()) == list(range(7))
+    fields = {(r.requested_rows, r.source_file_rows, r.input_rows, r.subset_schema) for r in found.collect()}
+    assert fields == {(7, 25, 7, "\n".join(f"{f.name}: {f.type}" for f in ARROW_TRIPS))}
     paths = [r.file_path for r in found.collect()]
     check_manifest(spark, found, paths)
     lookup.write_text("LocationID,Borough,Zone,service_zone\n1,a,b,d\n")
