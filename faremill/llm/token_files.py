@@ -39,7 +39,7 @@ NO_ID = np.iinfo(np.int64).min
 END_ID = 1
 FILE_IDS = 1 << 20
 # Pieces remembered, each of at most so many letters.
-_PIECES = 200_000
+_PIECES = 400_000
 _PIECE_LETTERS = 100
 # Signs that end a word before a space, after digits and letters of which no Unicode version doubts
 # and that stay letters when they are lowered, which the dotted capital I (0130) does not.
