@@ -28,6 +28,7 @@ from faremill.llm.common import bounded_batches, text_of, written
 SAMPLE_LETTERS = 24_000
 ALL_LETTERS = 400_000
 LEAST_LETTERS = 256
+MOST_BYTES = 256 << 20
 SAMPLE_TEXTS = 200
 SHARES = 64
 LONGEST_SAMPLE = 12_000
@@ -86,37 +87,67 @@ def automaton(codes: list[int]) -> list[dict[int, int]]:
 
 
 def parse_table(steps: list[dict[int, int]], alphabet: np.ndarray) -> np.ndarray:
-    """For each state and letter, the next state and the phrases that end: next << 2 | ended.
-
-    The last column is a letter outside the alphabet, which is a phrase of its own.
-    """
-    width = len(alphabet) + 1
+    """The transitions as rows of state, letter (its place in the alphabet) and next state; the number of states is at the end."""
     state = np.repeat(np.arange(len(steps)), [len(s) for s in steps])
     letter = np.searchsorted(alphabet, np.fromiter((c for s in steps for c in s), np.int64))
     target = np.fromiter((t for s in steps for t in s.values()), np.int64)
-    follows = np.full((len(steps), width), -1, np.int64)
-    follows[state, letter] = target
-    fresh = follows[0]
-    ended = np.where(fresh >= 0, 1, 1 + (np.arange(len(steps))[:, None] > 0))
-    anew = (np.maximum(fresh, 0) << 2) | ended
-    return np.where(follows >= 0, follows << 2, anew).astype(np.int32)
+    return np.append(np.stack([state, letter, target], axis=1).ravel(), len(steps)).astype(np.int32)
+
 
+def packed(state: np.ndarray, letter: np.ndarray, target: np.ndarray, states: int, width: int):
+    """(base, owner, next): the transition of a state by a letter is at base + letter, if the state owns that place.
 
-def _place_type(cells: int) -> type:
-    """The type that holds a place of so many cells and two more bits."""
-    return np.int32 if cells << 2 <= np.iinfo(np.int32).max else np.int64
+    Rows are laid over each other so that no two use one place: the fullest first, each round of
+    them at drawn places, of which those stay that meet no other. The draws are seeded, so the
+    same transitions give the same arrays; their size is four places a transition and one alphabet.
+    """
+    draw = np.random.default_rng(0)
+    room = 4 * len(state) + 1
+    base = np.zeros(states, np.int32)
+    owner, after = np.full(room + width, -1, np.int32), np.zeros(room + width, np.int32)
+    sizes = np.bincount(state, minlength=states)[state]
+    least = 1 << max(int(sizes.max(initial=1)).bit_length() - 1, 0)
+    waiting = np.zeros(0, np.int64)
+    while least:
+        waiting = np.flatnonzero((sizes >= least) & (sizes < 2 * least))
+        while len(waiting):
+            rows, mine = np.unique(state[waiting], return_inverse=True)
+            drawn = draw.integers(0, room, len(rows))
+            places = drawn[mine] + letter[waiting]
+            claims = np.full(len(owner), -1, np.int32)
+            claims[places] = mine
+            met = (claims[places] != mine) | (owner[places] >= 0)
+            free = np.bincount(mine, met, len(rows)) == 0
+            stay = free[mine]
+            base[rows[free]] = drawn[free]
+            owner[places[stay]], after[places[stay]] = state[waiting[stay]], target[waiting[stay]]
+            waiting = waiting[~stay]
+        least >>= 1
+    return base, owner, after
 
 
 class Parser:
-    """Counts phrases of texts against several automata."""
+    """Counts phrases of texts against several automata.
+
+    All transitions are in arrays of 32 bits, four places for each and four bytes a state: at most
+    some 110 bytes a learned letter, whatever the alphabets. More than `MOST_BYTES` is an error.
+    """
 
     def __init__(self, languages: list[str], alphabet: np.ndarray, tables: list[np.ndarray]):
-        self.languages, self.alphabet, self.width = languages, alphabet, len(alphabet) + 1
-        first = np.cumsum([0] + [len(t) for t in tables[:-1]])
-        self.roots = first * self.width
-        # States are kept as the place of their row in one flat table.
-        kind = _place_type(sum(len(t) for t in tables) * self.width)
-        self.table = np.concatenate([((((t.astype(kind) >> 2) + kind(f)) * kind(self.width)) << 2 | (t & 3)).ravel() for t, f in zip(tables, first)])
+        self.languages, self.alphabet = languages, alphabet
+        first = np.cumsum([0] + [int(t[-1]) for t in tables])
+        self.roots = first[:-1].astype(np.int32)
+        rows = [t[:-1].reshape(-1, 3) + np.array([f, 0, f], np.int32) for t, f in zip(tables, self.roots)]
+        state, letter, target = np.concatenate(rows or [np.zeros((0, 3), np.int32)]).T
+        size = 32 * len(state) + 4 * int(first[-1])
+        if size > MOST_BYTES:
+            raise ValueError(f"{len(languages)} languages need {size} bytes of transitions, more than the {MOST_BYTES} that are sent to tasks")
+        self.base, self.owner, self.after = packed(state, letter, target, int(first[-1]), len(alphabet) + 1)
+
+    def _follow(self, state: np.ndarray, symbol: np.ndarray):
+        """(next state, whether there is one)."""
+        place = self.base[state] + symbol
+        return self.after[place], self.owner[place] == state
 
     def phrases(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
@@ -142,14 +173,20 @@ class Parser:
         longest = int(length[0])
         grid = symbols[np.minimum(begin[None, :] + np.arange(longest)[:, None], len(symbols) - 1)]
         live = np.searchsorted(-length, -np.arange(longest), side="left")
-        state = np.repeat(self.roots[:, None], len(begin), axis=1)
-        ended = np.zeros(state.shape, np.int64)
+        root = np.repeat(self.roots[:, None], len(begin), axis=1)
+        state, ended = root.copy(), np.zeros(root.shape, np.int64)
         for step in range(longest):
             n = live[step]
-            value = self.table[state[:, :n] + grid[step, :n]]
-            ended[:, :n] += value & 3
-            state[:, :n] = value >> 2
-        return ended + (state != self.roots[:, None])
+            at, symbol = state[:, :n], np.broadcast_to(grid[step, :n], (len(root), n))
+            value, found = self._follow(at, symbol)
+            # Where none fits, the phrase ends and the letter starts the next; one that no phrase starts with is its own.
+            lost = np.nonzero(~found)
+            top = root[lost]
+            fresh, starts = self._follow(top, symbol[lost])
+            value[lost] = np.where(starts, fresh, top)
+            ended[:, :n][lost] += np.where(starts, 1, 1 + (at[lost] != top))
+            state[:, :n] = value
+        return ended + (state != root)
 
     def best(self, texts: list[str]):
         """(language, score) of each text: fewest phrases per letter, and how far ahead of the next."""
@@ -206,19 +243,19 @@ def _build(bound: int):
                 left -= len(spelt) + 1
         whole = np.concatenate(codes) if codes else np.zeros(0, np.int64)
         if not len(whole):
-            return pd.DataFrame({"lang": [], "alphabet": [], "states": [], "parsed": []})
+            return pd.DataFrame({"lang": [], "alphabet": [], "parsed": []})
         alphabet = np.unique(whole)
         table = parse_table(automaton(whole.tolist()), alphabet)
-        return pd.DataFrame({"lang": [sample["lang"].iloc[0]], "alphabet": [alphabet.tolist()], "states": [len(table)], "parsed": [table.tobytes()]})
+        return pd.DataFrame({"lang": [sample["lang"].iloc[0]], "alphabet": [alphabet.tolist()], "parsed": [table.tobytes()]})
 
     return build
 
 
 def _widened(alphabet: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """A table over the letters of one language as one over all letters."""
-    place = np.minimum(np.searchsorted(own, alphabet), len(own) - 1)
-    column = np.where(own[place] == alphabet, place, len(own))
-    return np.ascontiguousarray(table[:, np.append(column, len(own))])
+    """Transitions by the letters of one language as those by all letters."""
+    wide = table.copy()
+    wide[1:-1:3] = np.searchsorted(alphabet, own)[table[1:-1:3]]
+    return wide
 
 
 def train(labelled: DataFrame) -> Parser:
@@ -226,13 +263,11 @@ def train(labelled: DataFrame) -> Parser:
     sample = written(sample_texts(labelled), "samples")
     languages = sample.select("lang").distinct().count()
     bound = max(min(SAMPLE_LETTERS, ALL_LETTERS // max(languages, 1)), LEAST_LETTERS)
-    # A row per language, together at most some ALL_LETTERS states wide.
+    # A row per language: three transitions a letter at most, of 12 bytes.
     built = sorted(sample.groupBy("lang").applyInPandas(
-        _build(bound), "lang string, alphabet array<long>, states long, parsed binary").collect(), key=lambda r: r.lang)
+        _build(bound), "lang string, alphabet array<long>, parsed binary").collect(), key=lambda r: r.lang)
     alphabet = np.unique(np.concatenate([np.array(r.alphabet, np.int64) for r in built])) if built else np.zeros(1, np.int64)
-    tables = [_widened(alphabet, np.array(r.alphabet), np.frombuffer(r.parsed, np.int32).reshape(r.states, -1)) for r in built]
-    if not tables:
-        return Parser([], alphabet, [np.zeros((1, 2), np.int32)])
+    tables = [_widened(alphabet, np.array(r.alphabet), np.frombuffer(r.parsed, np.int32)) for r in built]
     return Parser([r.lang for r in built], alphabet, tables)
 
 

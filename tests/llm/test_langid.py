@@ -86,8 +86,32 @@ def test_a_language_of_thousands_of_letters(spark):
     assert parser.best([han[1000:1400], LINES["en"]])[0] == ["zh", "en"]
 
 
-def test_places_beyond_32_bits():
-    assert [langid._place_type(n) for n in (2 ** 29 - 1, 2 ** 29, 134_300 * 4001)] == [np.int32, np.int64, np.int64]
+def test_languages_of_thousands_of_letters_stay_small(monkeypatch):
+    """Four languages of 24,000 letters over 3,000 each: dense tables of them took 1.5 GB."""
+    pick = random.Random(8)
+    references = {n: "".join(chr(0x4E00 + 3000 * i + int(3000 * pick.random() ** 2)) for _ in range(24_000)) for i, n in enumerate("abcd")}
+    parser = parser_of(references)
+    assert sum(a.nbytes for a in (parser.base, parser.owner, parser.after)) < 16 << 20
+    texts = [references["b"][5000:5200], references["d"][:300] + "x" + references["a"][:100], "x" * 700]
+    codes = np.array([ord(c) for t in texts for c in t])
+    expected = [[sum(longest_match_phrases(t[i:i + langid.PIECE], references[n]) for i in range(0, len(t), langid.PIECE)) for n in parser.languages] for t in texts]
+    assert parser.phrases(codes, np.cumsum([len(t) for t in texts])).tolist() == expected
+    monkeypatch.setattr(langid, "MOST_BYTES", 1 << 20)
+    with pytest.raises(ValueError, match="bytes of transitions"):
+        parser_of(references)
+
+
+def test_packed_rows_share_no_place():
+    pick = random.Random(9)
+    pairs = sorted({(min(int(pick.expovariate(0.01)), 999), pick.randrange(60)) for _ in range(6000)} | {(0, i) for i in range(60)})
+    state, letter = np.array(pairs, np.int32).T
+    target = np.arange(len(pairs), dtype=np.int32)
+    base, owner, after = langid.packed(state, letter, target, 1000, 61)
+    assert (owner >= 0).sum() == len(pairs)
+    assert after[base[state] + letter].tolist() == target.tolist()
+    held = set(pairs)
+    for s in range(0, 1000, 7):
+        assert [(s, c) in held for c in range(61)] == (owner[base[s] + np.arange(61)] == s).tolist()
 
 
 def test_predictions_depend_on_the_text_only(spark):
