@@ -9,12 +9,21 @@ secret: the same value always gets the same one, in whatever spelling it stands,
 parts of a name, so that who is meant stays clear. Surrogates keep the format: separators, length,
 script and case, country and network prefixes, valid check digits, the gender of given names.
 
+An initial becomes the next letter of its alphabet in an order drawn by the key: different
+initials stay different and none stays as it is, after a title or before a bare mention of a
+surname alike. It is not tied to the given name that it may stand for.
+
 Collisions are checked against the whole corpus: a surrogate that equals a real value, or that
 two values drew, is drawn again for all but one, until every value has its own.
 """
 
 from __future__ import annotations
 
+import functools
+import hmac
+import sys
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +32,8 @@ from faremill.llm.common import written
 ROUNDS = 40
 WIDEN_AFTER = 6
 GIVEN_ROUNDS = 3
+# Different values are dealt to tasks of this many; what is drawn for a value costs about a millisecond.
+TASK_VALUES = 10_000
 
 # Given names by script and gender, titles by gender, what may stand within a name, and syllables for surnames.
 GIVEN = {
@@ -39,6 +50,7 @@ SYLLABLES = {
     "latin": ["bar", "cor", "dal", "fen", "gar", "hol", "kin", "lor", "mar", "nel", "pel", "ros", "sal", "tor", "vel", "wen"],
     "cyrillic": ["бар", "вор", "гал", "дем", "жур", "зим", "кор", "лаг", "мос", "нил", "пет", "рог", "сав", "тур", "фом", "хар"],
 }
+PLAIN = ["AZ", "ΑΩ", "АЯ"]
 LETTERS = {
     "[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "[0-9]": "0123456789",
     r"[\p{IsCyrillic}&&\p{Ll}]": "абвгдежзийклмнопрстуфхцчшщъыьэюя", r"[\p{IsCyrillic}&&\p{Lu}]": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
@@ -71,11 +83,38 @@ _RUN = rf"{_LEAD}{_WORD}(?:{_GAP}{_LEAD}{_WORD})*+"
 NAME = (rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?:{_TITLED}{_RUN}"
         rf"|(?:{'|'.join(_ALL_GIVEN)})(?:-\p{{Lu}}[\p{{L}}\p{{M}}]+)*{_GAP}{_RUN})")
 _NAME_TOKENS = rf"{_INITIALS}|{_WORD}|[^\p{{Lu}}]+|(?s:.)"
-_TEXT_TOKENS = rf"(?<![\p{{L}}\p{{N}}]){_WORD}(?![\p{{L}}\p{{N}}])|[^\p{{Lu}}]+|(?s:.)"
+_TEXT_TOKENS = (rf"(?<![\p{{L}}\p{{N}}])(?:{_INITIALS}(?:{_GAP})?)++(?={_WORD})"
+                rf"|(?<![\p{{L}}\p{{N}}]){_WORD}(?![\p{{L}}\p{{N}}])|[^\p{{Lu}}]+|(?s:.)")
 ENTITY = "|".join([*PATTERNS.values(), NAME])
 _HINT = "[0-9@]"
 
 
+@functools.cache
+def _cycles(key: str) -> tuple[str, str]:
+    """(letters, what each becomes): the capitals of every alphabet in a cycle drawn by the key, plain ones apart from accented."""
+    alphabets: dict[tuple, list[str]] = {}
+    for letter in filter(str.isupper, map(chr, range(sys.maxunicode + 1))):
+        if unicodedata.category(letter) == "Lu":
+            alphabet = unicodedata.name(letter, "").split(" ")[0]
+            alphabets.setdefault((alphabet, any(first <= letter <= last for first, last in PLAIN)), []).append(letter)
+    before, after = [], []
+    for letters in alphabets.values():
+        turned = sorted(letters, key=lambda x: hmac.digest(key.encode(), f"initial {x}".encode(), "sha256"))
+        before += turned
+        after += turned[1:] + turned[:1]
+    return "".join(before), "".join(after)
+
+
+def _turned(text: Column, key: str) -> Column:
+    """Every capital as the next of its cycle."""
+    return F.translate(text, *_cycles(key))
+
+
+def _dealt(rows: DataFrame, values: int, *keys: str) -> DataFrame:
+    """Rows over as many tasks as their number of different values needs; left alone, narrow rows are all merged into one."""
+    return rows.repartition(-(-values // TASK_VALUES) or 1, *keys)
+
+
 def entities_in(text: Column) -> Column:
     """The entities of a text in order, as they stand. Texts that can hold none are only skimmed."""
     return F.when(text.rlike(_HINT) | text.rlike(NAME), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
@@ -137,8 +176,8 @@ def _parts(raw: Column) -> Column:
 
 def found_values(docs: DataFrame, text: str = "text") -> DataFrame:
     """raw, kind, value, parts of every different entity; value is the same for all spellings of one, names have parts."""
-    raws = docs.select(F.explode(F.array_distinct(entities_in(docs[text]))).alias("raw")).distinct()
-    kinds = raws.withColumn("kind", _kind(F.col("raw")))
+    raws = written(docs.select(F.explode(F.array_distinct(entities_in(docs[text]))).alias("raw")).distinct(), "raws")
+    kinds = _dealt(raws, raws.count(), "raw").withColumn("kind", _kind(F.col("raw")))
     value = (
         F.when(F.col("kind") == "mail", F.lower("raw"))
         .when(F.col("kind").isin("card", "ssn"), _digits(F.col("raw")))
@@ -259,16 +298,17 @@ def _surname(s: Column, wider: Column) -> Column:
 def surrogates_of(values: DataFrame, key: str) -> DataFrame:
     """kind, value, surrogate: distinct within a kind, and never a value that occurs."""
     real = written(values.select("kind", "value").distinct(), "values")
-    taken, waiting = None, real
+    taken, waiting, left = None, real, real.count()
     for attempt in range(ROUNDS):
-        drawn = waiting.withColumn("surrogate", _drawn(key, attempt))
+        drawn = _dealt(waiting, left, "kind", "value").withColumn("surrogate", _drawn(key, attempt))
         free = drawn.join(real.select("kind", F.col("value").alias("surrogate")), ["kind", "surrogate"], "left_anti")
         if taken is not None:
             free = free.join(taken.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
         won = free.groupBy("kind", "surrogate").agg(F.min("value").alias("value")).select("kind", "value", "surrogate")
         taken = written(won if taken is None else taken.unionByName(won), "taken")
         waiting = written(real.join(taken, ["kind", "value"], "left_anti"), "waiting")
-        if waiting.isEmpty():
+        left = waiting.count()
+        if not left:
             return taken
     raise RuntimeError(f"no free surrogates left after {ROUNDS} rounds; a kind has more values than its format allows")
 
@@ -295,8 +335,8 @@ def _feminine(token: Column, new: Column) -> Column:
 
 def replacements(found: DataFrame, parts: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
     """raw, replacement, words: the surrogate in the spelling of what it replaces; words has (kind, value, surrogate) of a name."""
-    raw, new = F.col("raw"), F.col("surrogate")
-    others = found.join(chosen, ["kind", "value"]).select("raw", (
+    raw, new, values = F.col("raw"), F.col("surrogate"), found.count()
+    others = _dealt(found.select("raw", "kind", "value").join(chosen, ["kind", "value"]), values, "raw").select("raw", (
         F.when(F.col("kind").isin("card", "ssn", "phone"), _poured(raw, _digits(new)))
         .when(F.col("kind") == "iban", _grouped(raw, new)).otherwise(new)).alias("replacement"),
         F.lit(None).cast("array<struct<kind:string,value:string,surrogate:string>>").alias("words"))
@@ -308,10 +348,9 @@ def replacements(found: DataFrame, parts: DataFrame, chosen: DataFrame, key: str
         F.collect_set(F.struct(short.alias("kind"), "value", "surrogate")).alias("words"))
 
     def one(part: Column) -> Column:
-        letters = F.sha2(F.concat_ws("\x01", F.lit(key), F.lit("initial"), part["token"]), 256)
-        return F.when(part["kind"] == "initial", _redrawn(part["token"], letters)).otherwise(F.coalesce(F.element_at("spelt", F.concat_ws(" ", part["kind"], part["token"])), part["token"]))
+        return F.when(part["kind"] == "initial", _turned(part["token"], key)).otherwise(F.coalesce(F.element_at("spelt", F.concat_ws(" ", part["kind"], part["token"])), part["token"]))
 
-    names = found.filter("kind = 'name'").select("raw", "parts").join(words, "raw").select(
+    names = _dealt(found.filter("kind = 'name'").select("raw", "parts").join(words, "raw"), values, "raw").select(
         "raw", F.array_join(F.transform("parts", one), "").alias("replacement"), "words")
     return others.unionByName(names)
 
@@ -325,13 +364,22 @@ def _grouped(raw: Column, new: Column) -> Column:
     return F.array_join(F.transform(_characters(raw), one), "")
 
 
-def _with_names(piece: Column) -> Column:
-    """A piece of text with the words of the names of its document (given, name) replaced where they stand alone."""
-    def one(t: Column) -> Column:
+def _with_names(piece: Column, key: str) -> Column:
+    """A piece of text with the words of the names of its document (given, name) replaced where they stand alone, with their initials."""
+    def word(t: Column) -> Column:
         given, surname = F.element_at("given", F.lower(t)), F.element_at("name", _surname_value(t))
-        return F.coalesce(F.when(t.rlike(r"^\p{Lu}[^\p{Lu}.]|^\p{Lu}{2}"), _cased(t, F.coalesce(given, _feminine(t, surname)))), t)
+        return F.when(t.rlike(r"^\p{Lu}[^\p{Lu}.]|^\p{Lu}{2}"), _cased(t, F.coalesce(given, _feminine(t, surname))))
+
+    def each(tokens: Column) -> Column:
+        def one(t: Column, i: Column) -> Column:
+            named = F.element_at("name", _surname_value(F.get(tokens, i + 1))).isNotNull()
+            return F.coalesce(F.when(t.rlike(r"^\p{Lu}\."), F.when(named, _turned(t, key))).otherwise(word(t)), t)
+
+        return F.transform(tokens, one)
 
-    return F.array_join(F.transform(F.regexp_extract_all(piece, F.lit(_TEXT_TOKENS), F.lit(0)), one), "")
+    # The tokens are named once, by an array of one.
+    tokens = F.array(F.regexp_extract_all(piece, F.lit(_TEXT_TOKENS), F.lit(0)))
+    return F.array_join(F.flatten(F.transform(tokens, each)), "")
 
 
 def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -355,7 +403,7 @@ def with_surrogates(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         .alias(kind) for kind in ("given", "name")))
     between = F.split("whole", ENTITY, -1)
     named = F.size("given") + F.size("name") > 0
-    plain = F.when(named, F.transform(between, _with_names)).otherwise(between)
+    plain = F.when(named, F.transform(between, lambda piece: _with_names(piece, key))).otherwise(between)
     rebuilt = F.array_join(F.flatten(F.zip_with(
         plain, "found", lambda piece, raw: F.array(piece, F.coalesce(F.element_at(F.col("new"), raw), F.lit(""))))), "")
     changed = touched.join(maps, "same").select(F.col("row").withField(text, rebuilt).alias("row"))

@@ -74,6 +74,31 @@ def test_given_names_are_drawn_by_the_key_without_collisions(spark):
     assert drawn["k1"] != drawn["k2"]
 
 
+def test_initials_stay_distinct_and_are_the_same_in_bare_mentions(spark):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    new = replaced(spark, *(f"Dr {c}. Smith came" for c in letters), "J. Smith met Dr J. Smith and J. R. Smith", "Mr John Smith; J. Smith. A. Jones of U. S. Steel",
+                   "Dr Ж. Петров и Dr Д. Петров", "Dr É. Smith, Dr E. Smith")
+    drawn = [re.fullmatch(r"Dr ([A-Z])\. \w+ came", t)[1] for t in new[:26]]
+    assert sorted(drawn) == list(letters) and not any(a == b for a, b in zip(drawn, letters))
+    turned = dict(zip(letters, drawn))
+    surname = new[0].split()[2]
+    assert new[26] == f"{turned['J']}. {surname} met Dr {turned['J']}. {surname} and {turned['J']}. {turned['R']}. {surname}"
+    assert re.fullmatch(rf"Mr \S+ {surname}; {turned['J']}\. {surname}\. A\. Jones of U\. S\. Steel", new[27])
+    first, second = re.fullmatch(r"Dr ([А-Я])\. \w+ и Dr ([А-Я])\. \w+", new[28]).groups()
+    assert first not in (second, "Ж") and second != "Д"
+    accented, plain = re.fullmatch(r"Dr (.)\. \w+, Dr ([A-Z])\. \w+", new[29]).groups()
+    assert not accented.isascii() and accented.isupper() and accented != "É" and plain == turned["E"]
+
+
+def test_values_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "TASK_VALUES", 10)
+    docs = spark.createDataFrame([(i, f"mail a{i}@b.org") for i in range(95)], "doc_id long, text string")
+    found = surrogates.found_values(docs)
+    assert found.rdd.getNumPartitions() == 10
+    new = [r.text for r in surrogates.with_surrogates(docs, KEY).collect()]
+    assert len(set(new)) == 95 and not set(new) & {f"mail a{i}@b.org" for i in range(95)}
+
+
 def test_long_runs_of_names(spark):
     new, = replaced(spark, "Mr " + "Alpha Beta " * 5_000 + "end")
     assert "Alpha" not in new and "Beta" not in new and new.startswith("Mr ") and new.endswith(" end")
