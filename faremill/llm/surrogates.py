@@ -32,7 +32,7 @@ from faremill.llm.common import written
 ROUNDS = 40
 WIDEN_AFTER = 6
 GIVEN_ROUNDS = 3
-# Different values are dealt to tasks of this many; what is drawn for a value costs about a millisecond.
+# Different values are dealt to tasks of this many.
 TASK_VALUES = 10_000
 
 # Given names by script and gender, titles by gender, what may stand within a name, and syllables for surnames.
