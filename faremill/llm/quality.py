@@ -1,241 +1,270 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is one of characters: n-grams of order 4 per language, over code points (those
-beyond 16 bits count as U+FFFD), with the text padded at both ends. Counts come from all
-trusted documents. Lower orders count how many different characters come before an n-gram;
-each order has three discounts from its own counts of counts, and hands the mass it saves to
-the order below. All tables of counts are sharded by language and n-gram, and what an n-gram
-is worth comes from joins between them.
+The model is one of characters: n-grams of order 5 per language, over code points, with the text
+padded at both ends. It keeps growing with the corpus. Counts come from the trusted documents but
+a quarter of them, told by a hash of the id, which is left out for the thresholds. Lower orders count how
+many different characters come before an n-gram; each order has three discounts from its own
+counts of counts, and hands the mass it saves to the order below.
+
+All n-grams, those of the model and those asked for, are sharded by language and n-gram, and what
+one is worth comes from joins between the shards, order by order. Documents are dealt to blocks of
+some 128 MB of text. A block asks once for each different n-gram in it, however often it occurs,
+the answers are joined to the questions, and then stream through a task ahead of the texts of the block.
+Nothing is sent to the driver or to all tasks.
 
 A document is judged by the lower end of an interval around its log perplexity, two standard
 errors of its characters wide to each side, since the mean of a short text says little. It is
-rejected when even that is above a quantile of the same for trusted documents of its language.
+rejected when even that is above a quantile of the same for the left-out documents of its language.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faremill.llm.common import bounded_batches, text_of, written
+from faremill.llm.common import bounded_batches, written
 
-ORDER = 4
-BITS = 16
-START, END = 2, 3
-# Below this many rows (16 bytes each) the finished model is sent to all tasks; above, n-grams are joined to it.
-MODEL_ROWS = 4_000_000
+# An n-gram is two numbers: `lo` has its last three characters, `hi` those before.
+ORDER = 5
+BITS = 21
+START, END = 0x110000, 0x110001
+KEYS = ["lang", "hi", "lo"]
+
+BLOCK_BYTES = 128 << 20
+WINDOW = 1 << 21
+HELD_GRAMS = 6_000_000
+LEFT_OUT = 4
 QUANTILE = 0.995
 ERRORS = 2.0
 BIN = 0.001
-SCORE = "log_perplexity double, low double"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def _mask(order: int) -> int:
-    return (1 << BITS * order) - 1 if order < 4 else -1
+def _table(df: DataFrame, name: str) -> DataFrame:
+    """`written`, with the shuffle files of the job deleted after it: the table stands for them."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return written(df, name)
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
-def grams_of(texts: pa.Array):
-    """(grams, ends): the n-gram that ends at each character and at the end of each text; where texts end."""
+def windows(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(hi, lo, row): the n-gram that ends at each character and at the end of each text, in bounded pieces."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    pad, close = pa.scalar(chr(START) * (ORDER - 1), pa.large_string()), pa.scalar(chr(END), pa.large_string())
-    padded = pc.binary_join_element_wise(pad, texts, close, pa.scalar("", pa.large_string()))
-    lengths = pc.utf8_length(padded).to_numpy(zero_copy_only=False).astype(np.int64)
-    whole = "".join(padded.to_pylist())
-    codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
-    codes[codes > 0xFFFF] = 0xFFFD
-    grams = codes.copy()
-    for back in range(1, ORDER):
-        grams[back:] |= codes[:-back] << BITS * back
+    lengths = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + ORDER
     ends = np.cumsum(lengths)
-    real = np.ones(len(codes), bool)
+    codes = np.full(int(ends[-1]) if len(ends) else 0, START, np.uint32)
+    inside = np.ones(len(codes), bool)
     for i in range(ORDER - 1):
-        real[ends - lengths + i] = False
-    return grams[real], np.cumsum(lengths - (ORDER - 1))
-
+        inside[ends - lengths + i] = False
+    real = inside.copy()
+    inside[ends - 1] = False
+    codes[inside] = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32)
+    codes[ends - 1] = END
+    for low in range(ORDER - 1, len(codes), WINDOW):
+        high = min(low + WINDOW, len(codes))
+        part = codes[low - ORDER + 1:high].astype(np.int64)
+        triples = part[:-2] << 2 * BITS | part[1:-1] << BITS | part[2:]
+        keep = real[low:high]
+        row = np.searchsorted(ends, np.arange(low, high), side="right")
+        yield _before(part, high - low)[keep], triples[ORDER - 3:][keep], row[keep]
 
-def _languages(column: pa.Array):
-    """(code of each row, languages): rows without a language have none (-1)."""
-    coded = column.cast(pa.string()).dictionary_encode()
-    return pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
 
+def _before(part: np.ndarray, size: int) -> np.ndarray:
+    """The first ORDER - 3 characters of the n-grams that start at the first `size` places."""
+    return reduce(lambda found, i: found << BITS | part[i:i + size], range(ORDER - 3), np.zeros(size, np.int64))
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        which, languages = _languages(batch.column(0))
-        for code, language in enumerate(languages):
-            grams, _ = grams_of(batch.column(1).filter(pa.array(which == code)))
-            counted = pc.value_counts(pa.array(grams))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * len(counted), pa.string()), counted.field("values"), counted.field("counts")], ["lang", "gram", "n"])
 
+def distinct(hi: np.ndarray, lo: np.ndarray):
+    """(hi, lo, which): the different pairs, and the place of each pair among them."""
+    first, last = (pa.array(a).dictionary_encode() for a in (hi, lo))
+    pairs = pa.array(first.indices.to_numpy().astype(np.int64) << 32 | last.indices.to_numpy()).dictionary_encode()
+    found = pairs.dictionary.to_numpy()
+    return first.dictionary.to_numpy()[found >> 32], last.dictionary.to_numpy()[found & 0xFFFFFFFF], pairs.indices.to_numpy()
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """lang, gram, n over all rows of (lang, text); rows without a language are left out."""
-    bounded_batches(texts.sparkSession)
-    partial = texts.filter("lang IS NOT NULL").select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
-    return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
+def _languages(column: pa.Array):
+    """(code of each row, languages): rows without a language have none (-1)."""
+    coded = column.cast(pa.string()).dictionary_encode()
+    return pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
 
-@dataclass
-class Model:
-    """For each order, `worth` has lang, gram, own; `rest` has lang, context, share, for what the order below gets."""
 
-    worth: dict[int, DataFrame]
-    rest: dict[int, DataFrame]
-    rows: int
-    sent: Broadcast | None = None
+def _summed(tables: list[pa.Table]) -> list[pa.Table]:
+    found = pa.concat_tables(tables).group_by(["block", *KEYS]).aggregate([("n", "sum")]).rename_columns(["block", *KEYS, "n"])
+    return [found.cast(tables[0].schema)]
 
 
-def _discounts(counts: DataFrame) -> DataFrame:
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (block, lang, text, counted): the different n-grams of the task, with their number in counted texts."""
+    held, rows, least = [], 0, HELD_GRAMS
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        which, names = _languages(batch.column(1))
+        counted = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
+        for block in np.unique(blocks):
+            for code, name in enumerate(names):
+                mine = np.flatnonzero((blocks == block) & (which == code))
+                if not len(mine):
+                    continue
+                for hi, lo, row in windows(batch.column(2).take(pa.array(mine))):
+                    hi, lo, place = distinct(hi, lo)
+                    n = np.bincount(place, counted[mine][row], len(hi)).astype(np.int64)
+                    held.append(pa.table([pa.array(np.full(len(hi), block), pa.int32()), pa.array([name] * len(hi), pa.string()),
+                                          pa.array(hi), pa.array(lo), pa.array(n)], ["block", *KEYS, "n"]))
+                    rows += len(hi)
+        if rows > least:
+            held = _summed(held)
+            rows = len(held[0])
+            least = rows + HELD_GRAMS
+            if rows > HELD_GRAMS:  # what is given away here is summed by the shuffle
+                yield from held[0].to_batches(100_000)
+                held, rows, least = [], 0, HELD_GRAMS
+    if held:
+        yield from _summed(held)[0].to_batches(100_000)
+
+
+def _discounts(grams: DataFrame) -> DataFrame:
     """lang, d1, d2, d3: the discounts of an order; where a count of counts is zero, those of absolute discounting by a half."""
-    n = counts.groupBy("lang").agg(*(F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)))
+    n = grams.filter("n > 0").groupBy("lang").agg(*(F.sum((F.col("n") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)))
     y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
     found = [i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")) for i in (1, 2, 3)]
     return n.select("lang", *(
         F.when((d > 0) & (d < i), d).otherwise(F.lit(0.5)).alias(f"d{i}") for i, d in zip((1, 2, 3), found)))
 
 
-def train(trusted: DataFrame) -> Model:
-    """The model of (lang, text). Null texts count as empty; no rows give an empty model."""
-    counts = written(count_grams(trusted), "grams")
-    worth, rest, rows = {}, {}, 0
-    for order in range(ORDER, 0, -1):
-        discounts = _discounts(counts)
-        context = F.shiftrightunsigned("gram", BITS) if order > 1 else F.lit(0).cast("long")
-        counted = counts.withColumn("context", context).join(discounts, "lang")
-        capped = F.least("n", F.lit(3))
-        discount = F.when(capped == 1, F.col("d1")).when(capped == 2, F.col("d2")).otherwise(F.col("d3"))
-        totals = counted.groupBy("lang", "context").agg(
-            F.sum("n").alias("total"), F.sum(discount).alias("saved"), F.count(F.lit(1)).alias("kinds"))
-        share = F.col("saved") / F.col("total")
-        if order == 1:  # what is left goes to all characters, and one unseen one, alike
-            share = share / (F.col("kinds") + 1)
-        rest[order] = written(totals.select("lang", "context", share.alias("share")), f"rest{order}")
-        worth[order] = written(
-            counted.join(totals.select("lang", "context", "total"), ["lang", "context"])
-            .select("lang", "gram", ((F.col("n") - discount) / F.col("total")).alias("own")), f"worth{order}")
-        rows += worth[order].count() + rest[order].count()
-        if order > 1:
-            below = F.col("gram").bitwiseAND(_mask(order - 1))
-            counts = written(counts.groupBy("lang", below.alias("gram")).agg(F.count(F.lit(1)).alias("n")), f"kinds{order - 1}")
-    return Model(worth, rest, rows)
-
-
-class Tables:
-    """The finished model as sorted arrays, by language and order."""
-
-    def __init__(self, model: Model):
-        self.worth, self.rest = self._sorted(model.worth, "gram", "own"), self._sorted(model.rest, "context", "share")
-
-    @staticmethod
-    def _sorted(tables: dict[int, DataFrame], key: str, value: str) -> dict:
-        found = {}
-        for order, rows in tables.items():
-            columns = rows.select("lang", key, value).toArrow().combine_chunks()
-            which, names = _languages(pa.concat_arrays(columns.column(0).chunks or [pa.array([], pa.string())]))
-            keys, values = columns.column(1).to_numpy(), columns.column(2).to_numpy()
-            for code, language in enumerate(names):
-                mine = np.flatnonzero(which == code)
-                mine = mine[np.argsort(keys[mine], kind="stable")]
-                found[language, order] = keys[mine], values[mine]
-        return found
-
-    @staticmethod
-    def _find(table, keys: np.ndarray):
-        at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
-        hit = table[0][at] == keys
-        return hit, np.where(hit, table[1][at], 0.0)
-
-    def log_probability(self, language: str, grams: np.ndarray) -> np.ndarray:
-        chance = 1.0
-        for order in range(1, ORDER + 1):
-            context = (grams >> BITS) & _mask(order - 1) if order > 1 else np.zeros_like(grams)
-            _, own = self._find(self.worth[language, order], grams & _mask(order))
-            seen, share = self._find(self.rest[language, order], context)
-            chance = np.where(seen, own + share * chance, chance)
-        return np.log(chance)
-
-
-def _scorer(tables):
-    """A column function of (lang, text): the score of each text, with the model sent to the tasks."""
-
-    @F.arrow_udf(SCORE)
-    def score(languages: pa.Array, texts: pa.Array) -> pa.Array:
-        which, names = _languages(languages)
-        mean, low = np.full(len(which), np.nan), np.full(len(which), np.nan)
-        for code, language in enumerate(names):
-            rows = np.flatnonzero(which == code)
-            if (language, 1) not in tables.value.worth:
-                continue
-            grams, ends = grams_of(texts.filter(pa.array(which == code)))
-            coded = pa.array(grams).dictionary_encode()
-            values = -tables.value.log_probability(language, coded.dictionary.to_numpy())[coded.indices.to_numpy()]
-            starts, counts = np.concatenate([[0], ends[:-1]]), np.diff(ends, prepend=0)
-            mean[rows] = np.add.reduceat(values, starts) / counts
-            spread = np.maximum(np.add.reduceat(values * values, starts) / counts - mean[rows] ** 2, 0)
-            low[rows] = mean[rows] - ERRORS * np.sqrt(spread / counts)
-        none = np.isnan(mean)
-        return pa.StructArray.from_arrays([pa.array(mean, mask=none), pa.array(low, mask=none)], ["log_perplexity", "low"])
-
-    return score
-
-
-def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        grams, ends = grams_of(batch.column(2))
-        for row, part in enumerate(np.split(grams, ends[:-1])):
-            counted = pc.value_counts(pa.array(part))
-            same = [pa.array([batch.column(i)[row].as_py()] * len(counted), batch.column(i).type) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*same, counted.field("values"), counted.field("counts")], ["key", "lang", "gram", "n"])
+def _suffix(order: int) -> list[Column]:
+    """hi, lo of the last `order` characters."""
+    low = (1 << min(order, 3) * BITS) - 1
+    high = (1 << max(order - 3, 0) * BITS) - 1
+    return [F.col("hi").bitwiseAND(high).alias("hi"), F.col("lo").bitwiseAND(low).alias("lo")]
 
 
-def joined_scores(texts: DataFrame, model: Model) -> DataFrame:
-    """key, score of (key, lang, text): n-grams of documents joined to the sharded tables of the model.
+def _context() -> list[Column]:
+    """The n-gram without its last character."""
+    last = F.col("hi").bitwiseAND((1 << BITS) - 1)
+    return [F.shiftright("hi", BITS).alias("before"), F.shiftleft(last, 2 * BITS).bitwiseOR(F.shiftright("lo", BITS)).alias("context")]
 
-    Distinct n-grams are valued first, so that a frequent one is joined once. A key that
-    repeats must have one text and gets one row.
+
+def log_chances(grams: DataFrame) -> DataFrame:
+    """lang, hi, lo, value: minus the log probability of each n-gram of (lang, hi, lo, n).
+
+    n is the count in trusted text, 0 for those only asked for. Those of a language without
+    trusted text are left out.
     """
-    bounded_batches(texts.sparkSession)
-    counted = texts.filter("lang IS NOT NULL").select("key", "lang", "text").dropDuplicates(["key"]).mapInArrow(
-        _emit, "key long, lang string, gram long, n long")
-    valued = counted.select("lang", "gram").distinct()
-    chance: Column | None = None
+    orders = {ORDER: grams}
+    for order in range(ORDER - 1, 0, -1):  # asked are also all endings; a seen one counts the different characters before it
+        orders[order] = _table(orders[order + 1].select("lang", *_suffix(order), F.col("n")).groupBy(*KEYS).agg(
+            F.sum((F.col("n") > 0).cast("long")).alias("n")), f"grams{order}")
+    below = None
     for order in range(1, ORDER + 1):
-        own = model.worth[order].select(F.col("lang").alias("l"), F.col("gram").alias("g"), F.col("own").alias(f"own{order}"))
-        rest = model.rest[order].select(F.col("lang").alias("l"), F.col("context").alias("c"), F.col("share").alias(f"share{order}"))
-        key = F.col("gram").bitwiseAND(_mask(order))
-        context = F.shiftrightunsigned("gram", BITS).bitwiseAND(_mask(order - 1)) if order > 1 else F.lit(0).cast("long")
-        valued = valued.join(own, (F.col("lang") == F.col("l")) & (key == F.col("g")), "left").drop("l", "g")
-        valued = valued.join(rest, (F.col("lang") == F.col("l")) & (context == F.col("c")), "left").drop("l", "c")
-        above = F.coalesce(f"own{order}", F.lit(0.0)) + F.col(f"share{order}") * (F.lit(1.0) if chance is None else chance)
-        chance = above if chance is None else F.when(F.col(f"share{order}").isNull(), chance).otherwise(above)
-    valued = valued.select("lang", "gram", (-F.log(chance)).alias("value")).filter("value IS NOT NULL")
-    sums = counted.join(valued, ["lang", "gram"]).groupBy("key").agg(
-        F.sum("n").alias("count"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
-        (F.sum(F.col("n") * F.col("value") * F.col("value")) / F.sum("n")).alias("square"))
-    spread = F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0))
-    return sums.select("key", F.struct(
-        F.col("mean").alias("log_perplexity"), (F.col("mean") - ERRORS * F.sqrt(spread / F.col("count"))).alias("low")).alias("score"))
-
-
-def with_score(docs: DataFrame, model: Model, name: str, lang: str = "lang", text: str = "text", model_rows: int = MODEL_ROWS) -> DataFrame:
-    """docs with the score (log_perplexity, low) of each text; null parts where there is no model of the language."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    if model.rows <= model_rows:
-        model.sent = model.sent or spark.sparkContext.broadcast(Tables(model))
-        return docs.withColumn(name, _scorer(model.sent)(docs[lang].cast("string"), text_of(docs[text])))
-    key = F.xxhash64(docs[lang].cast("string"), docs[text])
-    scores = written(joined_scores(docs.select(key.alias("key"), docs[lang].cast("string").alias("lang"), docs[text].alias("text")), model), "scores")
-    scores = scores.select(F.col("key").alias(f"{name}_key"), F.col("score").alias(name))
-    return docs.join(scores, key == F.col(f"{name}_key"), "left").drop(f"{name}_key")
+        capped = F.least("n", F.lit(3))
+        discount = F.when(capped == 1, F.col("d1")).when(capped == 2, F.col("d2")).when(capped == 3, F.col("d3")).otherwise(0.0)
+        seen = orders[order].join(_discounts(orders[order]), "lang").select(*KEYS, *_context(), "n", discount.alias("discount"))
+        totals = seen.filter("n > 0").groupBy("lang", "before", "context").agg(
+            F.sum("n").alias("total"), F.sum("discount").alias("saved"), F.count(F.lit(1)).alias("kinds"))
+        found = seen.join(totals, ["lang", "before", "context"], "left")
+        own = (F.col("n") - F.col("discount")) / F.col("total")
+        share = F.col("saved") / F.col("total")
+        if below is None:  # what is left goes to all characters, and one unseen one, alike
+            chance = own + share / (F.col("kinds") + 1)
+        else:
+            found = found.withColumns({"end_hi": _suffix(order - 1)[0], "end_lo": _suffix(order - 1)[1]}).join(
+                below.select("lang", F.col("hi").alias("end_hi"), F.col("lo").alias("end_lo"), F.col("chance").alias("lower")), ["lang", "end_hi", "end_lo"])
+            chance = F.when(F.col("total").isNull(), F.col("lower")).otherwise(own + share * F.col("lower"))
+        below = _table(found.select(*KEYS, chance.alias("chance")), f"chances{order}")
+    return below.select(*KEYS, (-F.log("chance")).alias("value"))
+
+
+ANSWERS = "block int, kind int, name string, his array<long>, los array<long>, values array<double>"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers (block, lang, hi, lo, value) by the batch, as rows of arrays per block and language."""
+    for batch in batches:
+        which, names = _languages(batch.column(1))
+        blocks, *columns = (batch.column(i).to_numpy() for i in (0, 2, 3, 4))
+        order = np.lexsort((columns[1], columns[0], which, blocks))
+        cuts = np.flatnonzero((np.diff(blocks[order]) != 0) | (np.diff(which[order]) != 0)) + 1
+        rows = np.split(order, cuts) if len(order) else []
+        lists = [pa.ListArray.from_arrays(np.concatenate([[0], cuts, [len(order)]]).astype(np.int32), c[order]) for c in columns] if rows else []
+        if rows:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([blocks[r[0]] for r in rows], pa.int32()), pa.array([0] * len(rows), pa.int32()),
+                pa.array([names[which[r[0]]] for r in rows], pa.string()), *lists], ["block", "kind", "name", "his", "los", "values"])
+
+
+class Answers:
+    """What the n-grams of one language in a block are worth."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        hi, lo, values = (np.concatenate(c) for c in zip(*parts))
+        self.his, self.los = np.unique(hi), np.unique(lo)
+        keys = self._keys(hi, lo)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+
+    def _keys(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.his, hi) * len(self.los) + np.searchsorted(self.los, lo)
+
+    def of(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """All n-grams of the block were asked for, so each is here."""
+        return self.values[np.searchsorted(self.keys, self._keys(hi, lo))]
+
+
+def scores_of(texts: pa.Array, answers: Answers) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, low) of each text."""
+    count, total, square = (np.zeros(len(texts)) for _ in range(3))
+    for hi, lo, row in windows(texts):
+        hi, lo, place = distinct(hi, lo)
+        values = answers.of(hi, lo)[place]
+        count += np.bincount(row, minlength=len(texts))
+        total += np.bincount(row, values, len(texts))
+        square += np.bincount(row, values * values, len(texts))
+    mean = total / count
+    spread = np.maximum(square / count - mean * mean, 0)
+    return mean, mean - ERRORS * np.sqrt(spread / count)
+
+
+def _scored(with_text: bool):
+    """Rows (block, kind, name, his, los, values, row, lang, text), answers first in each block, to scored rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, answers = None, {}, {}
+        for batch in batches:
+            blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+            for low, high in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(blocks)]])):
+                part = batch.slice(low, high - low)
+                if not len(part):
+                    continue
+                if blocks[low] != at:
+                    at, parts, answers = blocks[low], {}, {}
+                if kinds[low] == 0:
+                    for i, name in enumerate(part.column(2).to_pylist()):
+                        parts.setdefault(name, []).append(tuple(part.column(c)[i].values.to_numpy() for c in (3, 4, 5)))
+                    continue
+                which, names = _languages(part.column(7))
+                mean, least = np.full(len(part), np.nan), np.full(len(part), np.nan)
+                for code, name in enumerate(names):
+                    if name in parts:
+                        answers[name] = Answers(parts.pop(name))
+                    if name in answers:
+                        mine = np.flatnonzero(which == code)
+                        mean[mine], least[mine] = scores_of(part.column(8).take(pa.array(mine)), answers[name])
+                none = np.isnan(mean)
+                kept = {"row": part.column(6), "lang": part.column(7)} | ({"text": part.column(8)} if with_text else {})
+                yield pa.RecordBatch.from_arrays([*kept.values(), pa.array(mean, mask=none), pa.array(least, mask=none)], [*kept, "log_perplexity", "low"])
+
+    return run
 
 
 def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -255,58 +284,68 @@ def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> DataFrame:
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """Ids of documents labelled good and not toxic. An id labelled twice must be so each time."""
-    return labels.groupBy("doc_id").agg(
-        F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("good")
-    ).filter("good AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
-
-
-def _only(rows: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
-    # Labels grow with the documents; the join shuffles at every size.
-    return rows.join(ids.hint("shuffle_hash"), rows[doc_id] == ids["_id"], "left_semi")
-
-
-@dataclass
-class Classifier:
-    """A model, the threshold of each language, and the scores of the documents it was fitted with."""
+    """_id, left_out: ids labelled good and not toxic. An id labelled twice must be so each time."""
+    good = labels.groupBy(F.col("doc_id").cast("string").alias("_id")).agg(
+        F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("good")).filter("good AND _id IS NOT NULL")
+    return good.select("_id", (F.pmod(F.xxhash64("_id"), F.lit(LEFT_OUT)) == 0).alias("left_out"))
 
-    model: Model
-    limits: DataFrame
-    scores: DataFrame
 
+def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text",
+           columns: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """row (of `columns` of docs, all but the text if not given), lang, text (if `columns` is not given), log_perplexity, low.
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text",
-        model_rows: int = MODEL_ROWS) -> Classifier:
-    """Train on the trusted documents and score all of them; texts move once, to meet their labels."""
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), text_of(docs[text]).alias("text"))
+    Texts move twice, once to meet their labels and be taken apart, once to meet the answers;
+    the files of the first shuffle are gone by the second.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    size = docs.agg(F.sum(F.octet_length(docs[text]))).first()[0] or 0
+    blocks = max(1, -(-int(size) // block_bytes))
+    # Rows without an id cannot be labelled, and are dealt by their text.
+    key = F.coalesce(docs[doc_id].cast("string"), F.concat(F.lit("no id "), F.xxhash64(docs[text]).cast("string")))
+    block = F.pmod(F.hash("key"), F.lit(blocks)).cast("int").alias("block")
+    packed = docs.select(key.alias("key"), docs[doc_id].isNotNull().alias("named"), docs[lang].cast("string").alias("lang"), docs[text].alias("text"),
+                         F.struct(*([docs[c] for c in columns] if columns else [docs[c] for c in docs.columns if c != text] or [F.lit(0)])).alias("row"))
     good = trusted_ids(labels)
-    model = train(_only(named, good, "doc_id").select("lang", "text"))
-    scores = written(with_score(named, model, "score", model_rows=model_rows).select("doc_id", "lang", "score.*"), "scores")
-    limits = written(thresholds(_only(scores, good, "doc_id")), "thresholds").select(F.col("lang").alias("_lang"), "threshold")
-    return Classifier(model, limits, scores)
-
-
-def _decided(scored: DataFrame, limits: DataFrame) -> DataFrame:
+    marked = packed.filter("lang IS NOT NULL").select("key", "named", "lang", "text").repartition(blocks, "key").join(
+        good.repartition(blocks, "_id").hint("shuffle_hash"), F.col("key") == F.col("_id"), "left")
+    counted = F.coalesce(F.col("named") & ~F.col("left_out"), F.lit(False)).cast("int")
+    asked = _table(marked.select(block, "lang", "text", counted.alias("counted")).mapInArrow(
+        _asked, "block int, lang string, hi long, lo long, n long"), "asked")
+    values = log_chances(_table(asked.groupBy(*KEYS).agg(F.sum("n").alias("n")), "grams"))
+    answers = _table(asked.select("block", *KEYS).join(values, KEYS).select("block", *KEYS, "value").mapInArrow(_packed, ANSWERS), "answers")
+    texts = packed.select(block, F.lit(1).alias("kind"), "row", "lang", "text")
+    stream = answers.unionByName(texts, allowMissingColumns=True).repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind")
+    kind = f"row {texts.schema['row'].dataType.simpleString()}, lang string{'' if columns else ', text string'}, log_perplexity double, low double"
+    return _table(stream.mapInArrow(_scored(not columns), kind), "scores")
+
+
+def _decided(scores: DataFrame, labels: DataFrame, doc_id: str) -> DataFrame:
+    """The scores with threshold and rejected."""
+    left_out = trusted_ids(labels).filter("left_out")
+    apart = scores.select(F.col("row").getField(doc_id).cast("string").alias("id"), "lang", "low")
+    # Labels grow with the documents; the join shuffles at every size.
+    limits = _table(thresholds(apart.join(left_out.hint("shuffle_hash"), F.col("id") == F.col("_id"), "left_semi")), "thresholds")
     rejected = F.coalesce(F.col("low") > F.col("threshold"), F.lit(False))
-    return scored.join(limits, F.col("lang") == F.col("_lang"), "left").drop("_lang").withColumn("rejected", rejected)
+    return scores.join(limits.withColumnRenamed("lang", "_lang"), F.col("lang") == F.col("_lang"), "left").drop("_lang").withColumn("rejected", rejected)
 
 
-def verdicts(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def verdicts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
     """doc_id, lang, log_perplexity, low, threshold, rejected: one row per row of docs, as `judged` decides."""
-    classifier = fit(docs, labels, **options)
-    return _decided(classifier.scores, classifier.limits)
+    found = _decided(scored(docs, labels, doc_id, lang, text, columns=[doc_id]), labels, doc_id)
+    return found.select(F.col("row").getField(doc_id).alias("doc_id"), "lang", "log_perplexity", "low", "threshold", "rejected")
 
 
 def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text",
-           model_rows: int = MODEL_ROWS) -> DataFrame:
+           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """row (all columns of docs), log_perplexity, low, threshold, rejected.
 
     A document is rejected if `low` is above the threshold of its language. One without a
     language, or of a language without trusted text, has neither and is kept: there is nothing
-    to hold against it. Null and empty texts are scored as the empty text. Repeated rows are
+    to hold against it. A language of whose trusted documents none was left out has no threshold,
+    and keeps all. Null and empty texts are scored as the empty text. Repeated rows are
     judged alike; no rows give no rows.
     """
-    classifier = fit(docs, labels, doc_id, lang, text, model_rows)
-    packed = docs.select(F.struct(*docs.columns).alias("row"), docs[lang].cast("string").alias("lang"), docs[text].alias("text"))
-    scored = with_score(packed, classifier.model, "score", model_rows=model_rows).select("row", "lang", "score.*")
-    return _decided(scored, classifier.limits).select("row", "log_perplexity", "low", "threshold", "rejected")
+    found = _decided(scored(docs, labels, doc_id, lang, text, block_bytes=block_bytes), labels, doc_id)
+    row = F.struct(*((F.col("text") if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns))
+    return found.select(row.alias("row"), "log_perplexity", "low", "threshold", "rejected")

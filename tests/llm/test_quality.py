@@ -2,18 +2,26 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from faremill.llm import quality
 from faremill.llm.queries import QUERIES
 
 
+def left_out(doc_id):
+    """Whether a trusted document is one of those for the thresholds."""
+    hashed = xxhash.xxh64(str(doc_id).encode(), seed=42).intdigest()
+    return (hashed - (1 << 64 if hashed >> 63 else 0)) % quality.LEFT_OUT == 0
+
+
 class BruteModel:
     """Interpolated modified Kneser-Ney over characters, from its formulas."""
 
-    def __init__(self, texts, order=4):
+    def __init__(self, texts, order=quality.ORDER):
         counts = Counter(g for t in texts for g in self.grams(t, order))
         self.orders = {}
         for k in range(order, 0, -1):
@@ -31,13 +39,13 @@ class BruteModel:
                 counts = Counter(g[1:] for g in counts)
 
     @staticmethod
-    def grams(text, order=4):
-        padded = "\x02" * (order - 1) + "".join(c if c <= "￿" else "�" for c in text) + "\x03"
+    def grams(text, order=quality.ORDER):
+        padded = ("start",) * (order - 1) + tuple(text) + ("end",)
         return [padded[i:i + order] for i in range(len(padded) - order + 1)]
 
     def chance(self, gram):
         if not gram:
-            return 1 / (len(self.orders[1][0][""]) + 1)
+            return 1 / (len(self.orders[1][0][()]) + 1)
         context, discounts = self.orders[len(gram)]
         follow, below = context.get(gram[:-1]), self.chance(gram[1:])
         if follow is None:
@@ -58,33 +66,57 @@ def words(seed, count):
     return " ".join("".join(pick.choice(["the", "an", "er", "in", "g", "é", "😀"]) for _ in range(pick.randint(1, 3))) for _ in range(count))
 
 
-TRUSTED = [("en", words(i, 30)) for i in range(20)] + [("fr", words(100 + i, 5).upper()) for i in range(6)] + [(None, "left out"), ("de", "")]
+TRUSTED = [("en", words(i, 30)) for i in range(20)] + [("fr", words(100 + i, 5).upper()) for i in range(6)] + [(None, "left out"), ("de", ""), ("de", ""), ("de", "")]
 ASKED = [("en", words(7, 12)), ("en", ""), ("en", "### $$$ 漢字"), ("fr", "THE AN"), ("de", "x"), ("zz", "unknown"), (None, "none"), ("en", None)]
 
 
-@pytest.mark.parametrize("rows_sent", [quality.MODEL_ROWS, 0])
-def test_scores_equal_the_formulas_with_a_sent_model_and_with_joins(spark, rows_sent):
-    model = quality.train(spark.createDataFrame(TRUSTED, "lang string, text string"))
-    brute = {lang: BruteModel([t for x, t in TRUSTED if x == lang]) for lang in ("en", "fr", "de")}
-    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(ASKED)], "doc_id long, lang string, text string")
-    found = {r.doc_id: r for r in quality.with_score(docs, model, "found", model_rows=rows_sent).select("doc_id", "found.*").collect()}
-    for i, (lang, text) in enumerate(ASKED):
+@pytest.mark.parametrize("block_bytes", [quality.BLOCK_BYTES, 500])
+def test_scores_equal_the_formulas_in_one_block_and_in_many(spark, block_bytes):
+    rows = [(i, *r, 1) for i, r in enumerate(TRUSTED)] + [(100 + i, *r, 0) for i, r in enumerate(ASKED)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(r[0], r[3], 0) for r in rows], "doc_id long, quality int, toxic int")
+    counted = {lang: [t for i, (x, t) in enumerate(TRUSTED) if x == lang and not left_out(i)] for lang in ("en", "fr", "de")}
+    assert all(counted.values())
+    brute = {lang: BruteModel(texts) for lang, texts in counted.items()}
+    found = {r.row.doc_id: r for r in quality.scored(docs, labels, block_bytes=block_bytes).collect()}
+    assert {i: (r.lang, r.text) for i, r in found.items()} == {r[0]: r[1:3] for r in rows}
+    for i, lang, text, _ in rows:
         if lang not in brute:
             assert (found[i].log_perplexity, found[i].low) == (None, None)
-        elif not (rows_sent == 0 and text is None):
+        else:
             assert (found[i].log_perplexity, found[i].low) == pytest.approx(brute[lang].score(text or ""), rel=1e-9)
 
 
+def test_long_texts_are_cut_into_windows(monkeypatch):
+    texts = pa.array([words(i, 60) for i in range(5)] + ["", None])
+    whole = [np.concatenate(c) for c in zip(*quality.windows(texts))]
+    monkeypatch.setattr(quality, "WINDOW", 7)
+    assert all((x == y).all() for x, y in zip(whole, [np.concatenate(c) for c in zip(*quality.windows(texts))]))
+
+
+def test_held_grams_are_given_away_and_summed(spark, monkeypatch):
+    texts = [words(i, 50) for i in range(8)]
+    batches = [pa.record_batch([pa.array([0], pa.int32()), pa.array(["en"]), pa.array([t]), pa.array([1], pa.int32())], ["block", "lang", "text", "counted"]) for t in texts]
+    monkeypatch.setattr(quality, "HELD_GRAMS", 40)
+    total = Counter()
+    for found in quality._asked(iter(batches)):
+        for r in found.to_pylist():
+            total[r["hi"], r["lo"]] += r["n"]
+    hi, lo, _ = next(quality.windows(pa.array(texts)))
+    assert total == Counter(zip(hi.tolist(), lo.tolist()))
+
+
 def test_chances_of_all_characters_sum_to_one():
     brute = BruteModel([t for lang, t in TRUSTED if lang == "en"])
-    letters = brute.orders[1][0][""]
-    assert sum(brute.chance("the" + c) for c in letters) + brute.chance("theꯍ") == pytest.approx(1)
+    letters = brute.orders[1][0][()]
+    assert sum(brute.chance((*"then", c)) for c in letters) + brute.chance((*"then", "ꯍ")) == pytest.approx(1)
 
 
 def test_grams_of_a_batch():
-    grams, ends = quality.grams_of(pa.array(["ab", "", None, "😀"]))
-    assert ends.tolist() == [3, 4, 5, 7]
-    assert grams[2] == (2 << 48 | ord("a") << 32 | ord("b") << 16 | 3) and grams[3] == (2 << 48 | 2 << 32 | 2 << 16 | 3)
+    hi, lo, row = (np.concatenate(c) for c in zip(*quality.windows(pa.array(["ab", "", None, "😀"]))))
+    assert row.tolist() == [0, 0, 0, 1, 2, 3, 3]
+    assert (hi[2], lo[2]) == (quality.START << 21 | quality.START, ord("a") << 42 | ord("b") << 21 | quality.END)
+    assert lo[5] == quality.START << 42 | quality.START << 21 | ord("😀")
 
 
 def test_thresholds_are_quantiles(spark):
