@@ -40,7 +40,7 @@ BLOCK_BYTES = 128 << 20
 WINDOW = 1 << 21
 HELD_GRAMS = 6_000_000
 LEFT_OUT = 4
-QUANTILE = 0.995
+QUANTILE = 0.99
 ERRORS = 2.0
 BIN = 0.001
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from faremill.llm import fair_mix
+from faremill.llm import fair_mix, quality
 from faremill.llm.queries import tokenizer
 from test_fair_mix import WORD, brute_targets
 from test_quality import BruteModel, left_out
@@ -48,7 +48,7 @@ def test_quality_stage(spark, stages):
         low = {i: model.score(d.text)[1] for i, d in docs.items() if d.lang == lang}
         apart = sorted(math.floor(low[i] / 0.001) for i in good if docs[i].lang == lang and left_out(i))
         if apart:
-            limit = (apart[math.ceil(len(apart) * 0.995) - 1] + 1) * 0.001
+            limit = (apart[math.ceil(len(apart) * quality.QUANTILE) - 1] + 1) * 0.001
             expected -= {i for i, x in low.items() if x > limit}
     assert kept == expected and 0 < len(kept) < len(docs)
 
