@@ -103,24 +103,42 @@ def _summed(tables: list[pa.Table]) -> list[pa.Table]:
     return [found.cast(tables[0].schema)]
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """(block, kind, rows) of a batch sorted by its first two columns."""
+    blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+    cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+    for low, high in zip([0, *cuts], [*cuts, len(blocks)]):
+        if high > low:
+            yield blocks[low], kinds[low], batch.slice(low, high - low)
+
+
+def _grams(block: int, part: pa.RecordBatch, trusted: pa.Array) -> Iterator[pa.Table]:
+    """The different n-grams of some rows (.., id, lang, text) by language and window, with their number in trusted texts."""
+    which, names = _languages(part.column("lang"))
+    counted = pc.is_in(part.column("id"), value_set=trusted).to_numpy(zero_copy_only=False).astype(np.int64)
+    for code, name in enumerate(names):
+        mine = np.flatnonzero(which == code)
+        for hi, lo, row in windows(part.column("text").take(pa.array(mine))):
+            hi, lo, place = distinct(hi, lo)
+            n = np.bincount(place, counted[mine][row], len(hi)).astype(np.int64)
+            yield pa.table([pa.array(np.full(len(hi), block), pa.int32()), pa.array([name] * len(hi), pa.string()),
+                            pa.array(hi), pa.array(lo), pa.array(n)], ["block", *KEYS, "n"])
+
+
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (block, lang, text, counted): the different n-grams of the task, with their number in counted texts."""
-    held, rows, least = [], 0, HELD_GRAMS
+    """Of rows (block, kind, id, lang, text), counted ids first in each block: the different n-grams of a block."""
+    at, ids, held, rows, least = None, [], [], 0, HELD_GRAMS
     for batch in batches:
-        blocks = batch.column(0).to_numpy()
-        which, names = _languages(batch.column(1))
-        counted = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
-        for block in np.unique(blocks):
-            for code, name in enumerate(names):
-                mine = np.flatnonzero((blocks == block) & (which == code))
-                if not len(mine):
-                    continue
-                for hi, lo, row in windows(batch.column(2).take(pa.array(mine))):
-                    hi, lo, place = distinct(hi, lo)
-                    n = np.bincount(place, counted[mine][row], len(hi)).astype(np.int64)
-                    held.append(pa.table([pa.array(np.full(len(hi), block), pa.int32()), pa.array([name] * len(hi), pa.string()),
-                                          pa.array(hi), pa.array(lo), pa.array(n)], ["block", *KEYS, "n"]))
-                    rows += len(hi)
+        for block, kind, part in _runs(batch):
+            if block != at:
+                at, ids, trusted = block, [], None
+            if kind == 0:
+                ids.append(part.column("id"))
+                continue
+            trusted = pa.concat_arrays(ids) if trusted is None and ids else pa.array([], pa.string()) if trusted is None else trusted
+            for found in _grams(block, part, trusted):
+                held.append(found)
+                rows += len(found)
         if rows > least:
             held = _summed(held)
             rows = len(held[0])
@@ -240,15 +258,10 @@ def _scored(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, parts, answers = None, {}, {}
         for batch in batches:
-            blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
-            for low, high in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(blocks)]])):
-                part = batch.slice(low, high - low)
-                if not len(part):
-                    continue
-                if blocks[low] != at:
-                    at, parts, answers = blocks[low], {}, {}
-                if kinds[low] == 0:
+            for block, kind, part in _runs(batch):
+                if block != at:
+                    at, parts, answers = block, {}, {}
+                if kind == 0:
                     for i, name in enumerate(part.column(2).to_pylist()):
                         parts.setdefault(name, []).append(tuple(part.column(c)[i].values.to_numpy() for c in (3, 4, 5)))
                     continue
@@ -290,6 +303,10 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.select("_id", (F.pmod(F.xxhash64("_id"), F.lit(LEFT_OUT)) == 0).alias("left_out"))
 
 
+def _in_blocks(rows: DataFrame, blocks: int) -> DataFrame:
+    return rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind")
+
+
 def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text",
            columns: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """row (of `columns` of docs, all but the text if not given), lang, text (if `columns` is not given), log_perplexity, low.
@@ -302,20 +319,19 @@ def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lang: str
     size = docs.agg(F.sum(F.octet_length(docs[text]))).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
     # Rows without an id cannot be labelled, and are dealt by their text.
-    key = F.coalesce(docs[doc_id].cast("string"), F.concat(F.lit("no id "), F.xxhash64(docs[text]).cast("string")))
-    block = F.pmod(F.hash("key"), F.lit(blocks)).cast("int").alias("block")
-    packed = docs.select(key.alias("key"), docs[doc_id].isNotNull().alias("named"), docs[lang].cast("string").alias("lang"), docs[text].alias("text"),
-                         F.struct(*([docs[c] for c in columns] if columns else [docs[c] for c in docs.columns if c != text] or [F.lit(0)])).alias("row"))
-    good = trusted_ids(labels)
-    marked = packed.filter("lang IS NOT NULL").select("key", "named", "lang", "text").repartition(blocks, "key").join(
-        good.repartition(blocks, "_id").hint("shuffle_hash"), F.col("key") == F.col("_id"), "left")
-    counted = F.coalesce(F.col("named") & ~F.col("left_out"), F.lit(False)).cast("int")
-    asked = _table(marked.select(block, "lang", "text", counted.alias("counted")).mapInArrow(
-        _asked, "block int, lang string, hi long, lo long, n long"), "asked")
+    block = lambda key: F.pmod(F.hash(key), F.lit(blocks)).cast("int").alias("block")
+    name = docs[doc_id].cast("string")
+    dealt = block(F.coalesce(name, F.concat(F.lit("no id "), F.xxhash64(docs[text]).cast("string"))))
+    rest = columns or [c for c in docs.columns if c != text]
+    packed = docs.select(dealt, F.lit(1).alias("kind"), name.alias("id"), docs[lang].cast("string").alias("lang"), docs[text].alias("text"),
+                         F.struct(*(docs[c] for c in rest)).alias("row"))
+    counted = trusted_ids(labels).filter("NOT left_out").select(block(F.col("_id")), F.lit(0).alias("kind"), F.col("_id").alias("id"))
+    marked = counted.unionByName(packed.filter("lang IS NOT NULL").drop("row"), allowMissingColumns=True)
+    asked = _table(_in_blocks(marked, blocks).mapInArrow(_asked, "block int, lang string, hi long, lo long, n long"), "asked")
     values = log_chances(_table(asked.groupBy(*KEYS).agg(F.sum("n").alias("n")), "grams"))
     answers = _table(asked.select("block", *KEYS).join(values, KEYS).select("block", *KEYS, "value").mapInArrow(_packed, ANSWERS), "answers")
-    texts = packed.select(block, F.lit(1).alias("kind"), "row", "lang", "text")
-    stream = answers.unionByName(texts, allowMissingColumns=True).repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind")
+    texts = packed.select("block", "kind", "row", "lang", "text")
+    stream = _in_blocks(answers.unionByName(texts, allowMissingColumns=True), blocks)
     kind = f"row {texts.schema['row'].dataType.simpleString()}, lang string{'' if columns else ', text string'}, log_perplexity double, low double"
     return _table(stream.mapInArrow(_scored(not columns), kind), "scores")
 

@@ -96,11 +96,14 @@ def test_long_texts_are_cut_into_windows(monkeypatch):
 
 def test_held_grams_are_given_away_and_summed(spark, monkeypatch):
     texts = [words(i, 50) for i in range(8)]
-    batches = [pa.record_batch([pa.array([0], pa.int32()), pa.array(["en"]), pa.array([t]), pa.array([1], pa.int32())], ["block", "lang", "text", "counted"]) for t in texts]
+    rows = [(0, 0, "0", None, None), *((0, 1, "0", "en", t) for t in texts), (1, 1, "0", "en", texts[0]), (1, 1, None, "en", texts[1])]
+    batches = [pa.record_batch([pa.array([v], k) for v, k in zip(r, (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()))],
+                               ["block", "kind", "id", "lang", "text"]) for r in rows]
     monkeypatch.setattr(quality, "HELD_GRAMS", 40)
     total = Counter()
     for found in quality._asked(iter(batches)):
         for r in found.to_pylist():
+            assert r["n"] == 0 or r["block"] == 0
             total[r["hi"], r["lo"]] += r["n"]
     hi, lo, _ = next(quality.windows(pa.array(texts)))
     assert total == Counter(zip(hi.tolist(), lo.tolist()))
