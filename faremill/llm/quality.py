@@ -37,8 +37,8 @@ START, END = 0x110000, 0x110001
 KEYS = ["lang", "hi", "lo"]
 
 BLOCK_BYTES = 128 << 20
-WINDOW = 1 << 21
-HELD_GRAMS = 6_000_000
+WINDOW = 1 << 19
+HELD_GRAMS = 2_000_000
 LEFT_OUT = 4
 QUANTILE = 0.99
 ERRORS = 2.0
@@ -143,11 +143,13 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = _summed(held)
             rows = len(held[0])
             least = rows + HELD_GRAMS
-            if rows > HELD_GRAMS:  # what is given away here is summed by the shuffle
+            if rows > 2 * HELD_GRAMS:  # what is given away here is summed by the shuffle
                 yield from held[0].to_batches(100_000)
                 held, rows, least = [], 0, HELD_GRAMS
     if held:
         yield from _summed(held)[0].to_batches(100_000)
+    held.clear()  # the worker lives on, and scores texts later
+    pa.default_memory_pool().release_unused()
 
 
 def _discounts(grams: DataFrame) -> DataFrame:
