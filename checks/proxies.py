@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.schemas import MONTH, TRIP_COLUMNS
-from faremill.session import utc
+from faremill.session import sized, utc
+from faremill.sources.files import total_bytes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +50,18 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
 
+# Trips are joined from fewer bytes in the files of their tables than they take in a shuffle.
+TRIP_EXPANSION = 8
+
+
+@contextmanager
+def sized_trips(spark: SparkSession, sf_dir: str):
+    """Size the jobs run inside this block for the trips."""
+    tables = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "customer", "supplier")]
+    with sized(spark, TRIP_EXPANSION * total_bytes(spark, tables)) as partitions:
+        yield partitions
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A zone lookup made of nations, with a missing borough, literal N/A and two absent ids."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")

@@ -11,6 +11,7 @@ UNKNOWN = "Unknown"
 MONTH_PREFIX = "yellow_tripdata_"
 MONTH_FORM = r"^\d{4}-\d{2}$"
 MONTH_IN_PATH = MONTH_PREFIX + r"(\d{4}-\d{2})"
+MONTH_FOLDER = rf"^(.*?{MONTH_IN_PATH}[^/]*)/"
 MONTH_LENGTH = 7
 
 
@@ -34,3 +35,8 @@ def month_of(name: Column, path: Column) -> Column:
         F.when(F.startswith(name, F.lit(MONTH_PREFIX)), F.substring(name, len(MONTH_PREFIX) + 1, MONTH_LENGTH))
         .when(F.contains(path, F.lit(MONTH_PREFIX)), F.regexp_extract(path, MONTH_IN_PATH, 1))
     )
+
+
+def delivery_of(name: Column, path: Column) -> Column:
+    """The path of what a month was delivered as: the file, or the folder that the month is named on."""
+    return F.coalesce(F.when(~F.startswith(name, F.lit(MONTH_PREFIX)), capture(path, MONTH_FOLDER)), path)

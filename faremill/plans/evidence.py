@@ -12,11 +12,11 @@ from faremill.operators.metrics import trial_medians
 from faremill.operators.profile import dataset_totals, distinct_schemas, manifest_changes
 from faremill.schemas import OUTPUT_COLUMNS, SchemaError
 from faremill.session import scratch_path, sized
-from faremill.sources.files import file_digests, first_path, read_output
-from faremill.sources.footers import path_footers
+from faremill.sources.files import file_digests, list_files, listed_digests, read_output
+from faremill.sources.footers import indexed_footers, path_footers
 from faremill.sources.sinks import write_documents, write_subset, write_table
 from faremill.sources.stores import readable
-from faremill.sources.trips import first_rows
+from faremill.sources.trips import first_delivery, first_trips
 
 # A fixed subset is for checks; more rows are refused.
 MAX_SUBSET_ROWS = 200_000
@@ -24,23 +24,21 @@ MAX_SUBSET_ROWS = 200_000
 
 def prepare_subset(spark: SparkSession, trips_path: str, zones_path: str, subset_path: str, manifest_path: str,
                    rows: int = MAX_SUBSET_ROWS) -> DataFrame:
-    """Write the first rows of the first file, and a manifest of what went in and out.
+    """Write the first rows of the first month, and a manifest of what went in and out.
 
-    A row per file: its role, digest and bytes; and the rows asked for, those of the source
-    file, those that the subset has, and the schema of the subset, from the footers.
+    The month is the first file by name, or the folder of part files that it lies in. A row per
+    file: its role, digest and bytes; and the rows asked for, those of the source, with all its
+    part files, those that the subset has, and the schema of the subset, from the footers.
     """
     if not 1 <= rows <= MAX_SUBSET_ROWS:
         raise ValueError(f"rows must be between 1 and {MAX_SUBSET_ROWS}")
-    write_subset(first_rows(spark, trips_path, rows), subset_path)
-    source = readable(first_path(spark, trips_path))
-    roles = {"source": source, "subset": subset_path, "lookup": zones_path}
-    files = _union([
-        file_digests(spark, path, "*.parquet" if role == "subset" else "*").withColumn("role", F.lit(role))
-        for role, path in roles.items()
-    ])
+    source = indexed_footers(first_delivery(spark, trips_path))
+    write_subset(first_trips(spark, source, rows, "place"), subset_path, "place")
+    roles = {"source": source, "subset": list_files(spark, subset_path), "lookup": list_files(spark, zones_path, "*")}
+    files = _union([listed_digests(listed).withColumn("role", F.lit(role)) for role, listed in roles.items()])
     found = path_footers(spark, subset_path).first()
     manifest = files.withColumns({
-        "requested_rows": F.lit(rows), "source_file_rows": F.lit(path_footers(spark, source).first()["rows"]),
+        "requested_rows": F.lit(rows), "source_file_rows": F.lit(source.agg(F.sum("rows")).first()[0]),
         "input_rows": F.lit(found["rows"]), "subset_schema": F.lit(found["schema"])})
     write_documents(manifest, manifest_path)
     return read_manifest(spark, manifest_path)

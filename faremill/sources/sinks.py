@@ -31,9 +31,19 @@ def write_months(df: DataFrame, path: str) -> None:
     )
 
 
-def write_subset(df: DataFrame, path: str) -> None:
-    """A subset as one Snappy file. Whoever takes the subset bounds its rows; none is left out here."""
-    df.coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(path)
+def write_subset(df: DataFrame, path: str, order: str | None = None) -> None:
+    """A subset as one Snappy file. Whoever takes the subset bounds its rows; none is left out here.
+
+    Only the rows of the subset come to the task that writes: what they are taken from is read
+    in tasks of its own, which a coalesce would merge into one. Rows stay in their order, or in
+    that of the column `order`, which is not written.
+    """
+    place = order or "_place"
+    placed = df if order else df.withColumn(place, F.monotonically_increasing_id())
+    (
+        placed.repartition(1).sortWithinPartitions(place).drop(place)
+        .write.mode("overwrite").option("compression", "snappy").parquet(path)
+    )
 
 
 def write_report(report: DataFrame, path: str) -> None:

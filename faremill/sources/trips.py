@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from faremill.functions.text import month_of
+from faremill.functions.text import delivery_of, month_of
 from faremill.schemas import MONTH, TRIP_COLUMNS, TRIPS, SchemaError, require_schema
 from faremill.sources.files import first_path, list_files
 from faremill.sources.footers import indexed_footers, kind_of, numbered, timed
@@ -61,6 +61,32 @@ def first_rows(spark: SparkSession, path: str, rows: int, columns: list[str] | N
     return kept.select(*columns) if columns else _declared(kept)
 
 
+def first_delivery(spark: SparkSession, path: str) -> DataFrame:
+    """The listing of the first month by name: its file, or the part files of its folder."""
+    files = list_files(spark, path).withColumn("delivery", delivery_of(F.col("file_name"), F.col("file_path")))
+    first = files.agg(F.min_by("delivery", "file_path")).first()[0]
+    if first is None:
+        raise FileNotFoundError(f"no trip file under {path}")
+    return files.filter(F.col("delivery") == first).drop("delivery")
+
+
+def first_trips(spark: SparkSession, facts: DataFrame, rows: int, place: str = "place") -> DataFrame:
+    """The first rows of the files of which these are the facts: by name, then in stored order, which is in `place`.
+
+    The footers tell how many rows lie before a file, so only files that hold some of the rows
+    are opened, `rows` at most and empty ones between them.
+    """
+    if rows < 1:
+        raise ValueError("rows must be positive")
+    before = F.sum("rows").over(Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1))
+    wanted = facts.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < rows)
+    paths = [readable(row["file_path"]) for row in wanted.select("file_path").collect()]
+    row_of = (F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+    scans = _union([_declared(scan, *row_of) for scan in _scans(spark, paths, wanted, None)])
+    placed = scans.join(F.broadcast(wanted.select("file_path", "before")), "file_path")
+    return placed.withColumn(place, F.col("before") + F.col("row_index")).filter(F.col(place) < rows).select(*TRIP_COLUMNS, place)
+
+
 def stream_trip_months(spark: SparkSession, path: str, files_per_batch: int = 64) -> DataFrame:
     """The month, path, name, size and time of new trip files, as a stream; no column is read."""
     return (

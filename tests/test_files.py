@@ -13,7 +13,7 @@ from faremill.sources.files import file_digests, list_files, read_output, sorted
 from faremill.sources.footers import file_rows, file_schemas, profile_files
 from faremill.sources.stores import open_store
 from faremill.sources.sinks import write_subset, write_table
-from faremill.sources.trips import first_rows, read_trip_months, read_trips
+from faremill.sources.trips import first_delivery, first_rows, read_trip_months, read_trips
 from helpers import ARROW_TRIPS, plan_of, trip, trips, write_trip_file, zones
 
 
@@ -144,6 +144,47 @@ def test_subset_and_manifest(spark, folder, tmp_path):
             prepare_subset(spark, folder, str(lookup), subset, manifest, rows)
 
 
+def test_subset_of_a_month_in_part_files(spark, tmp_path):
+    lookup = tmp_path / "zones.csv"
+    lookup.write_text("LocationID,Borough,Zone,service_zone\n1,a,b,c\n")
+    month = tmp_path / "in [1]" / "file=yellow_tripdata_2024-01.parquet"
+    wide = pa.schema([pa.field(f.name, pa.int64()) if f.name == "VendorID" else f for f in ARROW_TRIPS])
+    first = 0
+    for part, (rows, schema) in enumerate([(6, ARROW_TRIPS), (0, ARROW_TRIPS), (9, wide), (5, ARROW_TRIPS)]):
+        write_trip_file(month, "x", [trip(vendor=first + i) for i in range(rows)], row_group=4, schema=schema)
+        os.rename(month / "yellow_tripdata_x.parquet", month / f"part-{part}.parquet")
+        first += rows
+    write_trip_file(tmp_path / "in [1]", "2024-02", [trip(vendor=99)])
+    path = str(tmp_path / "in \\[1\\]")
+    assert {r.file_name for r in first_delivery(spark, path).collect()} == {f"part-{i}.parquet" for i in range(4)}
+    for rows in (1, 6, 7, 15, 17, 100):
+        subset, manifest = str(tmp_path / f"subset{rows}"), str(tmp_path / f"manifest{rows}")
+        found = prepare_subset(spark, path, str(lookup), subset, manifest, rows)
+        # One file, in the order of the parts and of their rows.
+        assert [r.VendorID for r in spark.read.parquet(subset).collect()] == list(range(min(rows, 20)))
+        assert {(r.requested_rows, r.source_file_rows, r.input_rows) for r in found.collect()} == {(rows, 20, min(rows, 20))}
+        assert sorted(r.file_name for r in found.filter("role = 'source'").collect()) == [f"part-{i}.parquet" for i in range(4)]
+        check_manifest(spark, found, [r.file_path for r in found.collect()])
+
+
+def test_a_subset_is_not_read_in_the_task_that_writes_it(spark, tmp_path):
+    write_trip_file(tmp_path / "in", "2024-01", [trip(vendor=i) for i in range(20_000)], row_group=2000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = first_rows(spark, str(tmp_path / "in"), 9_000)
+        assert rows.rdd.getNumPartitions() > 2
+        done = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("subset", "subset")
+        write_subset(rows, str(tmp_path / "s"))
+        stages = [done.getStageInfo(s) for j in done.getJobIdsForGroup("subset") for s in done.getJobInfo(j).stageIds]
+        assert max(s.numTasks for s in stages if s) > 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.VendorID for r in spark.read.parquet(str(tmp_path / "s")).collect()] == list(range(9_000))
+
+
 def test_output_columns_are_checked_in_every_file(spark, tmp_path):
     path = str(tmp_path / "out")
     table = build_output(trips(spark, trip()), zones(spark, (1, "a", "b", "c")))
