@@ -58,7 +58,8 @@ TRIP_EXPANSION = 8
 def sized_trips(spark: SparkSession, sf_dir: str):
     """Size the jobs run inside this block for the trips."""
     tables = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "customer", "supplier")]
-    with sized(spark, TRIP_EXPANSION * total_bytes(spark, tables)) as partitions:
+    size = total_bytes(spark, tables)
+    with sized(spark, size, shuffle_bytes=TRIP_EXPANSION * size) as partitions:
         yield partitions
 
 

@@ -21,6 +21,9 @@ from faremill.functions.canonical import canonical_record, canonical_value, is_n
 
 # Buckets of rows with a digest of their own. Their numbers reach the driver, so they are bounded.
 BUCKETS = 4096
+# About what a field takes in a shuffled row, and a text on top of that.
+FIELD_BYTES = 8
+TEXT_BYTES = 32
 _ZEROS = "_negative_zeros"
 _WIDEST = {"integer": "long", "float": "double", "text": "string", "bool": "boolean", "null": "string"}
 
@@ -45,6 +48,16 @@ def multiplicities(tables: dict[str, DataFrame], columns: list[str] | None = Non
         *[_signed(c, i, common[c]) for i, c in enumerate(columns)], *[f"n_{name}" for name in tables])
 
 
+def counted_bytes(tables: dict[str, DataFrame], rows: int, columns: list[str] | None = None) -> int:
+    """About what as many rows of the tables take in the shuffle of `multiplicities`, were no two equal.
+
+    Files tell little of it: there a column of few texts takes a few bits a row.
+    """
+    columns = columns or next(iter(tables.values())).columns
+    texts = sum(kind in ("text", "tagged") for kind in common_kinds(tables, columns).values())
+    return rows * (FIELD_BYTES * (len(columns) + 1 + len(tables)) + TEXT_BYTES * texts)
+
+
 def common_kinds(tables: dict[str, DataFrame], columns: list[str]) -> dict[str, str]:
     """The kind under which a column is compared.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.operators.compare import differing_rows, pair_examples, unmatched_rows
+from faremill.operators.compare import counted_bytes, differing_rows, pair_examples, unmatched_rows
 from faremill.operators.metrics import trial_medians
 from faremill.operators.profile import dataset_totals, distinct_schemas, manifest_changes
 from faremill.schemas import OUTPUT_COLUMNS, SchemaError
@@ -87,10 +87,11 @@ class Comparison:
         self.facts = {name: path_footers(spark, path) for name, path in exports.items()}
         self.schemas = {name: check_facts(facts, exports[name]) for name, facts in self.facts.items()}
         self.tables = {name: read_output(spark, path) for name, path in exports.items()}
-        size = sum(facts.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] for facts in self.facts.values())
+        sums = [facts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bytes", "rows")]).first() for facts in self.facts.values()]
+        size, rows = (sum(row[c] for row in sums) for c in ("bytes", "rows"))
         path = scratch_path(spark, "differing-rows")
-        # The shuffle starts with partitions for all exports together.
-        with sized(spark, size):
+        # The shuffle starts with partitions for all rows of all exports together.
+        with sized(spark, size, shuffle_bytes=max(size, counted_bytes(self.tables, rows, OUTPUT_COLUMNS))):
             write_table(differing_rows(self.tables, self.pairs, OUTPUT_COLUMNS), path)
         self.differing = spark.read.parquet(path)
 
